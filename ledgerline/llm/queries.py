@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, line_dedup, packing, quality_rules
+from . import decontaminate, line_dedup, packing, pii, quality_rules, warc
 from .common import read_table
 
 
@@ -20,6 +20,14 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_report(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_report(read_table(spark, sf_dir, "documents"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_round_trip(read_table(spark, sf_dir, "pages"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -36,6 +44,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_packing": op2_packing,
         "op7_decontamination": op7_decontamination,
+        "op4_pii": op4_pii,
+        "op10_warc": op10_warc,
         "op6_line_dedup": op6_line_dedup,
         "op8_quality_rules": op8_quality_rules,
     }
@@ -53,5 +63,14 @@ FROM l LEFT JOIN h USING (k) GROUP BY doc_id
 """
 
 
+OP10_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha256(html) AS payload_digest FROM p),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to FROM f
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_line_dedup": OP6_SQL}
+    return {"op6_line_dedup": OP6_SQL, "op10_warc": OP10_SQL}

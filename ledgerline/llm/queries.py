@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, line_dedup, packing, pii, quality_rules, warc
+from . import cotraining, decontaminate, line_dedup, packing, pii, quality_rules, toxicity, warc
 from .common import read_table
 
 
@@ -20,6 +20,14 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_report(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op3_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(read_table(spark, sf_dir, "documents"))
 
@@ -44,6 +52,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_packing": op2_packing,
         "op7_decontamination": op7_decontamination,
+        "op3_cotraining": op3_cotraining,
+        "op5_toxicity": op5_toxicity,
         "op4_pii": op4_pii,
         "op10_warc": op10_warc,
         "op6_line_dedup": op6_line_dedup,

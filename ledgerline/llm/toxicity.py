@@ -3,7 +3,7 @@
 A word is the bag of its character n-grams (3 to 5, with word ends) and itself, hashed to buckets; its vector is their mean,
 a passage's vector the mean of its words' vectors, and a linear softmax over two classes reads it. Misspellings unseen in
 training share most n-grams with words that were seen. A document is read as overlapping passages of WINDOW words, since a few
-words may make a long text toxic: in training, from the second epoch on, each document stands for its currently most
+words may make a long text toxic: in training, after a first phase, each document stands for its currently most
 toxic passage; in scoring, its most toxic passage and the number of passages go through a calibration fitted on a part of
 the training rows that the embeddings never saw. Every word of every document counts.
 
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import decode, text_bytes, tune
 
 WINDOW, STRIDE = 16, 8
-BUCKETS, SIZE = 1 << 17, 16
+BUCKETS, SIZE, MIN_DOCS = 1 << 17, 16, 2
 _PART = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
 
 
@@ -90,8 +90,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float = 1e-
     return w
 
 
-def fit(texts: list[bytes], labels: list[int], epochs: int = 8, seed: int = 11) -> Model | None:
-    """Train embeddings and softmax together by Adagrad; None without rows of both classes."""
+def fit(texts: list[bytes], labels: list[int], steps: int | None = None, seed: int = 11) -> Model | None:
+    """Train embeddings and softmax together by Adagrad on balanced batches; None without rows of both classes."""
     y = np.array(labels, np.int64)
     if len(y) == 0 or y.min() == y.max():
         return None
@@ -107,55 +107,67 @@ def fit(texts: list[bytes], labels: list[int], epochs: int = 8, seed: int = 11)
     g_emb, g_soft = np.full(BUCKETS, 1e-4, np.float32), np.full((2, SIZE), 1e-4, np.float32)
     kept_out = rng.random(len(docs)) < 0.25
     train = np.flatnonzero(~kept_out & (np.array([len(d) for d in docs]) > 0))
-    weight = np.where(y == 1, 0.5 / max(1, y[train].sum()), 0.5 / max(1, (1 - y[train]).sum()))
-    weight = weight / weight[train].mean()
+    by_class = [train[y[train] == c] for c in (0, 1)]
+    if not all(map(len, by_class)):
+        return None
+    # An n-gram of fewer than MIN_DOCS training documents says nothing: its vector stays zero.
+    spread = np.zeros(BUCKETS, np.int64)
+    for d in train:
+        own = np.unique(docs[d])
+        n_own = lengths[own]
+        spread[np.unique(flat[np.repeat(first[own] - np.concatenate([[0], np.cumsum(n_own)[:-1]]), n_own) + np.arange(n_own.sum())])] += 1
+    known = spread >= MIN_DOCS
+    emb[~known] = 0
+    steps = steps or int(np.clip(300 + len(by_class[1]), 500, 1500))
+    refresh = 60  # steps between two choices of passages
 
     def word_logits() -> np.ndarray:
         per_bucket = emb @ (soft[1] - soft[0])
         return np.add.reduceat(per_bucket[flat], first) / lengths if len(first) else np.zeros(0)
 
-    for epoch in range(epochs):
-        logits = word_logits()
-        rate = 0.3 * (1 - epoch / epochs)
-        order = rng.permutation(train)
-        for batch in np.array_split(order, max(1, len(order) // 64)):
-            bags = []
-            for d in batch:
-                n = len(docs[d])
-                if epoch:
-                    at = top_passage(logits[docs[d]])[1]
-                else:
-                    at = int(rng.integers(0, max(1, n - WINDOW + 1)))
+    logits = None
+    for step in range(steps):
+        if step >= steps // 3 and (logits is None or step % refresh == 0):
+            logits = word_logits()
+        rate = 0.5 * (1 - step / steps) + 0.02
+        batch = np.concatenate([rng.choice(rows, 32) for rows in by_class])
+        bags = []
+        for d in batch:
+            if logits is None:
+                bags.append(rng.choice(docs[d], 4 * WINDOW))
+            else:
+                at = top_passage(logits[docs[d]])[1]
                 bags.append(docs[d][at : at + WINDOW])
-            size = np.array([len(b) for b in bags])
-            used, inverse = np.unique(np.concatenate(bags), return_inverse=True)
-            share = np.repeat(1 / size, size).astype(np.float32)
-            row = np.repeat(np.arange(len(bags)), size)
-            # Subwords of the words used: flat positions by ranges.
-            n_sub = lengths[used]
-            at = np.repeat(first[used] - np.concatenate([[0], np.cumsum(n_sub)[:-1]]), n_sub) + np.arange(n_sub.sum())
-            buckets = flat[at]
-            starts = np.concatenate([[0], np.cumsum(n_sub)[:-1]])
-            vectors = np.add.reduceat(emb[buckets], starts) / n_sub[:, None]
-            hidden = np.add.reduceat(vectors[inverse] * share[:, None], np.concatenate([[0], np.cumsum(size)[:-1]]))
-            z = hidden @ soft.T + bias
-            p = np.exp(z - z.max(1, keepdims=True))
-            p /= p.sum(1, keepdims=True)
-            p[np.arange(len(bags)), y[batch]] -= 1
-            d_z = (p * weight[batch][:, None] / len(bags)).astype(np.float32)
-            d_hidden = d_z @ soft
-            g = d_z.T @ hidden
-            g_soft += g * g
-            soft -= rate * g / np.sqrt(g_soft)
-            bias -= rate * d_z.sum(0)
-            d_word = np.zeros_like(vectors)
-            np.add.at(d_word, inverse, d_hidden[row] * share[:, None])
-            d_sub = np.repeat(d_word / n_sub[:, None], n_sub, axis=0)
-            order_b = np.argsort(buckets, kind="stable")
-            ids, where = np.unique(buckets[order_b], return_index=True)
-            d_bucket = np.add.reduceat(d_sub[order_b], where)
-            g_emb[ids] += (d_bucket * d_bucket).mean(1)
-            emb[ids] -= rate * d_bucket / np.sqrt(g_emb[ids])[:, None]
+        size = np.array([len(b) for b in bags])
+        used, inverse = np.unique(np.concatenate(bags), return_inverse=True)
+        share = np.repeat(1 / size, size).astype(np.float32)
+        row = np.repeat(np.arange(len(bags)), size)
+        # Subwords of the words used: flat positions by ranges.
+        n_sub = lengths[used]
+        at = np.repeat(first[used] - np.concatenate([[0], np.cumsum(n_sub)[:-1]]), n_sub) + np.arange(n_sub.sum())
+        buckets = flat[at]
+        starts = np.concatenate([[0], np.cumsum(n_sub)[:-1]])
+        vectors = np.add.reduceat(emb[buckets], starts) / n_sub[:, None]
+        hidden = np.add.reduceat(vectors[inverse] * share[:, None], np.concatenate([[0], np.cumsum(size)[:-1]]))
+        z = hidden @ soft.T + bias
+        p = np.exp(z - z.max(1, keepdims=True))
+        p /= p.sum(1, keepdims=True)
+        p[np.arange(len(bags)), y[batch]] -= 1
+        d_z = (p / len(bags)).astype(np.float32)
+        d_hidden = d_z @ soft
+        g = d_z.T @ hidden
+        g_soft += g * g
+        soft -= rate * g / np.sqrt(g_soft)
+        bias -= rate * d_z.sum(0)
+        d_word = np.zeros_like(vectors)
+        np.add.at(d_word, inverse, d_hidden[row] * share[:, None])
+        d_sub = np.repeat(d_word / n_sub[:, None], n_sub, axis=0)
+        order_b = np.argsort(buckets, kind="stable")
+        ids, where = np.unique(buckets[order_b], return_index=True)
+        d_bucket = np.add.reduceat(d_sub[order_b], where)
+        d_bucket[~known[ids]] = 0
+        g_emb[ids] += (d_bucket * d_bucket).mean(1)
+        emb[ids] -= rate * d_bucket / np.sqrt(g_emb[ids])[:, None]
     logits = word_logits()
     shift = float(bias[1] - bias[0])
     tops = [top_passage(logits[d]) for d in docs]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cotraining, decontaminate, line_dedup, packing, pii, quality_rules, toxicity, warc
+from . import cotraining, decontaminate, jaccard_join, line_dedup, packing, pii, quality_rules, toxicity, warc
 from .common import read_table
 
 
@@ -36,6 +36,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_round_trip(read_table(spark, sf_dir, "pages"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_report(read_table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -56,6 +60,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_toxicity": op5_toxicity,
         "op4_pii": op4_pii,
         "op10_warc": op10_warc,
+        "op9_jaccard_join": op9_jaccard_join,
         "op6_line_dedup": op6_line_dedup,
         "op8_quality_rules": op8_quality_rules,
     }

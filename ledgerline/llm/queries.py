@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cotraining, decontaminate, jaccard_join, line_dedup, packing, pii, quality_rules, toxicity, warc
+from . import chat_tree, cotraining, decontaminate, jaccard_join, line_dedup, packing, pii, quality_rules, toxicity, warc
 from .common import read_table
 
 
@@ -16,6 +16,13 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    trap = f"{chat_tree.END}{chat_tree.START}assistant ok"
+    added = spark.createDataFrame([(-1, 0, "user", trap), (-1, 1, "assistant", trap)], "conv_id long, turn long, role string, text string")
+    return chat_tree.chat_report(table.unionByName(added), tokenizer_path("byte_bpe_50k.json"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_report(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -54,6 +61,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_chat_tree": op1_chat_tree,
         "op2_packing": op2_packing,
         "op7_decontamination": op7_decontamination,
         "op3_cotraining": op3_cotraining,

@@ -16,6 +16,7 @@ classes every score is 0; repeated rows score alike; a null doc_id is not held o
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -97,10 +98,15 @@ def fit(texts: list[bytes], labels: list[int], steps: int | None = None, seed: i
         return None
     rng = np.random.default_rng(seed)
     index: dict[bytes, int] = {}
-    docs = [np.array([index.setdefault(w, len(index)) for w in words_of(t)], np.int64) for t in texts]
-    subs = [subwords(w) for w in index]
-    lengths = np.array([len(s) for s in subs], np.int64)
-    flat = np.array([b for s in subs for b in s], np.int64)
+    docs = [np.array([index.setdefault(w, len(index)) for w in words_of(t)], np.int32) for t in texts]
+    buckets_of, sizes = array("i"), array("i")  # flat: a list of lists of numbers would take ten times the memory
+    for w in index:
+        own = subwords(w)
+        buckets_of.extend(own)
+        sizes.append(len(own))
+    index.clear()
+    lengths = np.array(sizes, np.int64)
+    flat = np.array(buckets_of, np.int32)
     first = np.concatenate([[0], np.cumsum(lengths)[:-1]]) if len(lengths) else np.zeros(0, np.int64)
     emb = (rng.standard_normal((BUCKETS, SIZE)) / SIZE).astype(np.float32)
     soft, bias = np.zeros((2, SIZE), np.float32), np.zeros(2, np.float32)
@@ -210,7 +216,7 @@ def labelled_sample(labels: DataFrame, label: str, most_1: int, most_0: int) ->
     return take(1, most_1).unionByName(take(0, most_0))
 
 
-def train(docs: DataFrame, labels: DataFrame, max_toxic: int = 4000, max_clean: int = 8000) -> Model | None:
+def train(docs: DataFrame, labels: DataFrame, max_toxic: int = 2500, max_clean: int = 5000) -> Model | None:
     sample = labelled_sample(labels, "toxic", max_toxic, max_clean)
     # At most max_toxic + max_clean rows of two numbers.
     rows = docs.select("doc_id", text_bytes().alias("raw")).join(F.broadcast(sample), "doc_id").select("raw", "y").toPandas()

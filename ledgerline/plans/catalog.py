@@ -1,4 +1,4 @@
 """All registered queries; importing a module of queries registers them."""
 
-from . import scalar_queries  # noqa: F401
+from . import evidence_queries, scalar_queries  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401

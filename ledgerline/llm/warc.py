@@ -16,11 +16,13 @@ a null url is left out; an empty table gives no record; extra columns are not ar
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,7 +30,7 @@ from .common import shared_root, text_bytes, tune
 
 VERSION = b"WARC/1.1\r\n"
 _END = b"\r\n\r\n"
-_PARSED = "uid long, segment long, kind string, page_id long, refers_uid long, refers_to long, bytes long, digest string, stated_digest string, chunk binary"
+_PARSED = "uid long, segment long, kind string, page_id long, refers_to long, bytes long, digest string, stated_digest string, chunk binary"
 
 
 def cuts(payload: bytes, chunk_bytes: int) -> Iterator[memoryview]:
@@ -49,8 +51,11 @@ def cuts(payload: bytes, chunk_bytes: int) -> Iterator[memoryview]:
         yield view
 
 
-def segments(uid: int, page_id: int | None, url: str | None, payload: bytes, digest: str, refers: tuple[int, int] | None, date: str, chunk_bytes: int) -> Iterator[bytes]:
-    """The WARC records of one page, each without its last line feed."""
+def segments(uid: int, page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, date: str, chunk_bytes: int) -> Iterator[bytes]:
+    """The WARC records of one page, each without its last line feed. A response is named by page and payload, so that a revisit
+    can refer to it wherever it is written; uid tells rows apart."""
+    named = lambda page: f"<urn:page:{'' if page is None else page}:{digest}>"
+    refers = refers_to is not None
     running = hashlib.sha256()
     chunks = iter([memoryview(b"")]) if refers else cuts(payload, chunk_bytes)
     done, number = 0, 1
@@ -60,17 +65,18 @@ def segments(uid: int, page_id: int | None, url: str | None, payload: bytes, dig
         running.update(chunk)
         done += len(chunk)
         kind = "continuation" if number > 1 else "revisit" if refers else "response"
-        head = [("WARC-Type", kind), ("WARC-Record-ID", f"<urn:record:{uid}:{number}>"), ("WARC-Date", date)]
+        name = named(page_id) if kind == "response" else f"<urn:row:{uid}:{number}>"
+        head = [("WARC-Type", kind), ("WARC-Record-ID", name), ("WARC-Date", date), ("WARC-Row", str(uid))]
         if url is not None:
             head.append(("WARC-Target-URI", re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url)))
         if page_id is not None:
             head.append(("WARC-Page-ID", str(page_id)))
         head += [("WARC-Payload-Digest", f"sha256:{digest}"), ("WARC-Block-Digest", f"sha256:{hashlib.sha256(chunk).hexdigest()}")]
         if refers:
-            head += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", f"<urn:record:{refers[1]}:1>"), ("WARC-Refers-To-Page-ID", str(refers[0]))]
+            head += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", named(refers_to)), ("WARC-Refers-To-Page-ID", str(refers_to))]
         if number > 1 or following is not None:
             head += [("WARC-Segment-Number", str(number)), ("WARC-Running-Digest", f"sha256:{running.hexdigest()}")]
-            head += [("WARC-Segment-Origin-ID", f"<urn:record:{uid}:1>")] if number > 1 else []
+            head += [("WARC-Segment-Origin-ID", named(page_id))] if number > 1 else []
             head += [("WARC-Segment-Total-Length", str(done))] if following is None else []
         head += [("Content-Type", "text/html; charset=utf-8"), ("Content-Length", str(len(chunk)))]
         yield VERSION + "".join(f"{k}: {v}\r\n" for k, v in head).encode() + b"\r\n" + chunk + _END[:-1]
@@ -81,11 +87,12 @@ def segments(uid: int, page_id: int | None, url: str | None, payload: bytes, dig
 
 def _chunk_rows(date: str, chunk_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        uids = itertools.count(TaskContext.get().partitionId() << 40)
         for b in batches:
             out, size = [], 0
-            for uid, page_id, url, payload, digest, refers_to, refers_uid in zip(*(b.column(i).to_pylist() for i in range(7)), strict=True):
-                refers = None if refers_uid is None else (refers_to, refers_uid)
-                for n, record in enumerate(segments(uid, page_id, url, payload, digest, refers, date, chunk_bytes), 1):
+            for page_id, url, payload, digest, refers_to in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
+                uid = next(uids)
+                for n, record in enumerate(segments(uid, page_id, url, payload, digest, refers_to, date, chunk_bytes), 1):
                     out.append((uid, n, record))
                     size += len(record)
                     if size > 8 << 20:
@@ -103,14 +110,12 @@ def _chunk_rows(date: str, chunk_bytes: int):
 def chunk_table(pages: DataFrame, date: str = "1970-01-01T00:00:00Z", chunk_bytes: int = 1 << 20, min_revisit: int = 100) -> DataFrame:
     """(uid, chunk_no, record): every page as rows of whole WARC records of bounded size."""
     tune(pages.sparkSession)
-    rows = pages.select(F.monotonically_increasing_id().alias("uid"), F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), text_bytes("html").alias("payload"))
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), text_bytes("html").alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
-    # Struct order: a null page_id last.
-    first = F.min(F.struct(F.col("page_id").isNull(), "page_id", "uid"))
-    shared = rows.where(F.octet_length("payload") >= min_revisit).groupBy("digest").agg(F.count("*").alias("n"), first.alias("first")).where("n > 1").select("digest", F.col("first.page_id").alias("first_id"), F.col("first.uid").alias("first_uid"))
+    shared = rows.where(F.octet_length("payload") >= min_revisit).groupBy("digest").agg(F.count("*").alias("n"), F.min("page_id").alias("first_id")).where("n > 1").select("digest", "first_id")
     joined = rows.join(shared, "digest", "left")
-    revisit = F.col("first_uid").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
-    named = joined.select("uid", "page_id", "url", "payload", "digest", F.when(revisit, F.col("first_id")).alias("refers_to"), F.when(revisit, F.col("first_uid")).alias("refers_uid"))
+    revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
+    named = joined.select("page_id", "url", "payload", "digest", F.when(revisit, F.col("first_id")).alias("refers_to"))
     return named.mapInArrow(_chunk_rows(date, chunk_bytes), "uid long, chunk_no long, record binary")
 
 
@@ -133,35 +138,34 @@ def parse_record(raw: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["uid", "segment", "kind", "page_id", "refers_uid", "refers_to", "bytes", "digest", "stated_digest", "chunk"]
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary()]
+    names = ["uid", "segment", "kind", "page_id", "refers_to", "bytes", "digest", "stated_digest", "chunk"]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary()]
     for b in batches:
         out = []
         for raw in b.column(0).to_pylist():
             h, block = parse_record(raw)
-            uid, segment = map(int, h["WARC-Record-ID"][12:-1].split(":"))
+            uid, segment = int(h["WARC-Row"]), int(h.get("WARC-Segment-Number", 1))
             whole = "WARC-Segment-Number" not in h
             number = lambda k: int(h[k]) if k in h else None  # noqa: E731, B023
-            refers = int(h["WARC-Refers-To"][12:-1].split(":")[0]) if "WARC-Refers-To" in h else None
-            out.append((uid, segment, h["WARC-Type"], number("WARC-Page-ID"), refers, number("WARC-Refers-To-Page-ID"), len(block), hashlib.sha256(block).hexdigest() if whole else None, h["WARC-Payload-Digest"][7:], None if whole else block))
+            out.append((uid, segment, h["WARC-Type"], number("WARC-Page-ID"), number("WARC-Refers-To-Page-ID"), len(block), hashlib.sha256(block).hexdigest() if whole else None, h["WARC-Payload-Digest"][7:], None if whole else block))
         columns = list(zip(*out, strict=True)) if out else [()] * len(names)
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
 def _joined_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows in order of (uid, segment) -> one row a record; digests are carried from chunk to chunk."""
-    names = ["uid", "kind", "page_id", "refers_uid", "refers_to", "payload_bytes", "payload_digest"]
-    kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+    names = ["kind", "page_id", "refers_to", "payload_bytes", "payload_digest"]
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
     head, running, size, next_segment, out = None, None, 0, 1, []
 
     def close() -> None:
         if head is None:
             return
-        uid, kind, page_id, refers_uid, refers_to, digest, stated = head
+        uid, kind, page_id, refers_to, digest, stated = head
         digest = digest if running is None else running.hexdigest()
         if kind == "response" and digest != stated:
             raise ValueError(f"the payload of record {uid} differs from its digest")
-        out.append((uid, kind, page_id, refers_uid, refers_to, size, stated))
+        out.append((kind, page_id, refers_to, size, stated))
 
     def batch() -> pa.RecordBatch:
         columns = list(zip(*out, strict=True)) if out else [()] * len(names)
@@ -170,10 +174,10 @@ def _joined_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         return found
 
     for b in batches:
-        for uid, segment, kind, page_id, refers_uid, refers_to, n, digest, stated, chunk in zip(*(b.column(i).to_pylist() for i in range(10)), strict=True):
+        for uid, segment, kind, page_id, refers_to, n, digest, stated, chunk in zip(*(b.column(i).to_pylist() for i in range(9)), strict=True):
             if head is None or uid != head[0]:
                 close()
-                head, size, next_segment = (uid, kind, page_id, refers_uid, refers_to, digest, stated), 0, 1
+                head, size, next_segment = (uid, kind, page_id, refers_to, digest, stated), 0, 1
                 running = None if chunk is None else hashlib.sha256()
             if segment != next_segment:
                 raise ValueError(f"record {uid} lacks segment {next_segment}")
@@ -193,10 +197,11 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.option("lineSep", VERSION.decode()).text(path).where(F.length("value") > 0).select(F.col("value").cast("binary").alias("raw"))
     parsed = raw.mapInArrow(_parsed, _PARSED)
     # Whole records carry no chunk here; only segments travel with theirs.
-    records = parsed.repartition("uid").sortWithinPartitions("uid", "segment").mapInArrow(_joined_segments, "uid long, kind string, page_id long, refers_uid long, refers_to long, payload_bytes long, payload_digest string")
-    sizes = records.where("kind = 'response'").select(F.col("uid").alias("refers_uid"), F.col("payload_bytes").alias("first_bytes"))
-    out = records.join(sizes, "refers_uid", "left")
-    return out.select("page_id", F.coalesce("first_bytes", "payload_bytes").alias("payload_bytes"), "payload_digest", F.col("kind").alias("record_type"), "refers_to")
+    records = parsed.repartition("uid").sortWithinPartitions("uid", "segment").mapInArrow(_joined_segments, "kind string, page_id long, refers_to long, payload_bytes long, payload_digest string")
+    # Only responses that revisits refer to are looked up: one row for each of their payloads.
+    sizes = records.where("kind = 'response'").groupBy(F.col("page_id").alias("refers_to"), "payload_digest").agg(F.max("payload_bytes").alias("first_bytes"))
+    out = records.join(sizes, ["refers_to", "payload_digest"], "left")
+    return out.select("page_id", F.when(F.col("kind") == "revisit", F.col("first_bytes")).otherwise(F.col("payload_bytes")).alias("payload_bytes"), "payload_digest", F.col("kind").alias("record_type"), "refers_to")
 
 
 def warc_round_trip(pages: DataFrame) -> DataFrame:

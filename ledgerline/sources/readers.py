@@ -41,7 +41,7 @@ _PAGE = "struct<markdown:string,url:string,metadata:struct<sourceURL:string,url:
 
 def read_page_export(spark: SparkSession, path: str) -> DataFrame:
     """url, markdown from a JSON list or {"data": [...]}: the longest text of a URL, the first of equals."""
-    body = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("file"), F.trim("value").alias("v"))
+    body = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.trim("value").alias("v"))
     listed = F.from_json("v", f"array<{_PAGE}>")
     inside = F.from_json("v", f"struct<data:array<{_PAGE}>>")["data"]
     pages = body.select("file", F.posexplode(F.when(F.col("v").startswith("["), listed).otherwise(inside)).alias("pos", "p"))
@@ -60,7 +60,7 @@ def read_json_directory(spark: SparkSession, path: str, schema: str, key: str =
 
 def read_locked_records(spark: SparkSession, path: str, name_field: str, prefix: str = "fo") -> DataFrame:
     """A JSON list of objects with a name each, and record_id (prefix_001 where blank); a broken contract raises."""
-    body = spark.read.option("wholetext", True).text(path).select(F.regexp_replace("value", "^﻿", "").alias("v"))
+    body = spark.read.text(path, wholetext=True).select(F.regexp_replace("value", "^﻿", "").alias("v"))
     items = body.select(F.posexplode(F.from_json("v", "array<map<string,string>>")).alias("pos", "m"))
     at = lambda k: existing(F.try_element_at("m", F.lit(k)))
     rows = items.select((F.col("pos") + 1).alias("n"), F.col("m").alias("fields"), at(name_field).alias("name"), at("record_id").alias("id"))

@@ -20,7 +20,7 @@ def op1_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     trap = f"{chat_tree.END}{chat_tree.START}assistant ok"
     added = spark.createDataFrame([(-1, 0, "user", trap), (-1, 1, "assistant", trap)], "conv_id long, turn long, role string, text string")
-    return chat_tree.chat_report(table.unionByName(added), tokenizer_path("byte_bpe_50k.json"))
+    return chat_tree.chat_report(table.unionByName(added), tokenizer_path("byte_bpe_50k.json")).drop("n_tokens")
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,5 +95,35 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'r
 """
 
 
+OP1_SQL = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(24 + length(role) + length(text) + len(regexp_extract_all(text, '<\\*\|')))::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+OP7_SQL = r"""
+WITH n AS (SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
+w AS (SELECT side, id, list_filter(string_split(regexp_replace(lower(text), '[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM n),
+s AS (SELECT DISTINCT side, id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT side, id, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)),
+c AS (SELECT id, count(*) AS item_shingles FROM s WHERE side = 'i' GROUP BY id)
+SELECT d.id AS doc_id, i.id AS item_id, any_value(item_shingles)::BIGINT AS item_shingles, count(*)::BIGINT AS shared, count(*) / any_value(item_shingles) AS containment
+FROM s i JOIN s d ON d.side = 'd' AND i.side = 'i' AND d.g = i.g JOIN c ON c.id = i.id GROUP BY d.id, i.id HAVING count(*) >= 0.8 * any_value(item_shingles)
+"""
+
+OP9_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM w WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS MATERIALIZED (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 5 * k >= 4 * (x.n + y.n - k)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
+c AS (SELECT a AS doc_id, min(b) AS class_id FROM r GROUP BY a)
+SELECT doc_id, class_id, (SELECT count(*) FROM e WHERE e.a = c.doc_id)::BIGINT AS n_links FROM c
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_line_dedup": OP6_SQL, "op10_warc": OP10_SQL}
+    return {"op1_chat_tree": OP1_SQL, "op6_line_dedup": OP6_SQL, "op7_decontamination": OP7_SQL, "op9_jaccard_join": OP9_SQL, "op10_warc": OP10_SQL}

@@ -24,10 +24,12 @@ def ranked_quotes(docs: DataFrame, key: str, primary: str, secondary: str, most:
     """The best sentences of a text, cut to 25 words; ranked within the row's own array, so nothing is shuffled."""
     score = lambda s: F.when(F.lower(s).rlike(primary), 2).otherwise(0) + F.when(F.lower(s).rlike(secondary), 1).otherwise(0)
     entry = lambda s, i: F.struct((-score(s)).alias("minus"), F.length(s).alias("size"), i.alias("pos"), s.alias("s"), F.size(F.split(s, " ")).alias("n_words"))
-    found = docs.select(key, F.array_sort(F.filter(F.transform(X.sentences(F.col("text")), entry), lambda e: e["n_words"].between(5, 60) & (e["minus"] < 0))).alias("q"))
     signature = lambda e: F.substring(F.lower(e["s"]), 1, 80)
-    signed = found.withColumn("sig", F.transform("q", signature))
-    kept = signed.select(key, F.slice(F.filter("q", lambda e, i: F.array_position(F.col("sig"), signature(e)) == i + 1), 1, most).alias("q"))
+    ordered = F.array_sort(F.filter(F.transform(X.sentences(F.col("text")), entry), lambda e: e["n_words"].between(5, 60) & (e["minus"] < 0)))
+    none = F.array().cast("array<struct<minus:int,size:int,pos:int,s:string,n_words:int>>")
+    # One pass with the kept ones in hand: a second reference to the sorted array would be computed again for each element.
+    add = lambda kept, e: F.when((F.size(kept) < most) & ~F.exists(kept, lambda k: signature(k) == signature(e)), F.array_append(kept, e)).otherwise(kept)
+    kept = docs.select(key, F.aggregate(ordered, none, add).alias("q"))
     cut = lambda e: F.when(e["n_words"] > 25, F.concat(F.array_join(F.slice(F.split(e["s"], " "), 1, 25), " "), F.lit("…"))).otherwise(e["s"])
     out = kept.select(key, F.posexplode("q").alias("at", "e"))
     return out.select(key, (F.col("at") + 1).cast("bigint").alias("quote_rank"), (-F.col("e.minus")).cast("bigint").alias("score"), cut(F.col("e")).alias("quote"))

@@ -13,6 +13,10 @@ from __future__ import annotations
 
 import itertools
 import os
+import re
+import sys
+import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,28 +31,64 @@ from .common import decode, mix64, text_bytes, tune, written
 _BUCKETS, _DIMENSIONS, _BITS = 256, 3, 16
 
 
+def _byte_letters() -> dict[int, str]:
+    """Byte-level models write a byte as a character: a printable one as itself, the others as those from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_LETTERS = _byte_letters()
+#: The tokenizer's own split, for printable ASCII in lower case.
+_ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+_PRINTABLE = re.compile(r"[!-~]+")
+_WORD_AND_MARKS = re.compile(r"([^!-~]*[^!-&(-~])([!-&(-/:-@\[-`{-~]+)")
+
+
+def _little(ids: array) -> bytes:
+    if sys.byteorder == "big":
+        ids.byteswap()
+    return ids.tobytes()
+
+
 class TokenCache(dict):
     """Ids (little-endian 16-bit) by ASCII-space separated chunk, in two generations of bounded size.
 
-    The tokenizer drops white space before it splits, so chunks are tokenized apart; a chunk of letters with one
-    trailing comma or full stop is the letters and the mark.
+    The tokenizer drops white space before it splits, so chunks are tokenized apart. Chunks of printable ASCII and words of
+    European letters, with or without marks after them, go straight to its model, which takes a tenth of the time of its
+    whole chain; all others go through the chain.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 450_000):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.model, self.most, self.old = Tokenizer.from_file(path), most, {}
-        assert self.model.get_vocab_size() <= 1 << 16
+        self.chain, self.most, self.old = Tokenizer.from_file(path), most, {}
+        self.model = self.chain.model
+        assert self.chain.get_vocab_size() <= 1 << 16
+
+    def _of_part(self, part: str) -> bytes:
+        written = part if part.isascii() else "".join(map(_LETTERS.__getitem__, part.encode()))
+        return _little(array("H", [t.id for t in self.model.tokenize(written)]))
+
+    def _of_chunk(self, chunk: bytes) -> bytes:
+        text = decode(chunk)
+        if "<|" not in text:  # no special token
+            if _PRINTABLE.fullmatch(text):
+                parts = _ASCII_PARTS.findall(text.lower())
+                return self._of_part(parts[0]) if len(parts) == 1 else b"".join(self[p.encode()] for p in parts)
+            if max(text) < "\u0250" and "\u0130" not in text:  # whose lower case is two characters
+                word = unicodedata.normalize("NFC", text)
+                if word.isalpha():
+                    return self._of_part(word.lower())
+                if (m := _WORD_AND_MARKS.fullmatch(text)) and m[1].isalpha():
+                    return self[m[1].encode()] + self[m[2].encode()]
+        return _little(array("H", self.chain.encode(text, add_special_tokens=False).ids))
 
     def __missing__(self, chunk: bytes) -> bytes:
         ids = self.old.get(chunk)
         if ids is None:
-            head, mark = chunk[:-1], chunk[-1:]
-            if mark in (b".", b",") and head and decode(head).isalpha():
-                ids = self[head] + self[mark]
-            else:
-                ids = np.array(self.model.encode(decode(chunk), add_special_tokens=False).ids, "<u2").tobytes()
+            ids = self._of_chunk(chunk)
         if len(self) >= self.most:
             self.old = dict(self)
             self.clear()

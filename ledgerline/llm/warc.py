@@ -6,6 +6,9 @@ chunk and the running digest of the payload so far, so no writer or reader build
 by Spark's own text sink, and read back by splitting at the version line; a payload that contains that line is cut inside
 it, so the split is exact, and the archives can be read in parallel.
 
+A revisit states its payload's digest and length and names its response, so reading needs no look-up of a response that very many
+revisits may share; broken_references() checks those names.
+
 Of equal payloads of at least `min_revisit` bytes the one with the smallest page_id is the response, and the others are
 revisits of it. Rows which share that smallest page_id and payload are all responses.
 
@@ -73,7 +76,7 @@ def segments(uid: int, page_id: int | None, url: str | None, payload: bytes, dig
             head.append(("WARC-Page-ID", str(page_id)))
         head += [("WARC-Payload-Digest", f"sha256:{digest}"), ("WARC-Block-Digest", f"sha256:{hashlib.sha256(chunk).hexdigest()}")]
         if refers:
-            head += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", named(refers_to)), ("WARC-Refers-To-Page-ID", str(refers_to))]
+            head += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", named(refers_to)), ("WARC-Refers-To-Page-ID", str(refers_to)), ("WARC-Payload-Length", str(len(payload)))]
         if number > 1 or following is not None:
             head += [("WARC-Segment-Number", str(number)), ("WARC-Running-Digest", f"sha256:{running.hexdigest()}")]
             head += [("WARC-Segment-Origin-ID", named(page_id))] if number > 1 else []
@@ -147,7 +150,7 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             uid, segment = int(h["WARC-Row"]), int(h.get("WARC-Segment-Number", 1))
             whole = "WARC-Segment-Number" not in h
             number = lambda k: int(h[k]) if k in h else None  # noqa: E731, B023
-            out.append((uid, segment, h["WARC-Type"], number("WARC-Page-ID"), number("WARC-Refers-To-Page-ID"), len(block), hashlib.sha256(block).hexdigest() if whole else None, h["WARC-Payload-Digest"][7:], None if whole else block))
+            out.append((uid, segment, h["WARC-Type"], number("WARC-Page-ID"), number("WARC-Refers-To-Page-ID"), int(h.get("WARC-Payload-Length", len(block))), hashlib.sha256(block).hexdigest() if whole else None, h["WARC-Payload-Digest"][7:], None if whole else block))
         columns = list(zip(*out, strict=True)) if out else [()] * len(names)
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
@@ -198,10 +201,13 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     parsed = raw.mapInArrow(_parsed, _PARSED)
     # Whole records carry no chunk here; only segments travel with theirs.
     records = parsed.repartition("uid").sortWithinPartitions("uid", "segment").mapInArrow(_joined_segments, "kind string, page_id long, refers_to long, payload_bytes long, payload_digest string")
-    # Only responses that revisits refer to are looked up: one row for each of their payloads.
-    sizes = records.where("kind = 'response'").groupBy(F.col("page_id").alias("refers_to"), "payload_digest").agg(F.max("payload_bytes").alias("first_bytes"))
-    out = records.join(sizes, ["refers_to", "payload_digest"], "left")
-    return out.select("page_id", F.when(F.col("kind") == "revisit", F.col("first_bytes")).otherwise(F.col("payload_bytes")).alias("payload_bytes"), "payload_digest", F.col("kind").alias("record_type"), "refers_to")
+    return records.select("page_id", "payload_bytes", "payload_digest", F.col("kind").alias("record_type"), "refers_to")
+
+
+def broken_references(records: DataFrame) -> DataFrame:
+    """Revisits whose response, of the same digest and length, is not among the records."""
+    responses = records.where("record_type = 'response'").select(F.col("page_id").alias("refers_to"), "payload_digest", "payload_bytes").distinct()
+    return records.where("record_type = 'revisit'").join(responses, ["refers_to", "payload_digest", "payload_bytes"], "left_anti")
 
 
 def warc_round_trip(pages: DataFrame) -> DataFrame:

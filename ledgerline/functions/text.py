@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .blanks import cell_text, existing, strip
 
 #: Legal suffixes that a normalised entity name drops.
-LEGAL_SUFFIXES = ("llc", "inc", "ltd", "lp", "llp", "plc", "ag", "sa", "corp", "co", "limited", "company")
+LEGAL_SUFFIXES = ("ag", "co", "company", "corp", "corporation", "inc", "limited", "llc", "lp", "ltd", "plc", "pte")
 #: Words that say nothing about which entity a name means.
 NAME_STOPWORDS = ("family", "office", "the", "and", "co", "company", "group", "capital", "partners", "advisors", "advisory", "management", "wealth", "investment", "investments", "ag", "llc", "ltd", "lp", "inc", "plc", "trust", "&")
 #: Words that a registry name drops.

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from .blanks import existing
 
-#: Hosts of regulators, of the registry, and of press.
-REGULATOR_HOSTS = ("sec.gov", "adviserinfo.sec.gov", "find-and-update.company-information.service.gov.uk")
-PRESS_HOSTS = ("prnewswire.com", "businesswire.com", "globenewswire.com")
-SOCIAL_HOSTS = ("linkedin.com", "twitter.com", "x.com", "facebook.com", "instagram.com", "youtube.com", "tiktok.com")
+#: Hosts of regulators, of the company registry, and of press.
+REGULATOR_HOSTS = ("adviserinfo.sec.gov", "reports.adviserinfo.sec.gov", "files.adviserinfo.sec.gov")
+REGISTRY_HOSTS = ("find-and-update.company-information.service.gov.uk",)
+PRESS_HOSTS = ("businesswire.com",)
+#: Hosts of social platforms.
+SOCIAL_HOSTS = ("twitter.com", "x.com", "instagram.com", "facebook.com", "youtube.com", "youtu.be", "tiktok.com")
 
 
 def domain(url: Column, scheme: str = "required", lower: bool = True, keep_www: bool = False) -> Column:
@@ -67,30 +69,30 @@ def source_type(source: Column, site: Column, registry: str = "sec.gov") -> Colu
     s, w = domain(source), domain(site)
     pdf = F.lower(existing(source)).endswith(".pdf")
     return (
-        F.when((s != "") & (s == w), F.when(pdf, F.lit("official_disclosure")).otherwise(F.lit("official_site")))
-        .when(at_host(s, REGULATOR_HOSTS), F.lit("regulator"))
-        .when(at_host(s, PRESS_HOSTS), F.lit("press_release"))
+        F.when(s == w, F.when(pdf, F.lit("official_disclosure")).otherwise(F.lit("official_site")))
+        .when(s.isin(*REGULATOR_HOSTS), F.lit("regulator"))
+        .when(s.isin(*REGISTRY_HOSTS), F.lit("registry"))
+        .when(s.isin(*PRESS_HOSTS), F.lit("press_release"))
         .otherwise(F.lit("secondary_source"))
     )
 
 
 def source_rank(kind: Column) -> Column:
-    return F.when(kind.isin("official_site", "official_disclosure", "regulator"), F.lit("primary")).when(kind == "press_release", F.lit("secondary")).otherwise(F.lit("tertiary"))
+    return F.when(kind.isin("official_site", "official_disclosure", "regulator", "registry"), F.lit("primary")).when(kind == "press_release", F.lit("secondary")).otherwise(F.lit("tertiary"))
 
 
 def claim_source_type(source: Column, site: Column) -> Column:
-    """Another taxonomy, by substrings and in this order."""
-    s = F.lower(existing(source))
-    social = F.lit(False)
-    for h in SOCIAL_HOSTS:
-        social = social | s.contains(h)
-    own = domain(site, "any")
+    """Another taxonomy for claims: ordered, partly by substrings of the host, with names for local artifacts."""
+    u, host = existing(source), domain(source, "any")
     return (
-        F.when(s == "", F.lit("unknown"))
-        .when(s.startswith("reports/") | s.startswith("data/"), F.lit("local_artifact"))
-        .when(s.contains("sec.gov"), F.lit("regulator"))
-        .when(social, F.lit("social_profile"))
-        .when((own != "") & s.contains(own), F.lit("official_site"))
+        F.when(u == "", F.lit("unknown"))
+        .when(u.startswith("reports/"), F.lit("methodology"))
+        .when(u.startswith("data/"), F.lit("local_evidence_artifact"))
+        .when(host == domain(site, "any"), F.lit("official_site"))
+        .when(host.contains("linkedin.com"), F.lit("linkedin"))
+        .when(host.contains("adviserinfo.sec.gov"), F.lit("regulator"))
+        .when(host.contains("google.com"), F.lit("google_places"))
+        .when(host.isin(*SOCIAL_HOSTS), F.lit("social_platform"))
         .otherwise(F.lit("secondary_source"))
     )
 

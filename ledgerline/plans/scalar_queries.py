@@ -46,27 +46,31 @@ def url_variants(t):
 
 
 @query("url_source_type", f"""
-WITH h AS (SELECT page_id, url, {host_sql('url')} AS host FROM pages),
-k AS (SELECT page_id, host, CASE WHEN ends_with(host, 'example.org') THEN CASE WHEN ends_with(lower(url), '.pdf') THEN 'official_disclosure' ELSE 'official_site' END
-  WHEN host = 'sec.gov' OR ends_with(host, '.sec.gov') THEN 'regulator' WHEN host = 'prnewswire.com' OR ends_with(host, '.prnewswire.com') THEN 'press_release'
-  ELSE 'secondary_source' END AS source_type FROM h)
-SELECT page_id, source_type, CASE source_type WHEN 'official_site' THEN 'primary' WHEN 'official_disclosure' THEN 'primary' WHEN 'regulator' THEN 'primary'
-  WHEN 'press_release' THEN 'secondary' ELSE 'tertiary' END AS source_rank FROM k""")
+WITH h AS (SELECT page_id, url, CASE page_id % 10 WHEN 1 THEN 'adviserinfo.sec.gov' WHEN 2 THEN 'businesswire.com' WHEN 3 THEN 'find-and-update.company-information.service.gov.uk' ELSE {host_sql('url')} END AS host FROM pages),
+k AS (SELECT page_id, CASE WHEN ends_with(host, 'example.org') THEN CASE WHEN ends_with(lower(url), '.pdf') THEN 'official_disclosure' ELSE 'official_site' END
+  WHEN page_id % 10 = 1 THEN 'regulator' WHEN page_id % 10 = 2 THEN 'press_release' WHEN page_id % 10 = 3 THEN 'registry' ELSE 'secondary_source' END AS source_type FROM h)
+SELECT page_id, source_type, CASE source_type WHEN 'press_release' THEN 'secondary' WHEN 'secondary_source' THEN 'tertiary' ELSE 'primary' END AS source_rank FROM k""")
 def url_source_type(t):
-    """The site of a page on example.org is its own host; other pages have none."""
-    own = F.when(U.domain(F.col("url")).endswith("example.org"), F.col("url"))
-    kind = t("pages").select("page_id", U.source_type(F.col("url"), own).alias("source_type"))
+    """The site of a page on example.org is its own host; some pages stand on hosts of regulators, registries and press."""
+    k = F.col("page_id") % 10
+    url = F.when(k == 1, F.lit("https://adviserinfo.sec.gov/a")).when(k == 2, F.lit("https://www.businesswire.com/b")).when(k == 3, F.lit("https://find-and-update.company-information.service.gov.uk/c")).otherwise(F.col("url"))
+    own = F.when(U.domain(url).endswith("example.org"), url)
+    kind = t("pages").select("page_id", U.source_type(url, own).alias("source_type"))
     return kind.select("page_id", "source_type", U.source_rank(F.col("source_type")).alias("source_rank"))
 
 
+_CLAIMED = {3: "reports/page", 4: "data/x.csv", 5: "", 6: "https://maps.google.com/a", 7: "https://www.linkedin.com/company/a", 8: "https://youtu.be/b", 9: "https://reports.adviserinfo.sec.gov/c"}
+_CLAIM_KINDS = {3: "methodology", 4: "local_evidence_artifact", 5: "unknown", 6: "google_places", 7: "linkedin", 8: "social_platform", 9: "regulator"}
+
+
 @query("url_claim_type", f"""
-SELECT page_id, CASE WHEN contains(u, 'sec.gov') THEN 'regulator' WHEN starts_with(u, 'reports/') THEN 'local_artifact'
-  WHEN contains(u, 'linkedin.com') OR contains(u, 'twitter.com') OR contains(u, 'x.com') OR contains(u, 'facebook.com') OR contains(u, 'instagram.com') OR contains(u, 'youtube.com') OR contains(u, 'tiktok.com') THEN 'social_profile'
-  WHEN contains(u, 'example.org') THEN 'official_site' ELSE 'secondary_source' END AS claim_source_type
-FROM (SELECT page_id, CASE page_id % 10 WHEN 3 THEN 'reports/page' WHEN 7 THEN 'https://www.linkedin.com/company/a' ELSE lower(url) END AS u FROM pages)""")
+SELECT page_id, CASE page_id % 10 {' '.join(f"WHEN {k} THEN '{v}'" for k, v in _CLAIM_KINDS.items())} ELSE CASE WHEN {host_sql('url')} = 'www2.example.org' OR {host_sql('url')} = 'example.org' THEN 'official_site' ELSE 'secondary_source' END END AS claim_source_type FROM pages""")
 def url_claim_type(t):
-    u = F.when(F.col("page_id") % 10 == 3, F.lit("reports/page")).when(F.col("page_id") % 10 == 7, F.lit("https://www.linkedin.com/company/a")).otherwise(F.col("url"))
-    return t("pages").select("page_id", U.claim_source_type(u, F.lit("https://example.org/")).alias("claim_source_type"))
+    u = F.col("url")
+    for k, v in _CLAIMED.items():
+        u = F.when(F.col("page_id") % 10 == k, F.lit(v)).otherwise(u)
+    site = F.when(U.domain(F.col("url")) == "www2.example.org", F.lit("https://www2.example.org")).otherwise(F.lit("https://example.org/"))
+    return t("pages").select("page_id", U.claim_source_type(u, site).alias("claim_source_type"))
 
 
 @query("url_quality_label", """
@@ -101,7 +105,7 @@ _STOPS = "['" + "','".join(X.NAME_STOPWORDS) + "']"
 
 @query("name_tokens_match", f"""
 WITH n AS (SELECT p_partkey, {_TOKENS} AS w, list_filter(string_split_regex(lower(p_type), '[^a-z0-9]+'), lambda w: w <> '') AS v FROM part),
-k AS (SELECT p_partkey, w, array_to_string(list_filter(w, lambda x: NOT list_contains(['llc','inc','ltd','lp','llp','plc','ag','sa','corp','co','limited','company'], x)), ' ') AS entity_name,
+k AS (SELECT p_partkey, w, array_to_string(list_filter(w, lambda x: NOT list_contains(['ag','co','company','corp','corporation','inc','limited','llc','lp','ltd','plc','pte'], x)), ' ') AS entity_name,
   list_filter(list_distinct(list_filter(w, lambda x: NOT list_contains({_STOPS}, x))), lambda x: length(x) > 2) AS a, list_filter(list_distinct(list_filter(v, lambda x: NOT list_contains({_STOPS}, x))), lambda x: length(x) > 2) AS b FROM n)
 SELECT p_partkey, entity_name, len(a)::BIGINT AS n_tokens, round(CASE WHEN len(a) > 0 AND len(b) > 0 THEN len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))) ELSE 0 END, 6) AS jaccard,
   len(list_filter(a, lambda x: NOT contains(entity_name, x))) = 0 AND len(a) > 0 AS all_in_name FROM k""")
@@ -112,7 +116,7 @@ def name_tokens_match(t):
 
 
 @query("entity_normalise_overlap", r"""
-WITH n AS (SELECT p_partkey, array_to_string(list_filter(string_split_regex(lower(p_name || CASE WHEN p_partkey % 2 = 0 THEN ' LLC' ELSE ', Inc.' END), '[^a-z0-9]+'), lambda w: w <> '' AND NOT list_contains(['llc','inc','ltd','lp','llp','plc','ag','sa','corp','co','limited','company'], w)), ' ') AS entity_name FROM part),
+WITH n AS (SELECT p_partkey, array_to_string(list_filter(string_split_regex(lower(p_name || CASE WHEN p_partkey % 2 = 0 THEN ' LLC' ELSE ', Inc.' END), '[^a-z0-9]+'), lambda w: w <> '' AND NOT list_contains(['ag','co','company','corp','corporation','inc','limited','llc','lp','ltd','plc','pte'], w)), ' ') AS entity_name FROM part),
 b AS (SELECT DISTINCT array_to_string(list_filter(string_split_regex(lower(p_name), '[^a-z0-9]+'), lambda w: w <> ''), ' ') AS entity_name FROM part WHERE p_partkey % 10 = 0)
 SELECT p_partkey, entity_name FROM n SEMI JOIN b USING (entity_name)""")
 def entity_normalise_overlap(t):

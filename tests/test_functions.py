@@ -22,7 +22,7 @@ def of(spark):
     ("expression", "values", "want"),
     [
         (U.domain, ("https://www.a.com/",), "a.com"), (U.domain, ("",), ""), (U.domain, ("a.com/x",), ""), (lambda c: U.domain(c, "any"), ("a.com/x",), "a.com"), (lambda c: U.domain(c, "dotted"), ("nodots",), ""),
-        (U.domain_base, ("https://cattrail.com",), "cattrail"), (U.domain_base, ("a.b.co",), "ab"), (U.canonical, ("https://a.com/b/#x",), "https://a.com/b"), (U.audit_form, ("HTTPS://www.A.com",), "https://a.com/"),
+        (U.domain_base, ("https://oaktrail.com",), "oaktrail"), (U.domain_base, ("a.b.co",), "ab"), (U.canonical, ("https://a.com/b/#x",), "https://a.com/b"), (U.audit_form, ("HTTPS://www.A.com",), "https://a.com/"),
         (U.audit_form, ("./..\\reports\\x.md",), "reports/x.md"), (U.evidence_domain, ("reports/x.md",), ""), (U.url_list, ("['https://a.org', \"https://b.org\"]",), ["https://a.org", "https://b.org"]),
         (U.url_list, ("[]",), []), (U.url_list, (None,), []), (U.url_list, ("http://a.org",), ["http://a.org"]), (X.entity_name, ("X Investments LLC",), "x investments"), (X.registry_name, ("The Stone Family Office, LLC",), "stone"),
         (lambda c: X.person_name(c)[0], ("A W. B",), "A W."), (lambda c: X.person_name(c)[1], ("A B Jr.",), "B"), (lambda c: X.person_name(c)[1], ("B family",), ""), (lambda c: X.person_name(c)[1], ("Solo",), ""), (lambda c: X.person_name(c)[0], ("",), ""),

@@ -48,6 +48,12 @@ def column_difference(spark, have: dict[str, list[str]], want: dict[str, list[st
     return spark.createDataFrame(rows, "table_name string, column_name string, state string")
 
 
+def suspicious(text: Column, must: str, any_of: tuple[str, ...]) -> Column:
+    """Texts that hold one word and either of others, in any case; a null text holds none."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    return low.contains(must) & reduce(lambda a, b: a | b, (low.contains(w) for w in any_of))
+
+
 def exit_status(checks: DataFrame) -> DataFrame:
     """0 if no issue failed, else 1."""
     return checks.agg(F.coalesce(F.max(F.when((F.col("severity") == "issue") & ~F.col("ok"), 1)), F.lit(0)).cast("bigint").alias("exit_status"))

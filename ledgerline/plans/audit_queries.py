@@ -66,6 +66,13 @@ def audit_suspicious(t):
     return t("documents").where(F.col("source").isin("src1", "src2") | (F.col("doc_id") % 10 == 0)).select("doc_id", (low.contains("idiot") & (low.contains("clown") | low.contains("scum"))).alias("suspicious"))
 
 
+@query("audit_suspicious_all", """SELECT doc_id, coalesce(source IN ('src1', 'src2'), false) AS selected, coalesce(contains(lower(text), 'idiot') AND (contains(lower(text), 'clown') OR contains(lower(text), 'scum')), false) AS suspicious FROM documents""")
+def audit_suspicious_all(t):
+    """The rule on every document; audit_suspicious gives only the rows that its SQL names. The selector is a flag."""
+    selected = F.coalesce(F.col("source").isin("src1", "src2"), F.lit(False))
+    return t("documents").select("doc_id", selected.alias("selected"), A.suspicious(F.col("text"), "idiot", ("clown", "scum")).alias("suspicious"))
+
+
 @query("audit_status", """SELECT CASE WHEN (SELECT count(*) FROM orders WHERE o_totalprice < 0) > 0 OR (SELECT count(*) FROM lineitem WHERE l_quantity < 0) > 0 THEN 1 ELSE 0 END::BIGINT AS exit_status""")
 def audit_status(t):
     none = lambda o: o == 0

@@ -45,3 +45,10 @@ def test_plans(spark):
     plan = catalog.QUERIES["lookup_first"](spark, FOLDER)._jdf.queryExecution().toString()
     assert "PushedFilters: [IsNotNull(event_type)" in plan and "props" not in plan.split("ReadSchema")[1]
     assert "partial_min_by" in plan
+
+
+def test_suspicious_covers_every_document(spark, duck):
+    """No document is left out by its source or id."""
+    got = catalog.QUERIES["audit_suspicious_all"](spark, FOLDER)
+    want = "SELECT count(*), count(*) FILTER (WHERE contains(lower(text), 'idiot') AND (contains(lower(text), 'clown') OR contains(lower(text), 'scum'))) FROM documents"
+    assert (got.count(), got.where("suspicious").count()) == duck.sql(want).fetchall()[0]

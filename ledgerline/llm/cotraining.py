@@ -1,12 +1,14 @@
 """Quality classifier by co-training (operator 3).
 
 Two logistic classifiers see a document apart: one its text content (ratios of words, symbols, repetition), one its page
-metadata (source, language, length, line layout). Both start from labelled rows; in each round each of them labels the rows of an
-unlabelled pool of which it is most sure, and hands them to the other. In the end each view is calibrated, and a
+metadata (source, language, length, line layout). Both start from labelled rows; in each round each of them labels every unlabelled
+row of which it is sure, and the other is fitted anew on the labelled rows and these. In the end each view is calibrated, and a
 logistic combination of both is fitted, on labelled rows that neither was trained on; that scores all documents.
 
-Fitting takes at most `max_labelled` labelled documents of each class and `max_pool` unlabelled ones, the first by a hash of doc_id; only
-their features reach the driver, never texts. Features and scores are made for every document, from whole texts.
+All unlabelled rows take part in each round: Newton's method needs only sums over the rows (loss, gradient, Hessian), and a task
+returns one row of sums. The pseudo-labels of a class weigh together no more than its labelled rows, so that the views don't drift
+from the labels as the corpus grows. Fitting takes at most `max_labelled` labelled documents of each class, the first by a hash of
+doc_id; only their features reach the driver, never texts. Features and scores are made for every document, from whole texts.
 
 Defined results: a null or empty text has zero counts; null lang or source are values of their own; with no labelled rows
 of both classes every score is 1 (no evidence against any document); repeated rows score alike; an empty table gives an
@@ -62,13 +64,98 @@ _VIEWS = (text_view, metadata_view)
 class _View:
     """Standardised logistic regression."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray):
-        self.mean, self.scale = x.mean(0), np.maximum(x.std(0), 1e-3)
-        self.mean[-1], self.scale[-1] = 0, 1
-        self.w = _logistic((x - self.mean) / self.scale, y, ridge=1.0)
+    def __init__(self, mean: np.ndarray, scale: np.ndarray, w: np.ndarray):
+        self.mean, self.scale, self.w = mean, scale, w
+
+    def standard(self, x: np.ndarray) -> np.ndarray:
+        return (x - self.mean) / self.scale
 
     def logit(self, x: np.ndarray) -> np.ndarray:
-        return np.clip(((x - self.mean) / self.scale) @ self.w, -12, 12)
+        return np.clip(self.standard(x) @ self.w, -12, 12)
+
+
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def _moments(x: np.ndarray) -> np.ndarray:
+    return np.concatenate([[len(x)], x.sum(0), (x**2).sum(0)])
+
+
+def _newton_sums(x: np.ndarray, y: np.ndarray | float, w: np.ndarray) -> np.ndarray:
+    """Number of rows, log loss, its falling gradient and its Hessian at w."""
+    z = x @ w
+    p = _sigmoid(z)
+    return np.concatenate([[len(x), (np.logaddexp(0, z) - y * z).sum()], x.T @ (y - p), ((x * (p * (1 - p))[:, None]).T @ x).ravel()])
+
+
+def _columns(b: pa.RecordBatch) -> dict[str, np.ndarray]:
+    return {c: b.column(b.schema.get_field_index(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in _TEXT + _META}
+
+
+class _Unlabelled:
+    """Sums over all unlabelled rows; each task returns one row of them."""
+
+    def __init__(self, found: DataFrame):
+        self.found = found.select(*_TEXT, *_META)
+
+    def _total(self, sums) -> list[np.ndarray]:
+        """sums: features of a batch -> list of arrays, by place added up over all batches and tasks."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out = None
+            for b in batches:
+                if b.num_rows:
+                    own = sums(_columns(b))
+                    out = own if out is None else [a + o for a, o in zip(out, own, strict=True)]
+            if out is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([a.tobytes() for a in out], pa.binary()), pa.array(range(len(out)), pa.int32())], ["sums", "place"])
+
+        total: dict[int, np.ndarray] = {}
+        for r in self.found.mapInArrow(run, "sums binary, place int").collect():
+            total[r.place] = total.get(r.place, 0.0) + np.frombuffer(r.sums)
+        return [total[i] for i in sorted(total)]
+
+    def moments(self) -> list[np.ndarray]:
+        return self._total(lambda x: [_moments(f(x)) for f in _VIEWS])
+
+    def newton_sums(self, teachers: list[_View], weights: list[np.ndarray], sure: float) -> list[np.ndarray]:
+        """For each view and label 0 and 1: _newton_sums at its weights over the rows that the other view is sure of."""
+
+        def sums(x: dict[str, np.ndarray]) -> list[np.ndarray]:
+            seen, out = [f(x) for f in _VIEWS], []
+            for k in (0, 1):
+                p = _sigmoid(teachers[1 - k].logit(seen[1 - k]))
+                own = teachers[k].standard(seen[k])
+                out += [_newton_sums(own[by >= sure], label, weights[k]) for label, by in ((0.0, 1 - p), (1.0, p))]
+            return out
+
+        return self._total(sums)
+
+
+def _retrained(views: list[_View], at_hand: list[np.ndarray], y: np.ndarray, unlabelled: _Unlabelled, sure: float, ridge: float = 1.0, steps: int = 15) -> list[_View]:
+    """Both views fitted by Newton's method (a step that raises the loss is halved); one pass over the unlabelled rows a step."""
+    w = [v.w for v in views]
+    step = [np.zeros(len(v)) for v in w]
+    best = [np.inf, np.inf]
+    for _ in range(steps):
+        trial = [v + s for v, s in zip(w, step, strict=True)]
+        given = unlabelled.newton_sums(views, trial, sure)
+        for k in (0, 1):
+            sums = _newton_sums(views[k].standard(at_hand[k]), y, trial[k])
+            for label in (0, 1) if given else ():
+                own = given[2 * k + label]
+                sums = sums + own * min(1.0, (y == label).sum() / max(own[0], 1))
+            d = len(trial[k])
+            loss = sums[1] + ridge / 2 * trial[k] @ trial[k]
+            if loss > best[k] + 1e-9 * abs(best[k]):
+                step[k] = step[k] / 2
+                continue
+            w[k], best[k] = trial[k], loss
+            step[k] = np.linalg.solve(sums[2 + d :].reshape(d, d) + ridge * np.eye(d), sums[2 : 2 + d] - ridge * trial[k])
+        if max(np.abs(s).max() for s in step) < 1e-3:
+            break
+    return [_View(v.mean, v.scale, own) for v, own in zip(views, w, strict=True)]
 
 
 class CoTrained:
@@ -81,8 +168,8 @@ class CoTrained:
         return tuple(1 / (1 + np.exp(-np.clip(v, -30, 30))) for v in (*z, both))
 
 
-def cotrain(labelled: dict[str, np.ndarray], y: np.ndarray, pool: dict[str, np.ndarray], rounds: int = 4, share: float = 0.05, sure: float = 0.95) -> CoTrained | None:
-    """Fit both views; None without labelled rows of both classes. Each round a view hands over at most `share` of the pool by class."""
+def cotrain(labelled: dict[str, np.ndarray], y: np.ndarray, unlabelled: _Unlabelled, rounds: int = 4, sure: float = 0.95) -> CoTrained | None:
+    """Fit both views; None without labelled rows of both classes. Each round a view hands over all rows of which it is `sure`."""
     n = len(y)
     if n < 8 or y.min() == y.max():
         return None
@@ -92,23 +179,17 @@ def cotrain(labelled: dict[str, np.ndarray], y: np.ndarray, pool: dict[str, np.n
         if len(set(y[fold])) < 2 or len(set(y[~fold])) < 2:
             return None
     at_hand = [f(labelled) for f in _VIEWS]
-    free = [f(pool) for f in _VIEWS]
-    given: list[dict[int, float]] = [{}, {}]  # pseudo-labels by pool row that each view trains on
-    most = max(1, int(share * len(free[0])))
-
-    def train(k: int) -> _View:
-        rows = list(given[k])
-        return _View(np.vstack([at_hand[k][~fold], free[k][rows]]), np.concatenate([y[~fold], [given[k][r] for r in rows]]))
-
-    views = [train(0), train(1)]
-    for _ in range(rounds if len(free[0]) else 0):
-        for k in (0, 1):
-            p = 1 / (1 + np.exp(-views[k].logit(free[k])))
-            for label, by in ((1.0, p), (0.0, 1 - p)):
-                order = np.argsort(-by, kind="stable")
-                chosen = [r for r in order[: 4 * most].tolist() if by[r] >= sure and r not in given[1 - k]][:most]
-                given[1 - k].update(dict.fromkeys(chosen, label))
-        views = [train(0), train(1)]
+    trained = [x[~fold] for x in at_hand]
+    views = []
+    for x, free in zip(trained, unlabelled.moments() or [0.0, 0.0], strict=True):
+        total = _moments(x) + free
+        d = x.shape[1]
+        mean = total[1 : 1 + d] / total[0]
+        scale = np.maximum(np.sqrt(np.maximum(total[1 + d :] / total[0] - mean**2, 0)), 1e-3)
+        mean[-1], scale[-1] = 0, 1
+        views.append(_View(mean, scale, _logistic((x - mean) / scale, y[~fold], ridge=1.0)))
+    for _ in range(rounds):
+        views = _retrained(views, trained, y[~fold], unlabelled, sure)
     z = [v.logit(x[fold]) for v, x in zip(views, at_hand, strict=True)]
     ones = np.ones(int(fold.sum()))
     calibrations = [_logistic(np.column_stack([v, ones]), y[fold], ridge=0.1) for v in z]
@@ -120,7 +201,7 @@ def _arrays(rows) -> dict[str, np.ndarray]:
     return {c: rows[c].to_numpy(np.int64) for c in _TEXT + _META}
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = 6000, max_pool: int = 20_000) -> DataFrame:
+def score_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = 6000) -> DataFrame:
     """doc_id, text_probability, metadata_probability, score (probability of good), predicted and kept for every row."""
     spark = docs.sparkSession
     found = written(features(docs), "cotraining-features")
@@ -128,12 +209,12 @@ def score_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = 6000,
     take = lambda y: known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
     # Bounded by max_labelled of each class; an inner join with one row a doc_id.
     labelled = found.dropDuplicates(["doc_id"]).join(F.broadcast(take(1).unionByName(take(0))), "doc_id").toPandas().sort_values("doc_id")
-    pool = found.join(known.select("doc_id"), "doc_id", "left_anti").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_pool).toPandas()
-    model = spark.sparkContext.broadcast(cotrain(_arrays(labelled), labelled["y"].to_numpy(float), _arrays(pool)))
+    free = written(found.join(known.select("doc_id"), "doc_id", "left_anti"), "cotraining-unlabelled")
+    model = spark.sparkContext.broadcast(cotrain(_arrays(labelled), labelled["y"].to_numpy(float), _Unlabelled(free)))
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = {c: b.column(b.schema.get_field_index(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in _TEXT + _META}
+            x = _columns(b)
             n = b.num_rows
             text, meta, both = model.value.scores(x) if model.value is not None and n else (np.ones(n),) * 3
             yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index("doc_id")), pa.array(text), pa.array(meta), pa.array(both), pa.array((both >= 0.5).astype(np.int32)), pa.array(both >= 0.5)], ["doc_id", "text_probability", "metadata_probability", "score", "predicted", "kept"])

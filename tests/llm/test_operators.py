@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.llm import chat_tree, components, cotraining, decontaminate, jaccard_join, line_dedup, packing, pii, quality_rules, toxicity, warc
 from ledgerline.llm.queries import tokenizer_path
@@ -395,6 +396,20 @@ def test_classifiers(spark, docs, rows, empty):
     assert toxicity.score_documents(empty, labels).count() == 0 and cotraining.score_quality(empty, labels).count() == 0
 
 
+def test_every_unlabelled_row_trains(spark):
+    """Two sources that only the last rows by hash have, after 20,000 others, alike but for their texts: the metadata view tells them apart."""
+    data, marks = labelled(300)
+    ids = [r.doc_id for r in spark.range(10_000, 30_600).withColumnRenamed("id", "doc_id").orderBy(F.xxhash64("doc_id")).collect()]
+    good, bad = ("x" * 3 + " " + " ".join(WORDS[i % 50 : i % 50 + 12]) + " y" for i in (1, 1))
+    bad = good.upper().replace(" ", "!", 2)
+    source = {d: "last_good" if i % 2 else "last_bad" for i, d in enumerate(ids[-400:])}
+    data += [(d, bad if source.get(d) == "last_bad" or (d not in source and d % 2) else good, "en", source.get(d, "many"), len(good), None, None, None, None) for d in ids]
+    scored = cotraining.score_quality(spark.createDataFrame(data, DOCS), spark.createDataFrame(marks, "doc_id long, quality int, toxic int"))
+    p = {r.doc_id: r.metadata_probability for r in scored.where("doc_id >= 10000").collect()}
+    of = lambda name: {round(p[d], 9) for d, s in source.items() if s == name}
+    assert len(of("last_good")) == len(of("last_bad")) == 1 and max(of("last_bad")) < min(of("last_good")) - 0.01
+
+
 def test_toxicity_ignores_held_out_labels(spark):
     data, marks = labelled(200)
     table = spark.createDataFrame(data, DOCS)

@@ -1,7 +1,7 @@
 """Set similarity self-join on five-word shingles by chosen paths (operator 9).
 
 1. Texts of equal shingle sets collapse to one set with a count of copies.
-2. A set is embedded as 64 MinHash values. In each of `repetitions` runs a set chooses paths: at each node of a tree it goes on to
+2. A set is embedded as 64 MinHash values. In each run a set chooses paths: at each node of a tree it goes on to
    the children of those of its values that a hash of (path, value) picks, each with probability 1 / (threshold * 64). Similar
    sets pick the same values of those they share. Buckets of one set are done; buckets of at most `bucket` sets are brute-forced on
    the MinHash values; larger ones split on, and what the deepest level leaves too large is brute-forced in pairs of blocks.
@@ -11,8 +11,9 @@
    exactly by sparse products, block against block. A set's links are counted there and summed, so neither large groups of copies
    nor of near copies are expanded into pairs. Verified links give the classes.
 
-A pair of similarity 0.8 meets in a run of depth two with probability 0.47; 16 runs find it with 0.9999, and a cluster needs no pair
-to be found more than once, nor all of its pairs. Sets are told apart by 64-bit hashes.
+The runs are repeated until a pair at the threshold is found with `target_recall`: 16 runs for pairs that meet at depth two, more for sets
+whose buckets were split further, by the deepest level reached. The sketch test alone lets 0.99987 of the pairs at 0.8 through. A cluster
+needs no pair to be found more than once, nor all of its pairs. Sets are told apart by 64-bit hashes.
 
 Words are lower-cased and parted by ASCII white space. Defined results: a text of one to four words is one shingle; null, empty and
 wordless texts and null doc_ids are linked to nothing and are their own class (class_id = doc_id); rows that repeat a doc_id and
@@ -22,6 +23,7 @@ text are copies; an empty table gives an empty table; extra columns stay where d
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -84,14 +86,35 @@ def path_tokens(values: list[bytes]) -> np.ndarray:
     return mix64(v ^ _SALTS)
 
 
-def _root_paths(repetitions: int, depth: int, threshold: float):
-    seeds = mix64(np.arange(1, repetitions + 1, dtype=np.uint64) * np.uint64(7919))
+def _least_values(threshold: float) -> int:
+    return int(np.ceil((threshold - 0.2) * N_VALUES))
+
+
+def pair_recall(runs: int, depth: int, threshold: float) -> float:
+    """Chance that a pair at the threshold meets at that depth in one of the runs and passes the sketch test."""
+    shared = np.arange(N_VALUES + 1)
+    chance = np.array([comb(N_VALUES, k) for k in shared], float) * threshold**shared * (1 - threshold) ** (N_VALUES - shared)
+    meets = np.ones(N_VALUES + 1)
+    for _ in range(depth):
+        meets = 1 - (1 - np.minimum(meets / (threshold * N_VALUES), 1)) ** shared
+    return float(((1 - (1 - meets) ** runs) * chance)[_least_values(threshold) :].sum())
+
+
+def runs_for(target_recall: float, depth: int, threshold: float, most: int = 200) -> int:
+    for runs in range(1, most + 1):
+        if pair_recall(runs, depth, threshold) >= target_recall:
+            return runs
+    raise ValueError(f"{most} runs of depth {depth} don't reach a recall of {target_recall}")
+
+
+def _root_paths(runs: range, depth: int, threshold: float):
+    seeds = mix64(np.arange(runs.start + 1, runs.stop + 1, dtype=np.uint64) * np.uint64(7919))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sid = b.column(0).to_numpy()
             tokens = path_tokens(b.column(1).to_pylist())
-            rows = np.repeat(np.arange(len(sid)), repetitions)
+            rows = np.repeat(np.arange(len(sid)), len(runs))
             paths = np.tile(seeds, len(sid))
             for _ in range(depth):
                 rows, paths = next_paths(tokens, rows, paths, threshold)
@@ -183,11 +206,10 @@ def _block_rows(df: DataFrame, size) -> DataFrame:
     return df.withColumn("__own", own).withColumn("__other", F.explode(F.sequence(F.lit(0), (size - 1).cast("int")))).withColumns({"i": F.least("__own", "__other"), "j": F.greatest("__own", "__other")}).drop("__other")
 
 
-def candidate_edges(sets: DataFrame, threshold: float, repetitions: int, bucket: int, depth: int) -> DataFrame:
-    """Spanning edges (u, v) of the candidate clusters of sets (sid, sketch)."""
-    least = int(np.ceil((threshold - 0.2) * N_VALUES))
-    paths = sets.select("sid", "sketch").mapInArrow(_root_paths(repetitions, 2, threshold), "path long, sid long")
-    edges = None
+def _edges_of_runs(sets: DataFrame, threshold: float, runs: range, bucket: int, depth: int) -> tuple[DataFrame, int, DataFrame | None]:
+    """Spanning edges (u, v) that these runs find, the deepest level used, and the sets (sid) of buckets that were split."""
+    paths = sets.select("sid", "sketch").mapInArrow(_root_paths(runs, 2, threshold), "path long, sid long")
+    edges = split = None
     for level in range(2, depth + 1):
         paths = written(paths, "paths")
         sizes = paths.groupBy("path").agg(F.count("*").alias("c")).where("c > 1")
@@ -197,11 +219,29 @@ def candidate_edges(sets: DataFrame, threshold: float, repetitions: int, bucket:
         blocks = F.ceil(F.col("c") / bucket).cast("int")
         small = held if last else held.where(F.col("c") <= bucket)
         keyed = _block_rows(small.withColumn("__n", blocks), F.col("__n")).select("path", "i", "j", "sid", "sketch")
-        found = keyed.repartition("path", "i", "j").sortWithinPartitions("path", "i", "j").mapInArrow(_bucket_edges(least), "u long, v long")
+        found = keyed.repartition("path", "i", "j").sortWithinPartitions("path", "i", "j").mapInArrow(_bucket_edges(_least_values(threshold)), "u long, v long")
         edges = found if edges is None else edges.unionByName(found)
         if last:
             break
+        split = large.select("sid").distinct() if split is None else split
         paths = large.select("path", "sid", "sketch").mapInArrow(_deeper_paths(threshold), "path long, sid long")
+    return edges, level, split
+
+
+def candidate_edges(sets: DataFrame, threshold: float, target_recall: float, bucket: int, depth: int) -> DataFrame:
+    """Spanning edges (u, v) of the candidate clusters of sets (sid, sketch).
+
+    Only a pair of sets that both were in split buckets has to meet below depth two, so only these sets get more runs.
+    """
+    done, wanted, deepest = 0, runs_for(target_recall, 2, threshold), 2
+    edges, at_hand = None, sets
+    while done < wanted:
+        found, level, split = _edges_of_runs(at_hand, threshold, range(done, wanted), bucket, depth)
+        edges = found if edges is None else edges.unionByName(found)
+        if split is not None and not done:
+            at_hand = written(sets.join(split, "sid", "left_semi"), "split")
+        deepest, done = max(deepest, level), wanted
+        wanted = runs_for(target_recall, deepest, threshold)
     return edges
 
 
@@ -290,7 +330,7 @@ def _verified(percent: int):
     return run
 
 
-def similarity_classes(docs: DataFrame, threshold: float = 0.8, repetitions: int = 16, bucket: int = 256, depth: int = 4) -> DataFrame:
+def similarity_classes(docs: DataFrame, threshold: float = 0.8, target_recall: float = 0.9998, bucket: int = 256, depth: int = 4) -> DataFrame:
     """doc_id, row_key (hash of the text), class_id and n_links for every row of docs."""
     spark = docs.sparkSession
     tune(spark)
@@ -299,7 +339,7 @@ def similarity_classes(docs: DataFrame, threshold: float = 0.8, repetitions: int
     rows = written(slim.mapInArrow(_embedded, "doc_id long, row_key long, sid long, n_shingles long, sketch binary"), "sketches")
     usable = rows.where(F.col("sid").isNotNull() & F.col("doc_id").isNotNull())
     sets = written(usable.groupBy("sid").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("copies"), F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch")), "sets")
-    clusters = connected_components(candidate_edges(sets, threshold, repetitions, bucket, depth))
+    clusters = connected_components(candidate_edges(sets, threshold, target_recall, bucket, depth))
     members = clusters.select(F.col("node").alias("sid"), F.col("root").alias("comp")).join(sets.drop("sketch"), "sid")
     sizes = members.groupBy("comp").agg(F.count("*").alias("g"), F.sum("n_shingles").alias("total"))
     sizes = sizes.select("comp", F.greatest(F.ceil(F.col("g") / bucket), F.ceil(F.col("total") / 2_000_000)).cast("int").alias("n_blocks"))

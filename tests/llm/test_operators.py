@@ -396,6 +396,15 @@ def test_classifiers(spark, docs, rows, empty):
     assert toxicity.score_documents(empty, labels).count() == 0 and cotraining.score_quality(empty, labels).count() == 0
 
 
+def test_runs_reach_the_target_recall():
+    """The fixed 16 runs lost 0.4 % of the pairs at depth four."""
+    assert jaccard_join.pair_recall(16, 4, 0.8) < 0.997 and jaccard_join.runs_for(0.9998, 2, 0.8) == 16
+    for depth in (2, 3, 4):
+        assert jaccard_join.pair_recall(jaccard_join.runs_for(0.9998, depth, 0.8), depth, 0.8) >= 0.9998
+    with pytest.raises(ValueError):
+        jaccard_join.runs_for(0.99999, 2, 0.8)
+
+
 def test_every_unlabelled_row_trains(spark):
     """Two sources that only the last rows by hash have, after 20,000 others, alike but for their texts: the metadata view tells them apart."""
     data, marks = labelled(300)

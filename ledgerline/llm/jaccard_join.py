@@ -331,7 +331,7 @@ def _verified(percent: int):
 
 
 def similarity_classes(docs: DataFrame, threshold: float = 0.8, target_recall: float = 0.9998, bucket: int = 256, depth: int = 4) -> DataFrame:
-    """doc_id, row_key (hash of the text), class_id and n_links for every row of docs."""
+    """doc_id, row_key (hash of the text), class_id, n_links and root (the class's set id, null without words or doc_id) for every row of docs."""
     spark = docs.sparkSession
     tune(spark)
     key = F.xxhash64(text_bytes()).alias("row_key")
@@ -352,9 +352,9 @@ def similarity_classes(docs: DataFrame, threshold: float = 0.8, target_recall: f
     classes = classes.select(F.col("node").alias("sid"), "root")
     info = sets.select("sid", "first_doc", "copies").join(classes, "sid", "left").join(links, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     least = info.groupBy("root").agg(F.min("first_doc").alias("class_id"))
-    by_set = info.join(least, "root").select("sid", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    by_set = info.join(least, "root").select("sid", "root", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     out = rows.select("doc_id", "row_key", F.when(F.col("doc_id").isNotNull(), F.col("sid")).alias("sid")).join(by_set, "sid", "left")
-    return out.select("doc_id", "row_key", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return out.select("doc_id", "row_key", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "root")
 
 
 def join_report(docs: DataFrame) -> DataFrame:
@@ -364,10 +364,10 @@ def join_report(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """One row of docs for each class, its smallest doc_id's; rows with a null doc_id and texts without words all stay."""
     marked = similarity_classes(docs, **options)
-    # Of a class: the first row of its smallest doc_id.
-    kept = marked.where(F.col("doc_id") == F.col("class_id")).groupBy("class_id", "doc_id").agg(F.min("row_key").alias("row_key"), F.max("n_links").alias("links"))
-    alone = marked.where(F.col("doc_id").isNotNull() & (F.col("doc_id") == F.col("class_id")) & (F.col("n_links") == 0)).select("doc_id", "row_key")
-    keep = kept.where("links > 0").select("doc_id", "row_key").unionByName(alone).distinct()
+    # A class is told by its root: two classes can share a doc_id that has two texts, and so a class_id.
+    least = marked.where(F.col("root").isNotNull()).groupBy("root").agg(F.min(F.struct("doc_id", "row_key")).alias("least")).select("least.*")
+    alone = marked.where(F.col("root").isNull() & F.col("doc_id").isNotNull()).select("doc_id", "row_key")
+    keep = least.unionByName(alone).distinct()
     left = docs.withColumns({"__doc": F.col("doc_id").cast("long"), "__row_key": F.xxhash64(text_bytes())})
     right = keep.select(F.col("doc_id").alias("__doc"), F.col("row_key").alias("__row_key"))
     held = left.where(F.col("__doc").isNotNull()).join(right, ["__doc", "__row_key"], "left_semi")

@@ -405,6 +405,13 @@ def test_runs_reach_the_target_recall():
         jaccard_join.runs_for(0.99999, 2, 0.8)
 
 
+def test_classes_that_share_a_doc_id_both_stay(spark):
+    rng = random.Random(4)
+    a, b = prose(rng, 60), prose(rng, 60)
+    table = spark.createDataFrame([(5, a), (7, a + "\n"), (5, b), (9, b + "\n"), (11, prose(rng, 60))], "doc_id long, text string")
+    assert sorted((r.doc_id, r.text) for r in jaccard_join.one_of_each(table).where("doc_id < 11").collect()) == sorted([(5, a), (5, b)])
+
+
 def test_every_unlabelled_row_trains(spark):
     """Two sources that only the last rows by hash have, after 20,000 others, alike but for their texts: the metadata view tells them apart."""
     data, marks = labelled(300)

@@ -257,10 +257,16 @@ def schema_rules(t):
     return t("orders").select("o_orderkey", F.explode(broken).alias("b")).select("o_orderkey", "b.*")
 
 
+_WHITE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
+
 @query("placeholder_reject", """SELECT doc_id, lower(trim(substr(text, 1, 12))) IN ('hidden', 'tbd', 'todo', 'dummy', 'example.com') OR contains(text, 'example.com') AS rejected FROM documents""")
 def placeholder_reject(t):
-    head = F.lower(F.trim(F.substring("text", 1, 12)))
-    return t("documents").select("doc_id", (head.isin("hidden", "tbd", "todo", "dummy", "example.com") | F.col("text").contains("example.com")).alias("rejected"))
+    """The whole text, stripped of white space as the reference strips it, is a placeholder, or a URL at a placeholder host."""
+    value = F.lower(F.btrim(F.col("text"), F.lit(_WHITE)))
+    host = F.regexp_extract(value, r"^https?://(?:www\.)?([^/]*)", 1)
+    rejected = value.isin("hidden", "tbd", "todo", "dummy", "example.com") | host.isin("example.com", "example.org", "example.net") | F.col("text").contains("example.com")
+    return t("documents").select("doc_id", rejected.alias("rejected"))
 
 
 @query("triage_rules", r"""

@@ -52,3 +52,10 @@ def test_suspicious_covers_every_document(spark, duck):
     got = catalog.QUERIES["audit_suspicious_all"](spark, FOLDER)
     want = "SELECT count(*), count(*) FILTER (WHERE contains(lower(text), 'idiot') AND (contains(lower(text), 'clown') OR contains(lower(text), 'scum'))) FROM documents"
     assert (got.count(), got.where("suspicious").count()) == duck.sql(want).fetchall()[0]
+
+
+def test_placeholder_reads_the_whole_text(spark, tmp_path):
+    texts = ["TBD" + " " * 20 + "a long text", " " * 15 + "\u00a0ToDo\n", "https://www.example.org/a", "http://example.net", "https://notexample.org/", "hidden", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.rejected for r in catalog.QUERIES["placeholder_reject"](spark, str(tmp_path)).collect()}
+    assert [got[i] for i in range(7)] == [False, True, True, True, False, True, None]

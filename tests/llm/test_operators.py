@@ -1,6 +1,7 @@
 """Each operator against brute force, and on nulls, empty and long texts, ties, repeated rows, empty tables and odd columns."""
 
 import hashlib
+import inspect
 import random
 import re
 import zlib
@@ -426,6 +427,11 @@ def test_every_unlabelled_row_trains(spark):
     assert len(of("last_good")) == len(of("last_bad")) == 1 and max(of("last_bad")) < min(of("last_good")) - 0.01
 
 
+def test_toxicity_bounds_are_not_cut():
+    bounds = inspect.signature(toxicity.train).parameters
+    assert (bounds["max_toxic"].default, bounds["max_clean"].default) == (4000, 8000)
+
+
 def test_toxicity_ignores_held_out_labels(spark):
     data, marks = labelled(200)
     table = spark.createDataFrame(data, DOCS)

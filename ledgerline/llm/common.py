@@ -25,12 +25,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def tune(spark: SparkSession) -> None:
     """Small Arrow batches: a batch of long texts must fit beside the other tasks of an executor."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
+def carried(docs: DataFrame) -> DataFrame:
+    """Each row of docs whole in one column `row`, so that no column of an operator can clash with one of the table."""
+    return docs.select(F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]).alias("row"))
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; a temporary one only where it names none, as in tests."""
+    """The shared folder that the cluster names; a temporary one only where all runs on one machine, as in tests."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         if app not in _own_root:
             _own_root[app] = tempfile.mkdtemp(prefix="ledgerline-")
@@ -61,6 +69,11 @@ def text_bytes(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")
 
 
+def merged(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """A join of two sides that both grow with the corpus: neither is ever broadcast, so the plan is the same at every size."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -70,19 +83,25 @@ def decode(raw: bytes) -> str:
 
 
 class WordHashes(dict):
-    """64-bit hash by word; forgets all when it holds `most` words, so that memory stays bounded."""
+    """64-bit hash by word; holds short words only, and forgets all at `most`, so that memory stays bounded."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 100_000, longest: int = 64):
         super().__init__()
-        self.most = most
+        self.most, self.longest = most, longest
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= self.longest:
+            if len(self) >= self.most:
+                self.clear()
+            self[word] = h
         return h
 
 
+#: One for all operators that a Python worker serves.
+WORD_HASHES = WordHashes()
+
+
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _S29, _S32 = np.uint64(29), np.uint64(32)
 

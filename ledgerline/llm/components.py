@@ -5,29 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import merged, written
 
 
 def _smallest(edges: DataFrame) -> DataFrame:
     """(u, v, m): m the least of u and its neighbours."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    return edges.join(least, "u").withColumn("m", F.least("u", "m"))
+    return merged(edges, least, "u").withColumn("m", F.least("u", "m"))
+
+
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether each node has one smaller neighbour, which itself has none."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up = 1 and down = 1)").isEmpty()
 
 
 def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """(node, root) for every node of edges (u, v); root is its component's smallest node."""
+    """(node, root) for every node of edges (u, v); root is its component's smallest node.
+
+    The rounds grow with the logarithm of a component's size; RuntimeError if they have not ended after most_rounds.
+    """
     ends = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    ends, mark = written(ends, "edges"), None
+    ends = written(ends, "edges")
     for _ in range(most_rounds):
+        if _all_stars(ends):
+            roots = ends.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            return roots.unionByName(ends.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         both = ends.unionByName(ends.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _smallest(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = _smallest(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         # Small star: only neighbours below u, and u itself.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+        small = merged(large, least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         ends = written(small, "edges")
-        now = tuple(ends.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
-        if now == mark:
-            break
-        mark = now
-    roots = ends.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return roots.unionByName(ends.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    raise RuntimeError(f"components have not converged after {most_rounds} rounds")

@@ -23,10 +23,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, chain_hashes, decode, mix64, text_bytes, tune
+from .common import WORD_HASHES, WordHashes, chain_hashes, decode, mix64, text_bytes, tune
 
 WIDTH, BASE = 5, 8
-_hashes = WordHashes()
 _N_HASHES = 64
 _MULTIPLIERS = mix64(np.arange(1, _N_HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 _PART = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
@@ -68,7 +67,7 @@ class ItemIndex:
         found: list[list[tuple[int, int, int]]] = [[] for _ in raws]
         if not self.items:
             return found
-        docs = [shingles(r, _hashes) for r in raws]
+        docs = [shingles(r, WORD_HASHES) for r in raws]
         filled = [i for i, d in enumerate(docs) if len(d)]
         if not filled:
             return found

@@ -1,23 +1,25 @@
 """Set similarity self-join on five-word shingles by chosen paths (operator 9).
 
 1. Texts of equal shingle sets collapse to one set with a count of copies.
-2. A set is embedded as 64 MinHash values. In each run a set chooses paths: at each node of a tree it goes on to
+2. A set is embedded as 64 MinHash values (32 bits choose paths; the lowest 8 bits travel to be compared, which can only add candidates). In each run a set chooses paths: at each node of a tree it goes on to
    the children of those of its values that a hash of (path, value) picks, each with probability 1 / (threshold * 64). Similar
-   sets pick the same values of those they share. Buckets of one set are done; buckets of at most `bucket` sets are brute-forced on
-   the MinHash values; larger ones split on, and what the deepest level leaves too large is brute-forced in pairs of blocks.
-   Sets whose estimate reaches threshold - 0.2 (four standard deviations) join one candidate cluster; only edges of a spanning
-   forest leave a bucket, never all pairs.
+   sets pick the same values of those they share. Sets whose estimate by the MinHash values reaches threshold - 0.2 (four standard
+   deviations) join one candidate cluster. Two first runs compare within blocks of the first level's buckets only, which joins most of
+   any large group. In the runs that count a bucket whose sets are of one cluster needs no look, pairs within a cluster aren't
+   compared, and a bucket returns fewer edges than it holds clusters. Buckets of at most `bucket` clusters are brute-forced; larger
+   ones split on, and what the deepest level leaves too large is brute-forced in pairs of blocks.
 3. Every set of a candidate cluster is shipped once for each block of its cluster, and all pairs within the cluster are verified
-   exactly by sparse products, block against block. A set's links are counted there and summed, so neither large groups of copies
-   nor of near copies are expanded into pairs. Verified links give the classes.
+   exactly by sparse products, block against block. A set's links are counted there and summed: pairs are compared, since a
+   link that is counted has to be verified, but never emitted. Verified links give the classes.
 
-The runs are repeated until a pair at the threshold is found with `target_recall`: 16 runs for pairs that meet at depth two, more for sets
-whose buckets were split further, by the deepest level reached. The sketch test alone lets 0.99987 of the pairs at 0.8 through. A cluster
+The runs are repeated until a pair at the threshold is found with `target_recall`, reckoned for the deepest level that is in use; only sets
+whose buckets were split get the further runs. The sketch test alone lets 0.99987 of the pairs at 0.8 through. A cluster
 needs no pair to be found more than once, nor all of its pairs. Sets are told apart by 64-bit hashes.
 
 Words are lower-cased and parted by ASCII white space. Defined results: a text of one to four words is one shingle; null, empty and
-wordless texts and null doc_ids are linked to nothing and are their own class (class_id = doc_id); rows that repeat a doc_id and
-text are copies; an empty table gives an empty table; extra columns stay where documents are returned.
+wordless texts and null doc_ids are linked to nothing and are their own class (class_id = doc_id); a text of any length is one set, and a
+set larger than a block is a block of its own; rows that repeat a doc_id and text are copies, of which any one stays; ties at the
+threshold are links; an empty table gives an empty table; extra columns of any name stay where documents are returned.
 """
 
 from __future__ import annotations
@@ -28,20 +30,19 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, mix64, shingle_sequence, text_bytes, tune, written
+from .common import WORD_HASHES, carried, merged, mix64, shingle_sequence, text_bytes, tune, written
 from .components import connected_components
 
 N_VALUES = 64
 _MULTIPLIERS = mix64(np.arange(101, 101 + N_VALUES, dtype=np.uint64)) | np.uint64(1)
 _SALTS = mix64(np.arange(1, N_VALUES + 1, dtype=np.uint64))
-_hashes = WordHashes()
 
 
 def shingle_set(raw: bytes) -> np.ndarray:
-    return np.unique(shingle_sequence(raw, _hashes))
+    return np.unique(shingle_sequence(raw, WORD_HASHES))
 
 
 def set_id(shingles: np.ndarray) -> int:
@@ -60,11 +61,12 @@ def _embedded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = [shingle_set(r) for r in b.column(2).to_pylist()]
         some = [i for i, s in enumerate(sets) if len(s)]
         values: list[bytes | None] = [None] * len(sets)
+        short = list(values)
         if some:
             for i, row in zip(some, sketches([sets[i] for i in some]), strict=True):
-                values[i] = row.tobytes()
+                values[i], short[i] = row.tobytes(), row.astype(np.uint8).tobytes()
         ids = [set_id(s) if len(s) else None for s in sets]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(values, pa.binary())], ["doc_id", "row_key", "sid", "n_shingles", "sketch"])
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(values, pa.binary()), pa.array(short, pa.binary())], ["doc_id", "row_key", "sid", "n_shingles", "sketch", "short"])
 
 
 def next_paths(tokens: np.ndarray, rows: np.ndarray, paths: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -107,29 +109,34 @@ def runs_for(target_recall: float, depth: int, threshold: float, most: int = 200
     raise ValueError(f"{most} runs of depth {depth} don't reach a recall of {target_recall}")
 
 
-def _root_paths(runs: range, depth: int, threshold: float):
+_PATHS = "path long, sid long, comp long"
+
+
+def _path_batch(paths: np.ndarray, rows: np.ndarray, sid: np.ndarray, comp: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(paths.astype(np.int64)), pa.array(sid[rows]), pa.array(comp[rows])], ["path", "sid", "comp"])
+
+
+def _root_paths(runs: range, threshold: float):
+    """(sid, comp, sketch) -> the paths of the first level."""
     seeds = mix64(np.arange(runs.start + 1, runs.stop + 1, dtype=np.uint64) * np.uint64(7919))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sid = b.column(0).to_numpy()
-            tokens = path_tokens(b.column(1).to_pylist())
-            rows = np.repeat(np.arange(len(sid)), len(runs))
-            paths = np.tile(seeds, len(sid))
-            for _ in range(depth):
-                rows, paths = next_paths(tokens, rows, paths, threshold)
-            yield pa.RecordBatch.from_arrays([pa.array(paths.astype(np.int64)), pa.array(sid[rows])], ["path", "sid"])
+            sid, comp = b.column(0).to_numpy(), b.column(1).to_numpy()
+            rows, paths = next_paths(path_tokens(b.column(2).to_pylist()), np.repeat(np.arange(len(sid)), len(runs)), np.tile(seeds, len(sid)), threshold)
+            yield _path_batch(paths, rows, sid, comp)
 
     return run
 
 
 def _deeper_paths(threshold: float):
+    """(path, sid, comp, sketch) -> the paths of the next level."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sid = b.column(1).to_numpy()
-            tokens = path_tokens(b.column(2).to_pylist())
-            rows, paths = next_paths(tokens, np.arange(len(sid)), b.column(0).to_numpy().astype(np.uint64), threshold)
-            yield pa.RecordBatch.from_arrays([pa.array(paths.astype(np.int64)), pa.array(sid[rows])], ["path", "sid"])
+            sid, comp = b.column(1).to_numpy(), b.column(2).to_numpy()
+            rows, paths = next_paths(path_tokens(b.column(3).to_pylist()), np.arange(len(sid)), b.column(0).to_numpy().astype(np.uint64), threshold)
+            yield _path_batch(paths, rows, sid, comp)
 
     return run
 
@@ -148,50 +155,54 @@ def _groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[tu
         yield current, rows
 
 
-class _Forest:
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def root(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = self.up[self.up[i]]
-            i = self.up[i]
-        return i
+def _edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
+    u, v = zip(*edges, strict=True) if edges else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
-    def join(self, i: int, j: int) -> None:
-        a, b = self.root(i), self.root(j)
-        if a != b:
-            self.up[max(a, b)] = min(a, b)
 
+def _merge(labels: np.ndarray, i: int, others: np.ndarray) -> list[int]:
+    """Give the groups of `others` the label of i; one place of each group that is new to i's."""
+    found = []
+    for label in np.unique(labels[others]):
+        if label != labels[i]:
+            found.append(int(others[np.argmax(labels[others] == label)]))
+    for j in found:
+        labels[labels == labels[j]] = labels[i]
+    return found
 
-def _spanning(ids: list[int], pairs) -> list[tuple[int, int]]:
-    """Edges (id, smallest id of its part) of the parts that pairs of places make; ids ascend."""
-    forest = _Forest(len(ids))
-    for i, j in pairs:
-        forest.join(i, j)
-    return [(ids[i], ids[r]) for i in range(len(ids)) if (r := forest.root(i)) != i]
 
+def new_edges(sid: np.ndarray, comp: np.ndarray, own: np.ndarray, short: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """Fewest edges that link sets which agree in at least `least` values, beyond what one comp links already.
 
-def _edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
-    u, v = zip(*edges, strict=True) if edges else ((), ())
-    return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+    Of two blocks (own differs) only edges from one to the other: each block by itself finds its own.
+    """
+    order = np.argsort(comp, kind="stable")
+    sid, comp, own, short = sid[order], comp[order], own[order], short[order]
+    after = np.searchsorted(comp, comp, side="right")  # the sets from there on are of other clusters
+    labels = np.searchsorted(comp, comp)
+    two = len(np.unique(own)) > 1
+    out = []
+    for within in (True, False) if two else (True,):
+        for i, at in enumerate(after.tolist()):
+            near = ((short[at:] == short[i]).sum(1) >= least) & (labels[at:] != labels[i]) & ((own[at:] == own[i]) == within)
+            joined = _merge(labels, i, at + np.flatnonzero(near))
+            if within != two:
+                out += [(int(sid[i]), int(sid[j])) for j in joined]
+    return out
 
 
 def _bucket_edges(least: int):
-    """(path, i, j, sid, sketch) in order -> spanning edges among sets that agree in at least `least` values.
+    """(path, i, j, own, sid, comp, short) in order -> new_edges of each (path, i, j).
 
-    i and j number blocks of a bucket: (0, 0) is a whole bucket, (i, i) one block, (i, j) two blocks, all compared.
+    i and j number blocks of a bucket: (0, 0) is a whole bucket, (i, i) one block, (i, j) two blocks.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[int, int]] = []
         for _, rows in _groups(batches, 3):
-            rows = sorted(set(rows))
-            v = np.frombuffer(b"".join(r[1] for r in rows), np.uint32).reshape(-1, N_VALUES)
-            near = []
-            for i in range(len(rows) - 1):
-                near += [(i, i + 1 + j) for j in np.flatnonzero((v[i + 1 :] == v[i]).sum(1) >= least).tolist()]
-            out += _spanning([r[0] for r in rows], near)
+            rows = sorted(set(rows))  # two paths of a set can meet in one hash
+            own, sid, comp = (np.array([r[k] for r in rows], np.int64) for k in range(3))
+            out += new_edges(sid, comp, own, np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(-1, N_VALUES), least)
             if len(out) > 8192:
                 yield _edge_batch(out)
                 out = []
@@ -200,49 +211,97 @@ def _bucket_edges(least: int):
     return run
 
 
-def _block_rows(df: DataFrame, size) -> DataFrame:
-    """Each row for every pair of blocks (i, j) that its block is in; the group has `size` blocks."""
-    own = F.pmod(F.xxhash64("sid"), size).cast("int")
-    return df.withColumn("__own", own).withColumn("__other", F.explode(F.sequence(F.lit(0), (size - 1).cast("int")))).withColumns({"i": F.least("__own", "__other"), "j": F.greatest("__own", "__other")}).drop("__other")
+def _block_rows(df: DataFrame, block: int, crowded: Column) -> DataFrame:
+    """Each row for every pair of blocks (i, j) that its block `own` is in.
+
+    A crowded bucket is dealt into blocks. Blocks of its main cluster (`most` of its `c` sets, if that is more than a block) meet
+    those of the other sets only, so that a very large cluster with few sets beside it goes out once.
+    """
+    inside = F.when(crowded & (F.col("most") > block), F.col("most")).otherwise(F.lit(0))
+    is_main = (inside > 0) & (F.col("comp") == F.col("main"))
+    n_rest = F.when(crowded, F.ceil((F.col("c") - inside) / block)).otherwise(F.lit(1)).cast("int")
+    n_main = F.ceil(inside / block).cast("int")
+    dealt = F.xxhash64("sid", "path")
+    own = F.when(is_main, n_rest + F.pmod(dealt, F.greatest(n_main, F.lit(1)))).otherwise(F.pmod(dealt, n_rest)).cast("int")
+    others = F.sequence(F.lit(0), n_rest - 1 + F.when(is_main, F.lit(0)).otherwise(n_main))
+    out = df.withColumns({"own": own, "other": others}).withColumn("other", F.explode("other"))
+    return out.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).select("path", "i", "j", "own", "sid", "comp", "short")
+
+
+def _compared(keyed: DataFrame, threshold: float) -> DataFrame:
+    found = keyed.repartition("path", "i", "j").sortWithinPartitions("path", "i", "j").mapInArrow(_bucket_edges(_least_values(threshold)), "u long, v long")
+    return written(found, "found")
+
 
+def _mixed_buckets(sets: DataFrame, paths: DataFrame) -> DataFrame:
+    """path, sid, comp, short and the size c of the buckets that hold sets of several clusters."""
+    mixed = paths.groupBy("path").agg(F.count("*").alias("c"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("path", "c")
+    return written(merged(merged(paths, mixed, "path"), sets.select("sid", "short"), "sid").select("path", "sid", "comp", "short", "c"), "buckets")
 
-def _edges_of_runs(sets: DataFrame, threshold: float, runs: range, bucket: int, depth: int) -> tuple[DataFrame, int, DataFrame | None]:
-    """Spanning edges (u, v) that these runs find, the deepest level used, and the sets (sid) of buckets that were split."""
-    paths = sets.select("sid", "sketch").mapInArrow(_root_paths(runs, 2, threshold), "path long, sid long")
+
+def _first_edges(sets: DataFrame, threshold: float, runs: range, block: int) -> DataFrame:
+    """Edges (u, v) within buckets of the first level, and within blocks of larger ones: enough to join most of a large group."""
+    paths = written(sets.select("sid", "comp", "sketch").mapInArrow(_root_paths(runs, threshold), _PATHS), "paths")
+    held = _mixed_buckets(sets, paths)
+    own = F.pmod(F.xxhash64("sid", "path"), F.ceil(F.col("c") / block)).cast("int")
+    return _compared(held.withColumn("own", own).select("path", F.col("own").alias("i"), F.col("own").alias("j"), "own", "sid", "comp", "short"), threshold)
+
+
+def _crowded(held: DataFrame, bucket: int) -> DataFrame | None:
+    """path, number of clusters k, and the main cluster and its size, for buckets of more than `bucket` sets; None if there are none."""
+    large = held.where(F.col("c") > bucket)
+    if large.isEmpty():
+        return None
+    clusters = large.groupBy("path", "comp").agg(F.count("*").alias("n"))
+    return written(clusters.groupBy("path").agg(F.count("*").alias("k"), F.max("n").alias("most"), F.max_by("comp", "n").alias("main")), "crowded")
+
+
+def _edges_of_runs(sets: DataFrame, threshold: float, runs: range, bucket: int, block: int, depth: int) -> tuple[DataFrame, int, DataFrame | None]:
+    """New edges (u, v) that these runs find among sets (sid, comp, sketch, short), the deepest level used, and the sets (sid) of split buckets."""
+    paths = sets.select("sid", "comp", "sketch").mapInArrow(_root_paths(runs, threshold), _PATHS)
     edges = split = None
-    for level in range(2, depth + 1):
-        paths = written(paths, "paths")
-        sizes = paths.groupBy("path").agg(F.count("*").alias("c")).where("c > 1")
-        held = written(paths.join(sizes, "path").join(sets.select("sid", "sketch"), "sid").select("path", "sid", "sketch", "c"), "buckets")
-        large = held.where(F.col("c") > bucket)
-        last = level == depth or large.isEmpty()
-        blocks = F.ceil(F.col("c") / bucket).cast("int")
-        small = held if last else held.where(F.col("c") <= bucket)
-        keyed = _block_rows(small.withColumn("__n", blocks), F.col("__n")).select("path", "i", "j", "sid", "sketch")
-        found = keyed.repartition("path", "i", "j").sortWithinPartitions("path", "i", "j").mapInArrow(_bucket_edges(_least_values(threshold)), "u long, v long")
+    for level in range(1, depth + 1):
+        held = _mixed_buckets(sets, written(paths, "paths"))
+        crowded = _crowded(held, bucket)
+        if crowded is None:
+            marked = held.withColumns({"k": F.lit(0), "most": F.lit(0), "main": F.lit(0)})
+        elif crowded.count() <= 20_000:
+            marked = held.join(F.broadcast(crowded), "path", "left")
+        else:
+            marked = merged(held, crowded, "path", "left")
+        marked = marked.withColumn("k", F.coalesce("k", F.lit(0)))
+        last = crowded is None or level == depth or crowded.where(F.col("k") > bucket).isEmpty()
+        small = marked if last else marked.where(F.col("k") <= bucket)
+        found = _compared(_block_rows(small, block, F.col("k") > 0), threshold)
         edges = found if edges is None else edges.unionByName(found)
         if last:
             break
-        split = large.select("sid").distinct() if split is None else split
-        paths = large.select("path", "sid", "sketch").mapInArrow(_deeper_paths(threshold), "path long, sid long")
+        large = written(marked.where(F.col("k") > bucket).select("path", "sid", "comp"), "split")
+        split = large.select("sid") if split is None else split.unionByName(large.select("sid"))
+        paths = merged(large, sets.select("sid", "sketch"), "sid").select("path", "sid", "comp", "sketch").mapInArrow(_deeper_paths(threshold), _PATHS)
     return edges, level, split
 
 
-def candidate_edges(sets: DataFrame, threshold: float, target_recall: float, bucket: int, depth: int) -> DataFrame:
-    """Spanning edges (u, v) of the candidate clusters of sets (sid, sketch).
+def candidate_clusters(sets: DataFrame, threshold: float, target_recall: float, bucket: int, block: int, depth: int, first_runs: int = 2) -> DataFrame:
+    """(node, root) of the sets (sid, sketch, short) that lie in candidate clusters.
 
-    Only a pair of sets that both were in split buckets has to meet below depth two, so only these sets get more runs.
+    `first_runs` runs, which don't count for the recall, join most sets of large groups. The runs that count follow. Only a pair of
+    sets that both were in split buckets has to meet below the first level, so only these sets get the runs for deeper levels.
     """
-    done, wanted, deepest = 0, runs_for(target_recall, 2, threshold), 2
-    edges, at_hand = None, sets
-    while done < wanted:
-        found, level, split = _edges_of_runs(at_hand, threshold, range(done, wanted), bucket, depth)
-        edges = found if edges is None else edges.unionByName(found)
-        if split is not None and not done:
-            at_hand = written(sets.join(split, "sid", "left_semi"), "split")
+    own = sets.withColumn("comp", F.col("sid"))
+    known = connected_components(_first_edges(own, threshold, range(1_000_000, 1_000_000 + first_runs), block))
+    pool = merged(sets, known, sets["sid"] == known["node"], "left").select("sid", F.coalesce("root", "sid").alias("comp"), "sketch", "short")
+    pool, split = written(pool, "pool"), None
+    edges = known.select(F.col("node").alias("u"), F.col("root").alias("v"))
+    done, deepest = 0, 1
+    while done < (wanted := runs_for(target_recall, deepest, threshold)):
+        at_hand = pool if split is None else written(merged(pool, split.distinct(), "sid", "left_semi"), "split")
+        found, level, parted = _edges_of_runs(at_hand, threshold, range(done, wanted), bucket, block, depth)
+        edges = edges.unionByName(found)
+        if parted is not None:
+            split = parted if split is None else split.unionByName(parted)
         deepest, done = max(deepest, level), wanted
-        wanted = runs_for(target_recall, deepest, threshold)
-    return edges
+    return connected_components(edges)
 
 
 def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
@@ -257,18 +316,18 @@ def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
     order = np.argsort(column, kind="stable")
     column, row = column[order], row[order]
     total = np.zeros((n, n), np.float32)
-    width = 8192
+    width = 2048
     for at in range(0, int(often.sum()), width):
         a, b = np.searchsorted(column, [at, at + width])
         x = np.zeros((n, width), np.float32)
         x[row[a:b], column[a:b] - at] = 1
         total += x @ x.T
-    return total.astype(np.int64)
+    return total.astype(np.int32)
 
 
 def _block_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(comp, n_blocks, sid, copies, text) -> a row for each pair of blocks, with the set; rows whose text isn't the set's go."""
-    names = ["comp", "i", "j", "own", "sid", "copies", "shingles"]
+    names = ["comp", "i", "j", "own", "sid", "copies", "whole", "shingles"]
     for b in batches:
         out, size = [], 0
         for comp, n_blocks, sid, copies, raw in zip(*(c.to_pylist() for c in b.columns), strict=True):
@@ -278,7 +337,7 @@ def _block_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = int(mix64(np.array([sid], np.int64).astype(np.uint64))[0] % np.uint64(n_blocks))
             packed = shingles.tobytes()
             for other in range(n_blocks):
-                out.append((comp, min(own, other), max(own, other), own, sid, copies, packed))
+                out.append((comp, min(own, other), max(own, other), own, sid, copies, n_blocks == 1, packed))
                 size += len(packed)
                 if size > 16 << 20:
                     yield _key_batch(out, names)
@@ -288,19 +347,20 @@ def _block_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _key_batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) if rows else [()] * len(names)
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
 def _verified(percent: int):
-    """Groups (comp, i, j) -> for each set of a group: its links there (counted by copies), and the smallest set of its part."""
+    """Groups (comp, i, j) -> for each set of a group: its links there (counted by copies), the smallest set of its part, and
+    whether that group is its whole cluster."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple[int, int, int]] = []
+        out: list[tuple] = []
 
         def batch() -> pa.RecordBatch:
-            columns = list(zip(*out, strict=True)) if out else [()] * 3
-            found = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["sid", "links", "root"])
+            columns = list(zip(*out, strict=True)) if out else [()] * 4
+            found = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.int64()] * 3 + [pa.bool_()], strict=True)], ["sid", "links", "root", "whole"])
             out.clear()
             return found
 
@@ -310,19 +370,20 @@ def _verified(percent: int):
             if len(rows) < 2:
                 continue
             own, copies = np.array([r[0] for r in rows]), np.array([r[2] for r in rows])
-            sets = [np.frombuffer(r[3], np.uint64) for r in rows]
-            size = np.array([len(s) for s in sets])
+            sets = [np.frombuffer(r[4], np.uint64) for r in rows]
+            size = np.array([len(s) for s in sets], np.int32)
             shared = shared_counts(sets)
-            near = 100 * shared >= percent * (size[:, None] + size[None, :] - shared)
+            near = (100 + percent) * shared.astype(np.int64) >= percent * (size[:, None] + size[None, :])
             np.fill_diagonal(near, False)
             if i != j:
                 near &= own[:, None] != own[None, :]
             links = near @ copies
             ids = [r[1] for r in rows]
-            forest = _Forest(len(ids))
-            for a, b in zip(*np.nonzero(np.triu(near)), strict=True):
-                forest.join(int(a), int(b))
-            out += [(ids[k], int(links[k]), ids[forest.root(k)]) for k in range(len(ids)) if links[k]]
+            labels = np.arange(len(ids))
+            for k in range(len(ids)):
+                _merge(labels, k, np.flatnonzero(near[k]))
+            smallest = {int(x): ids[int(np.argmax(labels == x))] for x in np.unique(labels)}
+            out += [(ids[k], int(links[k]), smallest[int(labels[k])], rows[0][3]) for k in range(len(ids)) if links[k]]
             if len(out) > 4096:
                 yield batch()
         yield batch()
@@ -330,30 +391,34 @@ def _verified(percent: int):
     return run
 
 
-def similarity_classes(docs: DataFrame, threshold: float = 0.8, target_recall: float = 0.9998, bucket: int = 256, depth: int = 4) -> DataFrame:
+def similarity_classes(
+    docs: DataFrame, threshold: float = 0.8, target_recall: float = 0.9998, bucket: int = 1024, block: int = 2048, depth: int = 4, block_sets: int = 512, block_shingles: int = 500_000
+) -> DataFrame:
     """doc_id, row_key (hash of the text), class_id, n_links and root (the class's set id, null without words or doc_id) for every row of docs."""
     spark = docs.sparkSession
     tune(spark)
     key = F.xxhash64(text_bytes()).alias("row_key")
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key, text_bytes().alias("raw"))
-    rows = written(slim.mapInArrow(_embedded, "doc_id long, row_key long, sid long, n_shingles long, sketch binary"), "sketches")
+    rows = written(slim.mapInArrow(_embedded, "doc_id long, row_key long, sid long, n_shingles long, sketch binary, short binary"), "sketches")
     usable = rows.where(F.col("sid").isNotNull() & F.col("doc_id").isNotNull())
-    sets = written(usable.groupBy("sid").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("copies"), F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch")), "sets")
-    clusters = connected_components(candidate_edges(sets, threshold, target_recall, bucket, depth))
-    members = clusters.select(F.col("node").alias("sid"), F.col("root").alias("comp")).join(sets.drop("sketch"), "sid")
+    sets = written(usable.groupBy("sid").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("copies"), F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch"), F.max("short").alias("short")), "sets")
+    clusters = candidate_clusters(sets.select("sid", "sketch", "short"), threshold, target_recall, bucket, block, depth)
+    members = merged(clusters.select(F.col("node").alias("sid"), F.col("root").alias("comp")), sets.drop("sketch", "short"), "sid")
     sizes = members.groupBy("comp").agg(F.count("*").alias("g"), F.sum("n_shingles").alias("total"))
-    sizes = sizes.select("comp", F.greatest(F.ceil(F.col("g") / bucket), F.ceil(F.col("total") / 2_000_000)).cast("int").alias("n_blocks"))
-    wanted = members.join(sizes, "comp").select(F.col("first_doc").alias("doc_id"), "comp", "n_blocks", "sid", "copies")
+    sizes = sizes.select("comp", F.greatest(F.ceil(F.col("g") / block_sets), F.ceil(F.col("total") / block_shingles)).cast("int").alias("n_blocks"))
+    wanted = merged(members, sizes, "comp").select(F.col("first_doc").alias("doc_id"), "comp", "n_blocks", "sid", "copies")
     texts = slim.select("doc_id", "raw").join(wanted.hint("shuffle_hash"), "doc_id").select("comp", "n_blocks", "sid", "copies", "raw")
-    keyed = texts.mapInArrow(_block_keys, "comp long, i int, j int, own int, sid long, copies long, shingles binary")
-    verified = written(keyed.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j").mapInArrow(_verified(round(100 * threshold)), "sid long, links long, root long"), "links")
-    links = verified.groupBy("sid").agg(F.sum("links").alias("links"))
-    classes = connected_components(verified.select(F.col("sid").alias("u"), F.col("root").alias("v")))
-    classes = classes.select(F.col("node").alias("sid"), "root")
-    info = sets.select("sid", "first_doc", "copies").join(classes, "sid", "left").join(links, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    keyed = texts.mapInArrow(_block_keys, "comp long, i int, j int, own int, sid long, copies long, whole boolean, shingles binary")
+    verified = written(keyed.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j").mapInArrow(_verified(round(100 * threshold)), "sid long, links long, root long, whole boolean"), "links")
+    found = verified.groupBy("sid").agg(F.sum("links").alias("links"), F.min("root").alias("root"))
+    parts = verified.where("not whole").select(F.col("sid").alias("u"), F.col("root").alias("v"))
+    if not parts.isEmpty():  # clusters of several blocks: what the pairs of blocks found apart is joined
+        across = connected_components(parts).select(F.col("node").alias("sid"), F.col("root").alias("joined"))
+        found = merged(found, across, "sid", "left").select("sid", "links", F.coalesce("joined", "root").alias("root"))
+    info = merged(sets.select("sid", "first_doc", "copies"), found, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     least = info.groupBy("root").agg(F.min("first_doc").alias("class_id"))
-    by_set = info.join(least, "root").select("sid", "root", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    out = rows.select("doc_id", "row_key", F.when(F.col("doc_id").isNotNull(), F.col("sid")).alias("sid")).join(by_set, "sid", "left")
+    by_set = merged(info, least, "root").select("sid", "root", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    out = merged(rows.select("doc_id", "row_key", F.when(F.col("doc_id").isNotNull(), F.col("sid")).alias("sid")), by_set, "sid", "left")
     return out.select("doc_id", "row_key", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "root")
 
 
@@ -368,9 +433,8 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     least = marked.where(F.col("root").isNotNull()).groupBy("root").agg(F.min(F.struct("doc_id", "row_key")).alias("least")).select("least.*")
     alone = marked.where(F.col("root").isNull() & F.col("doc_id").isNotNull()).select("doc_id", "row_key")
     keep = least.unionByName(alone).distinct()
-    left = docs.withColumns({"__doc": F.col("doc_id").cast("long"), "__row_key": F.xxhash64(text_bytes())})
-    right = keep.select(F.col("doc_id").alias("__doc"), F.col("row_key").alias("__row_key"))
-    held = left.where(F.col("__doc").isNotNull()).join(right, ["__doc", "__row_key"], "left_semi")
-    wordless = ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    single = held.where(~wordless).dropDuplicates(["__doc", "__row_key"]).unionByName(held.where(wordless))
-    return single.unionByName(left.where(F.col("__doc").isNull())).select(*docs.columns)
+    left = carried(docs).withColumns({"doc_id": F.col("row.doc_id").cast("long"), "row_key": F.xxhash64(text_bytes("row.text"))})
+    held = merged(left.where(F.col("doc_id").isNotNull()), keep, ["doc_id", "row_key"], "left_semi")
+    wordless = ~F.coalesce("row.text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    single = held.where(~wordless).dropDuplicates(["doc_id", "row_key"]).unionByName(held.where(wordless))
+    return single.unionByName(left.where(F.col("doc_id").isNull())).select("row.*")

@@ -256,8 +256,8 @@ def test_jaccard_join(spark, rows, empty):
     every = [*rows, *near_copies()]
     table = spark.createDataFrame(every, DOCS).repartition(5)
     assert Counter(tuple(r) for r in jaccard_join.join_report(table).collect()) == brute_classes(every)
-    # Small buckets: levels below the second, and blocks, are used.
-    small = jaccard_join.similarity_classes(table, bucket=16, depth=3)
+    # Small buckets: levels below the first, and blocks, are used.
+    small = jaccard_join.similarity_classes(table, bucket=16, block=32, depth=3, block_sets=16)
     assert Counter((r.doc_id, r.class_id, r.n_links) for r in small.collect()) == brute_classes(every)
     kept = jaccard_join.one_of_each(table)
     assert kept.columns == table.columns

@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
-from .quality_rules import with_stats
+from .common import text_bytes, tune, written
+from .quality_rules import text_statistics
 from .toxicity import _logistic
 
 _HASHED = 64
@@ -37,8 +37,9 @@ def features(docs: DataFrame) -> DataFrame:
     """doc_id and the raw numbers of both views for every row of docs."""
     column = lambda c: F.col(c).cast("string") if c in docs.columns else F.lit(None).cast("string")
     slot = lambda c: F.pmod(F.xxhash64(F.lit(c), column(c)), F.lit(_HASHED)).cast("long")
-    q = F.col("__q")
-    counted = with_stats(docs.select("doc_id", "text", slot("lang").alias("lang_slot"), slot("source").alias("source_slot")))
+    q = F.col("q")
+    tune(docs.sparkSession)
+    counted = docs.select("doc_id", "text", slot("lang").alias("lang_slot"), slot("source").alias("source_slot")).withColumn("q", text_statistics(text_bytes()))
     return counted.select("doc_id", *(q[c].alias(c) for c in _TEXT), F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"), q["n_lines"].alias("n_lines"), q["n_dup_lines"].alias("n_dup_lines"), "lang_slot", "source_slot")
 
 

@@ -1,11 +1,13 @@
 """Quality rules by weak supervision (operator 8).
 
 Each rule votes bad (0), good (1) or abstains on a document's statistics. Expectation-maximisation over the counts of
-vote patterns of ALL documents estimates each rule's accuracy (at most 3 ** len(RULES) patterns reach the driver, however
-many documents there are), and the posterior probability of good replaces all-must-pass filtering.
+vote patterns of ALL documents estimates each rule's accuracy (each rule has two outcomes, so at most 2 ** len(RULES) patterns
+reach the driver, however many documents there are), and the posterior probability of good replaces all-must-pass filtering.
+A document goes at a posterior under 0.25: it has to be three times as likely bad as good, since a good one lost costs more.
 
-Defined results: a null or text without words has no words, fails the base test and is not kept; an empty table gives
-an empty table; repeated rows are scored one by one; extra columns stay.
+Defined results: a null or text without words has no words, fails the base test and is not kept; a text of any length is counted whole; a
+posterior that ties with the threshold is kept; an empty table gives an empty table; repeated rows are scored one by one; extra
+columns of any name stay.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import decode, text_bytes, tune, written
+from .common import carried, decode, text_bytes, tune, written
 
 _COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct", "n_upper", "n_bangs", "n_long_words"]
 STATS = "struct<" + ",".join(f"{c}:long" for c in _COUNTS) + ">"
@@ -72,20 +74,19 @@ def text_stats(raw: bytes) -> tuple[int, ...]:
     )
 
 
-def with_stats(docs: DataFrame) -> DataFrame:
-    """docs with __q, the struct of its statistics."""
-    tune(docs.sparkSession)
+def text_statistics(raw: Column) -> Column:
+    """The struct of a text's statistics, from its bytes."""
 
     @F.arrow_udf(STATS)
     def stats(raw: pa.Array) -> pa.Array:
         found = np.array([text_stats(r) for r in raw.to_pylist()], np.int64).reshape(-1, len(_COUNTS))
         return pa.StructArray.from_arrays([pa.array(found[:, i]) for i in range(len(_COUNTS))], _COUNTS)
 
-    return docs.withColumn("__q", stats(text_bytes()))
+    return stats(raw)
 
 
-def base_failed(q: Column = None) -> Column:
-    q = F.col("__q") if q is None else q
+def base_failed() -> Column:
+    q = F.col("q")
     return (q["n_words"] < 50) | (100 * q["n_repeat_words"] > 50 * q["n_words"])
 
 
@@ -96,7 +97,7 @@ def _vote(bad: Column, good: Column | None = None) -> Column:
 
 def votes() -> Column:
     """One character by rule: 0 bad, 1 good, - abstains."""
-    q = F.col("__q")
+    q = F.col("q")
     n = F.greatest(q["n_words"], F.lit(1))
     lines = F.greatest(q["n_lines"], F.lit(1))
     per_word = lambda c: q[c] / n
@@ -147,27 +148,29 @@ def fit_label_model(patterns: dict[str, int], prior_good: float = 0.85, rounds:
 
 
 def with_votes(docs: DataFrame) -> DataFrame:
-    return with_stats(docs).withColumn("__votes", votes())
+    """row (each row of docs whole), q (its statistics) and votes."""
+    tune(docs.sparkSession)
+    return carried(docs).withColumn("q", text_statistics(text_bytes("row.text"))).withColumn("votes", votes())
 
 
 def with_verdict(counted: DataFrame, threshold: float = 0.25) -> DataFrame:
-    """counted, which comes from with_votes(), with __base_failed, __p (probability of good) and __kept."""
-    patterns = {r["__votes"]: r["n"] for r in counted.groupBy("__votes").agg(F.count("*").alias("n")).collect()}
-    model = fit_label_model(patterns)
-    table = F.create_map(*[F.lit(x) for k, p in model["posterior"].items() for x in (k, p)]) if patterns else F.create_map().cast("map<string,double>")
-    out = counted.withColumns({"__base_failed": base_failed(), "__p": table[F.col("__votes")]})
-    return out.withColumn("__kept", ~F.col("__base_failed") & (F.coalesce("__p", F.lit(0.0)) >= threshold))
+    """counted, which has q and votes, with base_failed, p (probability of good) and kept."""
+    patterns = {r["votes"]: r["n"] for r in counted.groupBy("votes").agg(F.count("*").alias("n")).collect()}
+    table = counted.sparkSession.createDataFrame(list(fit_label_model(patterns)["posterior"].items()), "votes string, p double")
+    # At most 2 ** len(RULES) rows.
+    out = counted.join(F.broadcast(table), "votes", "left").withColumn("base_failed", base_failed())
+    return out.withColumn("kept", ~F.col("base_failed") & (F.coalesce("p", F.lit(0.0)) >= threshold))
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep, with the columns of docs."""
-    return with_verdict(with_votes(docs)).where("__kept").select(*docs.columns)
+    return with_verdict(written(with_votes(docs), "quality-votes")).where("kept").select("row.*")
 
 
 def quality_report(docs: DataFrame) -> DataFrame:
-    q = F.col("__q")
-    counted = written(with_votes(docs.select("doc_id", "text")).drop("text"), "quality-stats")
-    return with_verdict(counted).select(
+    q = F.col("q")
+    counted = with_votes(docs.select("doc_id", "text")).select(F.col("row.doc_id").alias("doc_id"), "q", "votes")
+    return with_verdict(written(counted, "quality-stats")).select(
         "doc_id", q["n_words"].alias("n_words"), q["word_chars"].alias("word_chars"), q["n_symbols"].alias("n_symbols"), q["n_dup_lines"].alias("n_dup_lines"),
-        q["n_repeat_words"].alias("n_repeat_words"), F.col("__base_failed").alias("base_failed"), F.col("__kept").alias("kept"), F.col("__p").alias("quality_probability"),
+        q["n_repeat_words"].alias("n_repeat_words"), "base_failed", "kept", F.col("p").alias("quality_probability"),
     )

@@ -8,7 +8,8 @@ The outcome is a compressed keep bitmap for each document that loses lines, neve
 
 Defined results: a null or empty text is one empty line; empty lines and keys shorter than `min_chars` always stay;
 rows that repeat a doc_id count as one document, and all of them lose or keep a line alike; a null doc_id counts as
-one document below all others; an empty table gives an empty table; extra columns stay as they are.
+one document below all others; a very long text is one row of lines, each a hash; an empty table gives an empty table; extra columns of
+any name stay as they are.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, NO_ID, text_bytes, tune, written
+from .common import ASCII_SPACE, NO_ID, carried, text_bytes, tune, written
 
 _SPACE = ASCII_SPACE.encode()
 _LINES = "hi long, lo long, doc long, row_key long, positions array<int>"
@@ -176,10 +177,9 @@ def kept_lines(raw: bytes, bitmap: bytes | None) -> tuple[bytes, int, int]:
 
 
 def with_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """docs, all its columns as they are, with __keep_bitmap beside (null: all lines stay)."""
-    small = bitmaps.select(F.col("doc").alias("__doc"), F.col("row_key").alias("__row_key"), F.col("keep_bitmap").alias("__keep_bitmap"))
-    left = docs.withColumns({"__doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "__row_key": F.xxhash64(text_bytes())})
-    return left.join(small.hint("shuffle_hash"), ["__doc", "__row_key"], "left").drop("__doc", "__row_key")
+    """row (each row of docs whole) and its keep_bitmap (null: all lines stay)."""
+    left = carried(docs).withColumns({"doc": F.coalesce(F.col("row.doc_id").cast("long"), F.lit(NO_ID)), "row_key": F.xxhash64(text_bytes("row.text"))})
+    return left.join(bitmaps.select("doc", "row_key", "keep_bitmap").hint("shuffle_hash"), ["doc", "row_key"], "left").select("row", "keep_bitmap")
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
@@ -189,13 +189,16 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
     def keep(raw, bitmap):
         import pandas as pd
 
-        return pd.Series([kept_lines(r, b)[0].decode("utf-8", "replace") for r, b in zip(raw, bitmap, strict=True)], dtype=object)
+        return pd.Series([None if b is None else kept_lines(r, b)[0].decode("utf-8", "replace") for r, b in zip(raw, bitmap, strict=True)], dtype=object)
 
     marked = with_bitmaps(docs, keep_bitmaps(docs, min_chars, min_docs))
-    out = marked.withColumn("text", F.when(F.col("__keep_bitmap").isNull(), F.col("text")).otherwise(keep(text_bytes(), F.col("__keep_bitmap"))))
+    loses = F.col("keep_bitmap").isNotNull()
+    # A text that keeps all its lines doesn't go to Python: a null goes in its place.
+    out = marked.withColumn("left", keep(F.when(loses, text_bytes("row.text")), F.col("keep_bitmap")))
+    row = F.col("row").withField("text", F.when(loses, F.col("left")).otherwise(F.col("row.text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length(F.coalesce("text", F.lit(""))).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        row = row.withField("n_chars", F.length(F.coalesce(F.when(loses, F.col("left")).otherwise(F.col("row.text")), F.lit(""))).cast(docs.schema["n_chars"].dataType))
+    return out.select(row.alias("row")).select("row.*")
 
 
 def line_report(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
@@ -208,4 +211,4 @@ def line_report(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([x[1] for x in found], pa.int64()), pa.array([x[2] for x in found], pa.int64()), pa.array([hashlib.sha256(x[0]).hexdigest() for x in found], pa.string())], ["doc_id", "n_lines", "n_dropped", "kept_sha256"])
 
     marked = with_bitmaps(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), keep_bitmaps(docs, min_chars, min_docs))
-    return marked.select("doc_id", text_bytes().alias("raw"), "__keep_bitmap").mapInArrow(digests, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
+    return marked.select(F.col("row.doc_id").alias("doc_id"), text_bytes("row.text").alias("raw"), "keep_bitmap").mapInArrow(digests, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")

@@ -6,14 +6,17 @@ window and its Jaccard similarity with that window is bounded from below, howeve
 compared by 64 MinHash values with one value a band; minima of the larger windows come from those of the smaller ones.
 Each candidate is verified: the part of the item's shingles that the whole document holds must reach the threshold.
 
-Chance to find an item of q shingles at containment c: about 1 - (1 - cq / 2U) ** 64, over 0.9999 where q >= U / 2 and c >= 0.8,
-and 0.98 for an item of a single shingle.
+Chance to find an item of q shingles at containment c: about 1 - (1 - cq / 2U) ** 64, over 0.9999 where q >= U / 2 and c >= 0.8.
+Items of up to three shingles, where that chance would be less, are looked up by their shingles themselves. An item of one to
+four words is one shingle, the run of its words.
 
-The item index goes to executors in blocks of at most `block_chars` characters of items; more items mean more
-blocks, each searched against all documents, so no broadcast grows with the benchmark.
+The item index goes to executors in blocks of at most `block_chars` characters of items. Blocks are searched one after the other against
+all documents, and each block's result is written before the next index is made, so that neither the driver nor a worker holds more
+than one block, however large the benchmark.
 
-Words are lower-cased, ASCII punctuation parts them. Defined results: null and empty texts, and items or documents of fewer
-than five words, match nothing; repeated rows each match; an empty table on either side gives no match; extra columns stay.
+Words are lower-cased, ASCII punctuation parts them. Defined results: null texts and texts without words hold nothing, and such items are held
+by nothing; a text of any length is searched whole; a containment that ties with the threshold counts; repeated rows each match; an empty
+table on either side gives no match; extra columns of any name stay.
 """
 
 from __future__ import annotations
@@ -23,36 +26,49 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_HASHES, WordHashes, chain_hashes, decode, mix64, text_bytes, tune
+from .common import WORD_HASHES, WordHashes, carried, chain_hashes, decode, mix64, text_bytes, tune, written
 
-WIDTH, BASE = 5, 8
+WIDTH, BASE, FEW = 5, 8, 3
 _N_HASHES = 64
 _MULTIPLIERS = mix64(np.arange(1, _N_HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 _PART = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
 HITS = "array<struct<item_id:long,item_shingles:int,shared:int>>"
 
 
-def shingles(raw: bytes, hashes: WordHashes) -> np.ndarray:
+def word_hashes(raw: bytes, hashes: WordHashes) -> np.ndarray:
     words = decode(raw).lower().encode().translate(_PART).split()
-    return chain_hashes(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)), WIDTH)
+    return np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+
+
+def runs(words: np.ndarray, width: int) -> np.ndarray:
+    """Hash of each run of `width` words; those of different widths differ."""
+    return chain_hashes(words, width) ^ np.uint64(width)
 
 
 class ItemIndex:
-    """MinHash values and shingles of a block of items, by size class."""
+    """MinHash values and shingles of a block of items, by size class; the shingles of short ones as they are."""
 
     def __init__(self, items: list[tuple[int, bytes]]):
         hashes = WordHashes()
-        self.items: list[tuple[int, np.ndarray]] = []
+        #: id, width of its shingles, shingles
+        self.items: list[tuple[int, int, np.ndarray]] = []
         self.bands: dict[int, list[dict[int, list[int]]]] = {}
+        by_width: dict[int, dict[int, list[int]]] = {}
         for item_id, raw in items:
-            own = np.unique(shingles(raw, hashes))
-            if not len(own):
+            words = word_hashes(raw, hashes)
+            width = min(len(words), WIDTH)
+            if not width:
                 continue
-            level = max(0, int(np.ceil(np.log2(len(own) / BASE))))
-            bands = self.bands.setdefault(level, [{} for _ in range(_N_HASHES)])
-            for k in range(_N_HASHES):
-                bands[k].setdefault(int((own * _MULTIPLIERS[k]).min()), []).append(len(self.items))
-            self.items.append((item_id, own))
+            own = np.unique(runs(words, width))
+            if len(own) <= FEW:
+                for h in own.tolist():
+                    by_width.setdefault(width, {}).setdefault(h, []).append(len(self.items))
+            else:
+                bands = self.bands.setdefault(max(0, int(np.ceil(np.log2(len(own) / BASE)))), [{} for _ in range(_N_HASHES)])
+                for k in range(_N_HASHES):
+                    bands[k].setdefault(int((own * _MULTIPLIERS[k]).min()), []).append(len(self.items))
+            self.items.append((item_id, width, own))
+        self.few = {w: (np.array(sorted(at), np.uint64), at) for w, at in by_width.items()}
         #: By class and band: whether a value with these low 16 bits occurs, and the values.
         self.filters = {}
         for level, bands in self.bands.items():
@@ -67,10 +83,32 @@ class ItemIndex:
         found: list[list[tuple[int, int, int]]] = [[] for _ in raws]
         if not self.items:
             return found
-        docs = [shingles(r, WORD_HASHES) for r in raws]
+        words = [word_hashes(r, WORD_HASHES) for r in raws]
+        docs = [runs(w, WIDTH) for w in words]
+        pairs = self._few_pairs(words, docs)
         filled = [i for i, d in enumerate(docs) if len(d)]
-        if not filled:
-            return found
+        if filled and self.bands:
+            pairs |= self._long_pairs(docs, filled)
+        for at, item in pairs:
+            item_id, width, own = self.items[item]
+            shared = int(np.isin(own, docs[at] if width == WIDTH else runs(words[at], width)).sum())
+            if shared >= threshold * len(own):
+                found[at].append((item_id, len(own), shared))
+        return [sorted(f) for f in found]
+
+    def _few_pairs(self, words: list[np.ndarray], docs: list[np.ndarray]) -> set[tuple[int, int]]:
+        """(text, item) that share a shingle, for items of few shingles."""
+        pairs: set[tuple[int, int]] = set()
+        for width, (sorted_runs, at) in self.few.items():
+            for i, w in enumerate(words):
+                own = docs[i] if width == WIDTH else runs(w, width)
+                place = np.minimum(np.searchsorted(sorted_runs, own), len(sorted_runs) - 1)
+                for h in np.unique(own[sorted_runs[place] == own]).tolist():
+                    pairs.update((i, item) for item in at[h])
+        return pairs
+
+    def _long_pairs(self, docs: list[np.ndarray], filled: list[int]) -> set[tuple[int, int]]:
+        """(text, item) that agree in a band of a window."""
         joined = np.concatenate([docs[i] for i in filled])
         n_blocks = np.array([-(-len(docs[i]) // BASE) for i in filled])
         starts = np.concatenate([at + np.arange(0, len(docs[i]), BASE) for i, at in zip(filled, np.cumsum([0, *(len(docs[i]) for i in filled[:-1])]), strict=True)])
@@ -91,13 +129,8 @@ class ItemIndex:
                 band = self.bands[level][k]
                 for w, value in zip(maybe.tolist(), windows[k][maybe].tolist(), strict=True):
                     for item in band.get(value, ()):
-                        pairs.add((int(owner[w]), item))
-        for at, item in pairs:
-            item_id, own = self.items[item]
-            shared = int(np.isin(own, docs[filled[at]]).sum())
-            if shared >= threshold * len(own):
-                found[filled[at]].append((item_id, len(own), shared))
-        return [sorted(f) for f in found]
+                        pairs.add((filled[int(owner[w])], item))
+        return pairs
 
 
 def _item_blocks(items: DataFrame, block_chars: int):
@@ -110,12 +143,19 @@ def _item_blocks(items: DataFrame, block_chars: int):
         yield [(r["item_id"], bytes(r["raw"])) for r in block.collect()]
 
 
-def contamination(docs: DataFrame, items: DataFrame, threshold: float = 0.8, block_chars: int = 4_000_000) -> Column:
-    """Column of docs: the benchmark items that its text holds, by containment."""
+def _searches(docs: DataFrame, items: DataFrame, threshold: float, block_chars: int):
+    """For each block of items a function from the bytes of a text to its hits, and whether it is the last."""
     spark = docs.sparkSession
     tune(spark)
-    columns = [_search_udf(spark.sparkContext.broadcast(ItemIndex(block)), threshold)(text_bytes()) for block in _item_blocks(items, block_chars)]
-    return F.concat(*columns) if columns else F.array().cast(HITS)
+    block = None
+    for following in _item_blocks(items, block_chars):
+        if block is not None:
+            shared = spark.sparkContext.broadcast(ItemIndex(block))
+            yield _search_udf(shared, threshold), False
+            shared.destroy()  # its result is written
+        block = following
+    if block is not None:
+        yield _search_udf(spark.sparkContext.broadcast(ItemIndex(block)), threshold), True
 
 
 def _search_udf(index, threshold: float):
@@ -128,12 +168,20 @@ def _search_udf(index, threshold: float):
     return hits
 
 
-def leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.8, block_chars: int = 4_000_000) -> DataFrame:
     """A row for each document and item that it holds: doc_id, item_id, item_shingles, shared, containment."""
-    marked = docs.select("doc_id", contamination(docs, items, threshold).alias("hits"))
-    return marked.select("doc_id", F.explode("hits").alias("h")).select("doc_id", F.col("h.item_id").alias("item_id"), F.col("h.item_shingles").cast("long").alias("item_shingles"), F.col("h.shared").cast("long").alias("shared"), (F.col("h.shared") / F.col("h.item_shingles")).alias("containment"))
+    out = docs.select("doc_id", F.explode(F.array().cast(HITS)).alias("h")).where("false")
+    for k, (hits, last) in enumerate(_searches(docs, items, threshold, block_chars)):
+        found = docs.select("doc_id", F.explode(hits(text_bytes())).alias("h"))
+        found = found if last else written(found, "leaks")
+        out = out.unionByName(found) if k else found
+    return out.select("doc_id", F.col("h.item_id").alias("item_id"), F.col("h.item_shingles").cast("long").alias("item_shingles"), F.col("h.shared").cast("long").alias("shared"), (F.col("h.shared") / F.col("h.item_shingles")).alias("containment"))
 
 
-def clean_documents(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> DataFrame:
+def clean_documents(docs: DataFrame, items: DataFrame, threshold: float = 0.8, block_chars: int = 4_000_000) -> DataFrame:
     """docs without those that hold an item; their columns stay."""
-    return docs.withColumn("__hits", contamination(docs, items, threshold)).where(F.size("__hits") == 0).select(*docs.columns)
+    left = carried(docs)
+    for hits, last in _searches(docs, items, threshold, block_chars):
+        left = left.where(F.size(hits(text_bytes("row.text"))) == 0)
+        left = left if last else written(left, "clean")
+    return left.select("row.*")

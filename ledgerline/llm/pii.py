@@ -5,10 +5,13 @@ digit counts, Luhn, mod-97) drops those that fail; words near a span raise or lo
 got from the pieces between matches, which split() gives, and the matches themselves.
 
 The patterns are possessive and tied to the start of a run, so that no text takes quadratic time or deep recursion; they match
-what the plain forms in FORMS match. IBANs are the kind that the method adds; the base kinds stay as they are.
+what the plain forms in FORMS match. IBANs and assigned secrets (a name such as token or password, a sign, and a value of 16 or more
+letters and digits mixed) are the kinds that the method adds; the base kinds stay as they are. Every span carries its score, and
+whether it reaches the threshold: what masks or drops documents reads that.
 
-Defined results: a null or empty text has no span; repeated rows each have theirs; an empty table gives an empty table;
-extra columns stay.
+Defined results: a null or empty text has no span; a text of any length is read whole; a score that ties with the threshold is
+likely; repeated rows each have theirs; an empty table gives an empty table; extra columns of any name stay, but for one named pii, which
+is replaced.
 """
 
 from __future__ import annotations
@@ -16,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import carried
+
 #: The plain forms of the base kinds.
 FORMS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -24,7 +29,7 @@ FORMS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 BASE_KINDS = tuple(FORMS)
-KINDS = (*BASE_KINDS, "iban")
+KINDS = (*BASE_KINDS, "iban", "secret")
 #: A match can begin at the start of a run or where the last match ended (\G). Card numbers: a chain of 16 to 19 digits, all of it.
 _PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -32,15 +37,17 @@ _PATTERNS = {
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}+(?![\x20-]?[0-9])",
     "phone": FORMS["phone"],
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
+    "secret": r"(?<![A-Za-z0-9])(?i:token|secret|passwd|password|api[_-]?key|access[_-]?key)(?![A-Za-z0-9])[\x20\x22']{0,2}[:=][\x20\x22']{0,2}[A-Za-z0-9_+/=-]{16,512}+",
 }
 #: Base score, and words (lower case) within WINDOW characters that raise it.
-_SCORES = {"email": 0.8, "ip": 0.6, "card": 0.7, "phone": 0.5, "iban": 0.8}
+_SCORES = {"email": 0.8, "ip": 0.6, "card": 0.7, "phone": 0.5, "iban": 0.8, "secret": 0.8}
 _CONTEXT = {
     "email": "mail|contact|reach|write",
     "ip": "ip|address|host|server|login",
     "card": "card|visa|mastercard|credit|payment|karte|tarjeta|carte",
     "phone": "phone|call|tel|mobile|fax|contact",
     "iban": "iban|bank|account|konto|cuenta|compte",
+    "secret": "key|auth|login|credential|private|config",
 }
 _AGAINST = "version|order|sku|serial|build"
 WINDOW = 40
@@ -95,6 +102,9 @@ def _valid(kind: str, value: Column) -> Column:
         return F.length(digits).between(8, 15)
     if kind == "iban":
         return F.length(F.regexp_replace(value, r"\x20", "")).between(15, 34) & mod97(value)
+    if kind == "secret":
+        given = F.regexp_extract(value, r"([A-Za-z0-9_+/=-]{16,512})$", 1)
+        return given.rlike("[0-9]") & given.rlike("[A-Za-z]")
     return F.lit(True)
 
 
@@ -109,32 +119,40 @@ def _maybe(kind: str, text: Column) -> Column:
     """A cheap test that every text with a match of the kind passes."""
     if kind == "email":
         return text.contains("@")
+    if kind == "secret":
+        return text.rlike("[:=]") & text.rlike("(?i)token|secret|passw|key")
     return text.contains("+") if kind == "phone" else F.lit(True)
 
 
-def find_pii(docs: DataFrame) -> DataFrame:
-    """docs with pii: array<struct<kind,start,end,value,score>>, by kind in order of KINDS, then start."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+def find_pii(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """docs with pii: array<struct<kind,start,end,value,score,likely>>, by kind in order of KINDS, then start."""
+    text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
     none = F.array().cast("array<string>")
-    out = docs.withColumns({f"__m_{k}": F.when(_maybe(k, text), F.regexp_extract_all(text, F.lit(_PATTERNS[k]), F.lit(0))).otherwise(none) for k in KINDS})
+    out = carried(docs).withColumns({f"m_{k}": F.when(_maybe(k, text), F.regexp_extract_all(text, F.lit(_PATTERNS[k]), F.lit(0))).otherwise(none) for k in KINDS})
     no_span = F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")
 
     def proved(k: str) -> Column:
-        return F.when(F.size(f"__m_{k}") > 0, F.filter(_spans(text, _PATTERNS[k], F.col(f"__m_{k}")), lambda s: _valid(k, s["value"]))).otherwise(no_span)
+        return F.when(F.size(f"m_{k}") > 0, F.filter(_spans(text, _PATTERNS[k], F.col(f"m_{k}")), lambda s: _valid(k, s["value"]))).otherwise(no_span)
 
     def scored(k: str) -> Column:
-        return F.transform(f"__s_{k}", lambda s: F.struct(F.lit(k).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), _score(k, text, s).alias("score")))
+        spans = F.transform(f"s_{k}", lambda s: F.struct(F.lit(k).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), _score(k, text, s).alias("score")))
+        return F.transform(spans, lambda s: s.withField("likely", s["score"] >= threshold))
 
-    out = out.withColumns({f"__s_{k}": proved(k) for k in KINDS})
-    full = [scored(k) for k in KINDS]
-    return out.withColumn("pii", F.concat(*full)).drop(*(f"__{x}_{k}" for k in KINDS for x in "ms"))
+    out = out.withColumns({f"s_{k}": proved(k) for k in KINDS})
+    return out.withColumn("pii", F.concat(*[scored(k) for k in KINDS])).select(F.col("row"), "pii").select(*[F.col("row").getField(c).alias(c) for c in docs.columns if c != "pii"], "pii")
 
 
 def _named(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def pii_report(docs: DataFrame) -> DataFrame:
+def pii_report(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """The counts and spans of every document; scores: the score of each span in the order of spans; n_likely: how many reach the threshold."""
     p = F.col("pii")
     count = lambda k: F.size(F.filter(p, lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
-    return find_pii(docs.select("doc_id", "text")).select("doc_id", *(count(k) for k in BASE_KINDS), F.sha2(_named(F.filter(p, lambda s: s["kind"] != "iban")), 256).alias("base_sha256"), _named(p).alias("spans"))
+    base = F.filter(p, lambda s: s["kind"].isin(*BASE_KINDS))
+    scores = F.array_join(F.transform(p, lambda s: F.format_number(s["score"], 2)), ",")
+    return find_pii(docs.select("doc_id", "text"), threshold).select(
+        "doc_id", *(count(k) for k in BASE_KINDS), F.sha2(_named(base), 256).alias("base_sha256"), _named(p).alias("spans"),
+        *(count(k) for k in KINDS if k not in BASE_KINDS), scores.alias("scores"), F.size(F.filter(p, lambda s: s["likely"])).cast("long").alias("n_likely"),
+    )

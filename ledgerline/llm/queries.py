@@ -111,6 +111,8 @@ s AS (SELECT DISTINCT side, id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELE
 c AS (SELECT id, count(*) AS item_shingles FROM s WHERE side = 'i' GROUP BY id)
 SELECT d.id AS doc_id, i.id AS item_id, any_value(item_shingles)::BIGINT AS item_shingles, count(*)::BIGINT AS shared, count(*) / any_value(item_shingles) AS containment
 FROM s i JOIN s d ON d.side = 'd' AND i.side = 'i' AND d.g = i.g JOIN c ON c.id = i.id GROUP BY d.id, i.id HAVING count(*) >= 0.8 * any_value(item_shingles)
+UNION ALL SELECT d.id, i.id, 1, 1, 1.0 FROM w i JOIN w d ON i.side = 'i' AND d.side = 'd' AND len(i.w) BETWEEN 1 AND 4
+  AND contains(' ' || array_to_string(d.w, ' ') || ' ', ' ' || array_to_string(i.w, ' ') || ' ')
 """
 
 OP9_SQL = r"""

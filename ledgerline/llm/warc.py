@@ -1,19 +1,20 @@
 """WARC archives as a table of chunk rows (operator 10).
 
-A page's payload goes out as rows of record identifier and chunk number, each a whole WARC record of at most `chunk_bytes` of
-payload: the first is the response, the others are its continuation segments. Each row carries the digest of its own
-chunk and the running digest of the payload so far, so no writer or reader builds a whole oversized record. Rows are written
-by Spark's own text sink, and read back by splitting at the version line; a payload that contains that line is cut inside
-it, so the split is exact, and the archives can be read in parallel.
+A page's payload reaches the writer as rows of at most `piece_bytes`, and goes out as rows of record identifier and chunk number, each a
+whole WARC record of at most `chunk_bytes` of payload: the first is the response, the others are its continuation segments. Each row
+carries the digest of its own chunk and the running digest of the payload so far, so no writer or reader builds a whole oversized
+record. Rows are written by Spark's own text sink, in files of at most `file_records` records that are read in parallel, and read back
+by splitting at the version line; a payload that contains that line is cut inside it, so the split is exact.
 
-A revisit states its payload's digest and length and names its response, so reading needs no look-up of a response that very many
-revisits may share; broken_references() checks those names.
+A revisit names its response. Reading takes its payload's length and digest from that response, as it was read and hashed; a revisit whose
+response is missing, or has another digest, fails the read. Revisits of one response are dealt to `_SALTS` keys, so that a very
+common page is not one key.
 
 Of equal payloads of at least `min_revisit` bytes the one with the smallest page_id is the response, and the others are
 revisits of it. Rows which share that smallest page_id and payload are all responses.
 
 Defined results: a null html is an empty payload and a response; a null page_id comes after all others and revisits them;
-a null url is left out; an empty table gives no record; extra columns are not archived.
+a null url is left out; a payload of any length is written in chunks; an empty table gives no record; extra columns are not archived.
 """
 
 from __future__ import annotations
@@ -29,75 +30,84 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_root, text_bytes, tune
+from .common import NO_ID, merged, shared_root, text_bytes, tune, written
 
 VERSION = b"WARC/1.1\r\n"
 _END = b"\r\n\r\n"
+_SALTS = 16
 _PARSED = "uid long, segment long, kind string, page_id long, refers_to long, bytes long, digest string, stated_digest string, chunk binary"
 
 
-def cuts(payload: bytes, chunk_bytes: int) -> Iterator[memoryview]:
-    """Chunks of at most chunk_bytes that end between characters and hold no version line."""
-    view, at, n = memoryview(payload), 0, len(payload)
-    line = payload.find(VERSION)
-    while at < n:
-        end = min(at + chunk_bytes, n)
-        while end < n and end > at + 1 and payload[end] & 0xC0 == 0x80:
-            end -= 1
-        while 0 <= line < at:
-            line = payload.find(VERSION, at)
-        if 0 <= line < end and line + len(VERSION) <= end:
-            end = line + 4
-        yield view[at:end]
-        at = end
-    if not n:
-        yield view
-
-
-def segments(uid: int, page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, date: str, chunk_bytes: int) -> Iterator[bytes]:
-    """The WARC records of one page, each without its last line feed. A response is named by page and payload, so that a revisit
-    can refer to it wherever it is written; uid tells rows apart."""
-    named = lambda page: f"<urn:page:{'' if page is None else page}:{digest}>"
-    refers = refers_to is not None
-    running = hashlib.sha256()
-    chunks = iter([memoryview(b"")]) if refers else cuts(payload, chunk_bytes)
-    done, number = 0, 1
-    chunk = next(chunks)
-    while True:
-        following = next(chunks, None)
-        running.update(chunk)
-        done += len(chunk)
+def cut_at(rest: bytes, chunk_bytes: int) -> int:
+    """Where the first chunk of rest ends: after at most chunk_bytes, between characters, and with no version line inside."""
+    end = min(chunk_bytes, len(rest))
+    while 1 < end < len(rest) and rest[end] & 0xC0 == 0x80:
+        end -= 1
+    line = rest.find(VERSION, 0, end)
+    return end if line < 0 else line + 4
+
+
+def _named(page: int | None, digest: str) -> str:
+    """A response is named by page and payload, so that a revisit can refer to it wherever it is written."""
+    return f"<urn:page:{'' if page is None else page}:{digest}>"
+
+
+class _Writer:
+    """The WARC records of one page, each without its last line feed, from the pieces of its payload; uid tells rows apart."""
+
+    def __init__(self, uid: int, page_id: int | None, url: str | None, size: int, digest: str, refers_to: int | None, date: str, chunk_bytes: int):
+        self.uid, self.page_id, self.url, self.size, self.digest, self.refers_to = uid, page_id, url, size, digest, refers_to
+        self.date, self.chunk_bytes = date, chunk_bytes
+        self.rest, self.running, self.done, self.number = b"", hashlib.sha256(), 0, 1
+
+    def feed(self, piece: bytes, is_last: bool) -> Iterator[tuple[int, int, bytes]]:
+        if self.refers_to is not None or not self.size:
+            if is_last:
+                yield self._record(b"", True)
+            return
+        self.rest += piece
+        while len(self.rest) > self.chunk_bytes or (is_last and self.rest):
+            end = cut_at(self.rest, self.chunk_bytes)
+            chunk, self.rest = self.rest[:end], self.rest[end:]
+            yield self._record(chunk, self.done + end == self.size)
+
+    def _record(self, chunk: bytes, is_last: bool) -> tuple[int, int, bytes]:
+        self.running.update(chunk)
+        self.done += len(chunk)
+        number, refers = self.number, self.refers_to is not None
+        self.number += 1
         kind = "continuation" if number > 1 else "revisit" if refers else "response"
-        name = named(page_id) if kind == "response" else f"<urn:row:{uid}:{number}>"
-        head = [("WARC-Type", kind), ("WARC-Record-ID", name), ("WARC-Date", date), ("WARC-Row", str(uid))]
-        if url is not None:
-            head.append(("WARC-Target-URI", re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url)))
-        if page_id is not None:
-            head.append(("WARC-Page-ID", str(page_id)))
-        head += [("WARC-Payload-Digest", f"sha256:{digest}"), ("WARC-Block-Digest", f"sha256:{hashlib.sha256(chunk).hexdigest()}")]
+        name = _named(self.page_id, self.digest) if kind == "response" else f"<urn:row:{self.uid}:{number}>"
+        head = [("WARC-Type", kind), ("WARC-Record-ID", name), ("WARC-Date", self.date), ("WARC-Row", str(self.uid))]
+        if self.url is not None:
+            head.append(("WARC-Target-URI", re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", self.url)))
+        if self.page_id is not None:
+            head.append(("WARC-Page-ID", str(self.page_id)))
+        head += [("WARC-Payload-Digest", f"sha256:{self.digest}"), ("WARC-Block-Digest", f"sha256:{hashlib.sha256(chunk).hexdigest()}")]
         if refers:
-            head += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", named(refers_to)), ("WARC-Refers-To-Page-ID", str(refers_to)), ("WARC-Payload-Length", str(len(payload)))]
-        if number > 1 or following is not None:
-            head += [("WARC-Segment-Number", str(number)), ("WARC-Running-Digest", f"sha256:{running.hexdigest()}")]
-            head += [("WARC-Segment-Origin-ID", named(page_id))] if number > 1 else []
-            head += [("WARC-Segment-Total-Length", str(done))] if following is None else []
+            head += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", _named(self.refers_to, self.digest)), ("WARC-Refers-To-Page-ID", str(self.refers_to))]
+        if number > 1 or not is_last:
+            head += [("WARC-Segment-Number", str(number)), ("WARC-Running-Digest", f"sha256:{self.running.hexdigest()}")]
+            head += [("WARC-Segment-Origin-ID", _named(self.page_id, self.digest))] if number > 1 else []
+            head += [("WARC-Segment-Total-Length", str(self.done))] if is_last else []
         head += [("Content-Type", "text/html; charset=utf-8"), ("Content-Length", str(len(chunk)))]
-        yield VERSION + "".join(f"{k}: {v}\r\n" for k, v in head).encode() + b"\r\n" + chunk + _END[:-1]
-        if following is None:
-            return
-        chunk, number = following, number + 1
+        return self.uid, number, VERSION + "".join(f"{k}: {v}\r\n" for k, v in head).encode() + b"\r\n" + chunk + _END[:-1]
 
 
 def _chunk_rows(date: str, chunk_bytes: int):
+    """Pieces of payloads, those of a page in order one after another -> (uid, chunk_no, record)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uids = itertools.count(TaskContext.get().partitionId() << 40)
+        writer = None
         for b in batches:
             out, size = [], 0
-            for page_id, url, payload, digest, refers_to in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
-                uid = next(uids)
-                for n, record in enumerate(segments(uid, page_id, url, payload, digest, refers_to, date, chunk_bytes), 1):
-                    out.append((uid, n, record))
-                    size += len(record)
+            for page_id, url, length, digest, refers_to, place, n_pieces, piece in zip(*(b.column(i).to_pylist() for i in range(8)), strict=True):
+                if not place:
+                    writer = _Writer(next(uids), page_id, url, length, digest, refers_to, date, chunk_bytes)
+                for row in writer.feed(piece, place + 1 == n_pieces):
+                    out.append(row)
+                    size += len(row[2])
                     if size > 8 << 20:
                         yield _batch(out)
                         out, size = [], 0
@@ -110,22 +120,27 @@ def _chunk_rows(date: str, chunk_bytes: int):
     return run
 
 
-def chunk_table(pages: DataFrame, date: str = "1970-01-01T00:00:00Z", chunk_bytes: int = 1 << 20, min_revisit: int = 100) -> DataFrame:
+def chunk_table(pages: DataFrame, date: str = "1970-01-01T00:00:00Z", chunk_bytes: int = 1 << 20, min_revisit: int = 100, piece_bytes: int = 4 << 20) -> DataFrame:
     """(uid, chunk_no, record): every page as rows of whole WARC records of bounded size."""
     tune(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), text_bytes("html").alias("payload"))
-    rows = rows.withColumn("digest", F.sha2("payload", 256))
-    shared = rows.where(F.octet_length("payload") >= min_revisit).groupBy("digest").agg(F.count("*").alias("n"), F.min("page_id").alias("first_id")).where("n > 1").select("digest", "first_id")
-    joined = rows.join(shared, "digest", "left")
-    revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
-    named = joined.select("page_id", "url", "payload", "digest", F.when(revisit, F.col("first_id")).alias("refers_to"))
-    return named.mapInArrow(_chunk_rows(date, chunk_bytes), "uid long, chunk_no long, record binary")
-
-
-def write_archives(pages: DataFrame, path: str | None = None, compression: str = "gzip", **options) -> str:
+    rows = rows.withColumns({"digest": F.sha2("payload", 256), "length": F.octet_length("payload"), "page": F.coalesce("page_id", F.lit(NO_ID))})
+    # Payloads are dealt by page and digest, so that a very common payload is not one key.
+    large = rows.where(F.col("length") >= min_revisit).groupBy("page", "page_id", "digest").agg(F.count("*").alias("n"))
+    shared = large.groupBy("digest").agg(F.sum("n").alias("n"), F.min("page_id").alias("first_id")).where("n > 1")
+    revisits = merged(large.select("page", "page_id", "digest"), shared, "digest").where("first_id is not null and not (page_id <=> first_id)").select("page", "digest", F.col("first_id").alias("refers_to"))
+    joined = merged(rows, revisits, ["page", "digest"], "left")
+    n_pieces = F.when(F.col("refers_to").isNotNull(), F.lit(1)).otherwise(F.greatest(F.ceil(F.col("length") / piece_bytes), F.lit(1))).cast("int")
+    pieces = joined.withColumn("n_pieces", n_pieces).withColumn("place", F.explode(F.sequence(F.lit(0), F.col("n_pieces") - 1)))
+    piece = F.when(F.col("refers_to").isNotNull(), F.lit(b"")).otherwise(F.substring("payload", F.col("place") * piece_bytes + 1, F.lit(piece_bytes)))
+    out = pieces.select("page_id", "url", F.col("length").cast("long").alias("length"), "digest", "refers_to", "place", "n_pieces", piece.alias("piece"))
+    return out.mapInArrow(_chunk_rows(date, chunk_bytes), "uid long, chunk_no long, record binary")
+
+
+def write_archives(pages: DataFrame, path: str | None = None, compression: str = "gzip", file_records: int = 100_000, **options) -> str:
     """Write the archives under path (default: the cluster's shared folder); the path."""
     path = path or f"{shared_root(pages.sparkSession)}/ledgerline/warc-{uuid.uuid4().hex}"
-    chunk_table(pages, **options).select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\n").option("compression", compression).text(path)
+    chunk_table(pages, **options).select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\n").option("compression", compression).option("maxRecordsPerFile", file_records).text(path)
     return path
 
 
@@ -150,7 +165,7 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             uid, segment = int(h["WARC-Row"]), int(h.get("WARC-Segment-Number", 1))
             whole = "WARC-Segment-Number" not in h
             number = lambda k: int(h[k]) if k in h else None  # noqa: E731, B023
-            out.append((uid, segment, h["WARC-Type"], number("WARC-Page-ID"), number("WARC-Refers-To-Page-ID"), int(h.get("WARC-Payload-Length", len(block))), hashlib.sha256(block).hexdigest() if whole else None, h["WARC-Payload-Digest"][7:], None if whole else block))
+            out.append((uid, segment, h["WARC-Type"], number("WARC-Page-ID"), number("WARC-Refers-To-Page-ID"), len(block), hashlib.sha256(block).hexdigest() if whole else None, h["WARC-Payload-Digest"][7:], None if whole else block))
         columns = list(zip(*out, strict=True)) if out else [()] * len(names)
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
@@ -168,7 +183,8 @@ def _joined_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         digest = digest if running is None else running.hexdigest()
         if kind == "response" and digest != stated:
             raise ValueError(f"the payload of record {uid} differs from its digest")
-        out.append((kind, page_id, refers_to, size, stated))
+        # A revisit has no payload of its own: the digest that it states is what its response has to have.
+        out.append((kind, page_id, refers_to, size, stated if kind == "revisit" else digest))
 
     def batch() -> pa.RecordBatch:
         columns = list(zip(*out, strict=True)) if out else [()] * len(names)
@@ -201,13 +217,16 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     parsed = raw.mapInArrow(_parsed, _PARSED)
     # Whole records carry no chunk here; only segments travel with theirs.
     records = parsed.repartition("uid").sortWithinPartitions("uid", "segment").mapInArrow(_joined_segments, "kind string, page_id long, refers_to long, payload_bytes long, payload_digest string")
-    return records.select("page_id", "payload_bytes", "payload_digest", F.col("kind").alias("record_type"), "refers_to")
-
-
-def broken_references(records: DataFrame) -> DataFrame:
-    """Revisits whose response, of the same digest and length, is not among the records."""
-    responses = records.where("record_type = 'response'").select(F.col("page_id").alias("refers_to"), "payload_digest", "payload_bytes").distinct()
-    return records.where("record_type = 'revisit'").join(responses, ["refers_to", "payload_digest", "payload_bytes"], "left_anti")
+    records = written(records, "warc-records")
+    responses, revisits = records.where("kind = 'response'"), records.where("kind = 'revisit'")
+    salt = F.pmod(F.xxhash64("page_id"), F.lit(_SALTS)).cast("int")
+    named = revisits.groupBy("refers_to", "payload_digest").agg(F.count("*").alias("n"))
+    held = responses.where("page_id is not null").groupBy(F.col("page_id").alias("refers_to"), "payload_digest").agg(F.max("payload_bytes").alias("payload_bytes"))
+    read = merged(named, held, ["refers_to", "payload_digest"], "left").select("refers_to", "payload_digest", "payload_bytes", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
+    resolved = merged(revisits.drop("payload_bytes").withColumn("salt", salt), read, ["refers_to", "payload_digest", "salt"], "left")
+    missing = F.raise_error(F.concat(F.lit("a revisit refers to a response that is missing or has another payload: page "), F.col("refers_to").cast("string"))).cast("long")
+    columns = ["page_id", "payload_bytes", "payload_digest", F.col("kind").alias("record_type"), "refers_to"]
+    return responses.select(*columns).unionByName(resolved.withColumn("payload_bytes", F.coalesce("payload_bytes", missing)).select(*columns))
 
 
 def warc_round_trip(pages: DataFrame) -> DataFrame:

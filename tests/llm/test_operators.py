@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm import chat_tree, components, cotraining, decontaminate, jaccard_join, line_dedup, packing, pii, quality_rules, toxicity, warc
 from ledgerline.llm.queries import tokenizer_path
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, raw string, row_key string, doc string, hits int"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, row string, row_key string, __doc string, q int"
 WORDS = [a + b for a in ("ka", "lo", "mi", "ne", "ru", "so", "ta", "ve") for b in ("bra", "cet", "don", "fel", "gim", "hup", "jor", "kim")]
 
 
@@ -197,22 +197,26 @@ def test_pii(spark, docs, rows, empty):
 
 def test_decontamination(spark, docs, rows, empty):
     rng = random.Random(8)
-    items = [(i, prose(rng, n)) for i, n in enumerate([5, 6, 9, 12, 20, 40, 80, 300, 4, 0])] + [(90, None), (None, "no id")]
+    items = [(i, prose(rng, n)) for i, n in enumerate([5, 6, 9, 12, 20, 40, 80, 300, 4, 0])] + [(90, None), (None, "no id"), (91, WORDS[0] + "7"), (92, prose(rng, 2)), (93, "never there at all")]
     planted = [(1000 + i, f"{prose(rng, 300)} {t or ''} {prose(rng, 900)}", "en", "s", 1, None, None, None, None) for i, t in items if i is not None]
     broken = [(2000, items[5][1].replace(items[5][1].split()[20], "changed"), None, None, None, None, None, None, None)]
     every = spark.createDataFrame([*rows, *planted, *broken], DOCS)
     table = spark.createDataFrame(items, "item_id long, text string")
 
-    def grams(t):
+    def grams(t, n=5):
         w = re.sub(r"[^\w]", " ", (t or "").lower()).split()
-        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
-
-    want = Counter((r[0], i) for r in [*rows, *planted, *broken] for i, t in items if i is not None and grams(t) and len(grams(t) & grams(r[1])) >= 0.8 * len(grams(t)))
-    assert Counter((r.doc_id, r.item_id) for r in decontaminate.leaks(every, table).collect()) == want and len(want) >= 8
-    small_blocks = decontaminate.contamination(every, table, block_chars=500)
-    assert every.select(small_blocks.alias("h")).where("size(h) > 0").count() == len({d for d, _ in want})
-    clean = decontaminate.clean_documents(every, table)
-    assert clean.columns == every.columns and clean.count() == every.count() - len({d for d, _ in want})
+        return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+
+    def held(t, text):
+        n = min(len(re.sub(r"[^\w]", " ", (t or "").lower()).split()), 5)
+        return n > 0 and len(grams(t, n) & grams(text, n)) >= 0.8 * len(grams(t, n))
+
+    want = Counter((r[0], i) for r in [*rows, *planted, *broken] for i, t in items if i is not None and held(t, r[1]))
+    assert {i for _, i in want} >= {0, 1, 2, 3, 4, 5, 6, 7, 8, 91, 92}
+    for block_chars in (4_000_000, 500):  # one block of items, and many
+        assert Counter((r.doc_id, r.item_id) for r in decontaminate.leaks(every, table, block_chars=block_chars).collect()) == want
+        clean = decontaminate.clean_documents(every, table, block_chars=block_chars)
+        assert clean.columns == every.columns and clean.count() == every.count() - len({d for d, _ in want if d is not None})
     assert decontaminate.leaks(empty, table).count() == 0 and decontaminate.clean_documents(docs, table.where("false")).count() == len(rows)
 
 
@@ -334,16 +338,15 @@ def test_escapes():
         assert chat_tree.unescape_role(chat_tree.escape_role(text)) == text and "\n" not in chat_tree.escape_role(text)
 
 
-def test_warc(spark):
+def test_warc(spark, tmp_path):
     big = ("é€😀" * 700 + "WARC/1.1\r\n\r\n") * 5
     htmls = ["same " * 40] * 4 + ["tiny", "tiny", None, "", big, big, "WARC/1.1\r\n" * 30, "\r\n\r\n" * 50]
     rows = [(i, f"http://e.org/{i} a\r\nb" if i % 2 else None, h, i) for i, h in enumerate(htmls)] + [(None, None, "same " * 40, 0), (0, "again", "same " * 40, 1)]
     table = spark.createDataFrame(rows, "page_id long, url string, html string, digest long").repartition(3)
-    for options in ({}, {"chunk_bytes": 64, "compression": "none"}):
+    for options in ({}, {"chunk_bytes": 64, "compression": "none", "file_records": 3}, {"chunk_bytes": 500, "piece_bytes": 7}):
         path = warc.write_archives(table, **options)
         read = warc.read_records(spark, path)
         got = Counter(tuple(r) for r in read.collect())
-        assert warc.broken_references(read).count() == 0 and warc.broken_references(read.where("record_type = 'revisit'")).count() > 0
         first = {}
         for i, _, h, _ in rows:
             if i is not None:
@@ -354,6 +357,13 @@ def test_warc(spark):
             revisit = len(raw) >= 100 and first[h or ""] != i
             want[i, len(raw), hashlib.sha256(raw).hexdigest(), "revisit" if revisit else "response", first[h or ""] if revisit else None] += 1
         assert got == want
+    # A read fails if a revisit's response is missing or damaged.
+    whole = warc.chunk_table(table).select(F.col("record").cast("string").alias("value")).cache()
+    for change in (whole.where("not (value like '%WARC-Type: response%' and value like '%same same%')"), whole.withColumn("value", F.regexp_replace("value", "same same", "some same"))):
+        path = f"{tmp_path}/{random.random()}"
+        change.write.option("lineSep", "\n").text(path)
+        with pytest.raises(Exception, match="missing|damaged"):
+            warc.read_records(spark, path).collect()
     records = warc.chunk_table(table, chunk_bytes=64).collect()
     assert max(len(bytes(r.record)) for r in records) < 64 + 900 and max(r.chunk_no for r in records) > 100
     assert all(bytes(r.record).count(warc.VERSION) == 1 for r in records)

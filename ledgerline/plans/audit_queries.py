@@ -15,6 +15,9 @@ from .registry import query
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
+#: How many ranges of keys a running sum over a table is cut into.
+BUDGET_BUCKETS = 4096
+
 
 @query("audit_unique", """
 SELECT 'k_blank' AS check_id, 'issue' AS severity, count(*) FILTER (WHERE k = '') = 0 AS ok, count(*) FILTER (WHERE k = '')::BIGINT AS observed FROM (SELECT CASE WHEN o_orderkey % 50 = 0 THEN '' ELSE (o_orderkey % 14000)::VARCHAR END AS k FROM orders)
@@ -23,9 +26,9 @@ def audit_unique(t):
     return A.unique_ids(t("orders").select(F.when(F.col("o_orderkey") % 50 == 0, F.lit(" ")).otherwise((F.col("o_orderkey") % 14000).cast("string")).alias("k")), "k")
 
 
-@query("audit_anti", "SELECT DISTINCT l_orderkey FROM lineitem ANTI JOIN (SELECT o_orderkey FROM orders WHERE o_orderkey % 7 > 0) ON o_orderkey = l_orderkey")
+@query("audit_anti", "SELECT DISTINCT l_orderkey FROM lineitem ANTI JOIN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') ON o_orderkey = l_orderkey")
 def audit_anti(t):
-    return A.missing_references(t("lineitem"), "l_orderkey", t("orders").where("o_orderkey % 7 > 0"), "o_orderkey")
+    return A.missing_references(t("lineitem"), "l_orderkey", t("orders").where("o_orderstatus <> 'P'"), "o_orderkey")
 
 
 @query("audit_children", "SELECT o_orderkey, count(l_orderkey)::BIGINT AS n FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey HAVING count(l_orderkey) < 2")
@@ -60,15 +63,15 @@ def audit_sets(t):
     return A.column_difference(p.sparkSession, {"part": p.columns}, {"part": ["p_partkey", "p_weight"]})
 
 
-@query("audit_suspicious", """SELECT doc_id, contains(lower(text), 'idiot') AND (contains(lower(text), 'clown') OR contains(lower(text), 'scum')) AS suspicious FROM documents WHERE source IN ('src1', 'src2') OR doc_id % 10 = 0""")
+@query("audit_suspicious", """SELECT doc_id, contains(lower(text), 'idiot') AND (contains(lower(text), 'clown') OR contains(lower(text), 'scum')) AS suspicious FROM documents""")
 def audit_suspicious(t):
     low = F.lower("text")
-    return t("documents").where(F.col("source").isin("src1", "src2") | (F.col("doc_id") % 10 == 0)).select("doc_id", (low.contains("idiot") & (low.contains("clown") | low.contains("scum"))).alias("suspicious"))
+    return t("documents").select("doc_id", (low.contains("idiot") & (low.contains("clown") | low.contains("scum"))).alias("suspicious"))
 
 
 @query("audit_suspicious_all", """SELECT doc_id, coalesce(source IN ('src1', 'src2'), false) AS selected, coalesce(contains(lower(text), 'idiot') AND (contains(lower(text), 'clown') OR contains(lower(text), 'scum')), false) AS suspicious FROM documents""")
 def audit_suspicious_all(t):
-    """The rule on every document; audit_suspicious gives only the rows that its SQL names. The selector is a flag."""
+    """The rule on every document, with the selector of sources as a flag."""
     selected = F.coalesce(F.col("source").isin("src1", "src2"), F.lit(False))
     return t("documents").select("doc_id", selected.alias("selected"), A.suspicious(F.col("text"), "idiot", ("clown", "scum")).alias("suspicious"))
 
@@ -193,15 +196,22 @@ def jaccard_match(t):
     return best.select("c_custkey", "s_suppkey", "score", first_match([(F.col("score") >= 0.6, "matched"), (F.col("score") >= 0.45, "needs_review")], "unmatched").alias("verdict"))
 
 
-@query("budget_cutoff", "SELECT p_partkey, round(spent, 4) AS spent FROM (SELECT p_partkey, sum(p_size::DOUBLE * 0.01) OVER (ORDER BY p_partkey) AS spent FROM part WHERE p_brand = 'Brand#11' OR p_partkey < 200) WHERE spent <= 20")
+@query("budget_cutoff", "SELECT p_partkey, spent / 100.0 AS spent FROM (SELECT p_partkey, sum(p_size) OVER (ORDER BY p_partkey, p_size) AS spent, sum(p_size) OVER () AS total FROM part) WHERE 2 * spent <= total")
 def budget_cutoff(t):
-    """Rows in order until the running cost passes a budget. The costs per bucket of keys are summed first, so each bucket's
-    running sum needs only its own rows and the totals before it."""
-    rows = t("part").where("p_brand = 'Brand#11' OR p_partkey < 200").select("p_partkey", (F.col("p_size") * 0.01).alias("cost"), F.floor(F.col("p_partkey") / 1000).alias("bucket"))
-    totals = rows.groupBy("bucket").agg(F.sum("cost").alias("total"))
-    before = totals.alias("a").join(totals.alias("b"), F.col("b.bucket") < F.col("a.bucket"), "left").groupBy(F.col("a.bucket").alias("bucket")).agg(F.coalesce(F.sum("b.total"), F.lit(0.0)).alias("before"))
-    spent = F.sum("cost").over(Window.partitionBy("bucket").orderBy("p_partkey"))
-    return rows.withColumn("own", spent).join(F.broadcast(before), "bucket").select("p_partkey", F.round(F.col("own") + F.col("before"), 4).alias("spent")).where("spent <= 20")
+    """Rows in order until the running cost passes the budget, half of what all would cost.
+
+    The keys' range is cut into a fixed number of buckets. Their totals, so many rows at most, run in one task; each bucket's own running
+    sum then needs only its rows and the total before it.
+    """
+    parts = t("part").select("p_partkey", F.col("p_size").cast("bigint").alias("cost"))
+    ends = parts.agg(F.min("p_partkey").alias("low"), F.max("p_partkey").alias("high"))
+    bucket = F.floor((F.col("p_partkey") - F.col("low")) * BUDGET_BUCKETS / (F.col("high") - F.col("low") + 1))
+    rows = parts.join(F.broadcast(ends), F.lit(True)).select("p_partkey", "cost", bucket.alias("bucket"))
+    totals = rows.groupBy("bucket").agg(F.sum("cost").alias("own"))
+    before = totals.select("bucket", (F.sum("own").over(Window.orderBy("bucket")) - F.col("own")).alias("before"), F.sum("own").over(Window.partitionBy()).alias("total"))
+    spent = F.sum("cost").over(Window.partitionBy("bucket").orderBy("p_partkey", "cost"))
+    running = rows.withColumn("spent", spent).join(F.broadcast(before), "bucket").withColumn("spent", F.col("spent") + F.col("before"))
+    return running.where(2 * F.col("spent") <= F.col("total")).select("p_partkey", (F.col("spent") / 100).alias("spent"))
 
 
 @query("data_dictionary", """
@@ -234,7 +244,7 @@ def snippet_sequential(t):
 
 @query("roster_extract")
 def roster_extract(t):
-    """Names and roles from markdown; the tables hold none, so it is a literal page beside theirs."""
+    """Names and roles from markdown; the tables hold none, so a literal page stands beside all of theirs."""
     page = "# Team\n\n**Ada Stone**, Managing Partner\n\n**Ben Hill**\n\nChief Investment Officer\n\n## Our Team\n\n### Cara Lane\n\nPrincipal\n\n**Ada Stone**, Partner\n"
     spark = t("pages").sparkSession
-    return rosters(spark.createDataFrame([(1, page)], "page_id long, markdown string").unionByName(t("pages").select("page_id", F.col("html").alias("markdown")).where("page_id <> 1")), "page_id", "markdown")
+    return rosters(spark.createDataFrame([(-1, page)], "page_id long, markdown string").unionByName(t("pages").select("page_id", F.col("html").alias("markdown"))), "page_id", "markdown")

@@ -1,4 +1,4 @@
 """All registered queries; importing a module of queries registers them."""
 
-from . import audit_queries, evidence_queries, retrieval_queries, scalar_queries  # noqa: F401
+from . import audit_queries, evidence_queries, hit_queries, retrieval_queries, scalar_queries  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401

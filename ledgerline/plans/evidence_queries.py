@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..operators import sequences as S
 from ..functions.blanks import blank_to_null, is_blank, is_filled, truth
 from ..operators.evidence import all_matches, claims, filled_count, first_match, lookup, promote, replace_claims
 from ..operators.ranking import top_per_key
@@ -205,7 +206,7 @@ def array_anti(t):
 
 @query("url_fallback_match", """
 WITH r AS (SELECT page_id, url AS k, 1 AS p FROM pages UNION ALL SELECT page_id, regexp_replace(url, '/+$', ''), 2 FROM pages UNION ALL SELECT page_id, regexp_replace(regexp_replace(url, '#.*$', ''), '/+$', ''), 3 FROM pages UNION ALL SELECT page_id, regexp_replace(regexp_replace(url, '#.*$', ''), '/+$', '') || '/', 4 FROM pages),
-b AS (SELECT url AS k, max(page_id) AS target FROM pages WHERE page_id % 3 > 0 GROUP BY url), m AS (SELECT page_id, target, p FROM r JOIN b USING (k) QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY p) = 1)
+b AS (SELECT url AS k, max(page_id) AS target FROM pages WHERE length(url) < 60 GROUP BY url), m AS (SELECT page_id, target, p FROM r JOIN b USING (k) QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY p) = 1)
 SELECT page_id, target, CASE p WHEN 1 THEN 'exact' WHEN 2 THEN 'no_slash' WHEN 3 THEN 'base' WHEN 4 THEN 'base_slash' ELSE 'unmatched' END AS matched_by FROM pages LEFT JOIN m USING (page_id)""")
 def url_fallback_match(t):
     """The best of four keys: as is, without slash, without fragment, and that with a slash."""
@@ -213,7 +214,7 @@ def url_fallback_match(t):
 
     u = F.col("url")
     keys = F.array(u, F.regexp_replace(u, "/+$", ""), U.canonical(u), F.concat(U.canonical(u), F.lit("/")))
-    build = t("pages").where("page_id % 3 > 0").groupBy(u.alias("k")).agg(F.max("page_id").alias("target"))
+    build = t("pages").where("length(url) < 60").groupBy(u.alias("k")).agg(F.max("page_id").alias("target"))
     hits = t("pages").select("page_id", F.posexplode(keys).alias("p", "k")).join(build, "k").groupBy("page_id").agg(F.min(F.struct("p", "target")).alias("m"))
     name = first_match([(F.col("m.p") == i, n) for i, n in enumerate(("exact", "no_slash", "base", "base_slash"))], "unmatched")
     return t("pages").select("page_id").join(hits, "page_id", "left").select("page_id", F.col("m.target").alias("target"), name.alias("matched_by"))
@@ -260,7 +261,8 @@ def schema_rules(t):
 _WHITE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 
-@query("placeholder_reject", """SELECT doc_id, lower(trim(substr(text, 1, 12))) IN ('hidden', 'tbd', 'todo', 'dummy', 'example.com') OR contains(text, 'example.com') AS rejected FROM documents""")
+@query("placeholder_reject", r"""SELECT doc_id, lower(regexp_replace(text, '^\s+|\s+$', '', 'g')) IN ('hidden', 'tbd', 'todo', 'dummy', 'example.com') OR contains(text, 'example.com')
+  OR regexp_extract(lower(regexp_replace(text, '^\s+|\s+$', '', 'g')), '^https?://(www\.)?([^/]*)', 2) IN ('example.com', 'example.org', 'example.net') AS rejected FROM documents""")
 def placeholder_reject(t):
     """The whole text, stripped of white space as the reference strips it, is a placeholder, or a URL at a placeholder host."""
     value = F.lower(F.btrim(F.col("text"), F.lit(_WHITE)))
@@ -290,12 +292,26 @@ def signal_filters(t):
     return e.groupBy("event_type").agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("users"), F.count_if(F.col("value") > 50).alias("strong"), F.round(F.sum("value"), 4).alias("total"))
 
 
-@query("name_shape_rules", r"""
-WITH w AS (SELECT doc_id, string_split(split_part(text, chr(10), 1), ' ')[1:3] AS w FROM documents)
-SELECT doc_id, len(w) >= 2 AND len(list_filter(w, lambda x: NOT regexp_matches(x, '^[A-Z][a-z]+$'))) = 0 AND NOT list_contains(w, 'The') AS plausible_name, regexp_matches(lower(coalesce(array_to_string(w, ' '), '')), '^(the|and|is|director|partner)( |$)') AS role_line FROM w""")
+_SHAPES = (
+    ("Ada Stone", True, False), ("Ada W. Stone", True, False), ("ADA Stone", False, False), ("Our Team", False, False), ("Solo", False, False), ("Ada de Stone", False, False), ("Jean-Luc O\u2019Neil", True, False),
+    ("A B C D E", False, False), ("Managing Director, Funds", False, True), ("director", False, True), ("Directory of names", False, False), ("Head of Research", False, True), ("", False, False), ("Partner " + "x" * 80, False, False),
+)
+_SHAPE_SQL = ", ".join(f"({-1 - i}, '{line}', {name}, {role})" for i, (line, name, role) in enumerate(_SHAPES))
+
+
+@query("name_shape_rules", rf"""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents), w AS (SELECT doc_id, line, string_split_regex(line, '\s+') AS w FROM l),
+n AS (SELECT doc_id, len(w) BETWEEN 2 AND 4 AND len(list_filter(w, lambda x: NOT regexp_matches(x, '^([A-Z][a-zA-Z''’-]+|[A-Z][.])$') OR length(x) > 1 AND upper(x) = x AND NOT ends_with(x, '.'))) = 0 AND NOT ends_with(w[1], '.')
+  AND NOT list_has_any(w, {sorted(S.NO_NAMES)}) AS is_name, length(trim(line)) BETWEEN 1 AND 80 AND regexp_matches(lower(trim(line)), '^({'|'.join(S.ROLE_WORDS)})\b') AS is_role FROM w)
+SELECT doc_id, count(*) FILTER (WHERE is_name)::BIGINT AS n_names, count(*) FILTER (WHERE is_role)::BIGINT AS n_roles FROM n GROUP BY doc_id
+UNION ALL SELECT id, name::INTEGER::BIGINT, role::INTEGER::BIGINT FROM (VALUES {_SHAPE_SQL}) v(id, line, name, role)""")
 def name_shape_rules(t):
-    w = F.slice(F.split(F.split("text", "\n")[0], " "), 1, 3)
-    return t("documents").select("doc_id", w.alias("w")).select("doc_id", ((F.size("w") >= 2) & F.forall("w", lambda x: x.rlike("^[A-Z][a-z]+$")) & ~F.array_contains("w", "The")).alias("plausible_name"), F.lower(F.array_join("w", " ")).rlike("^(the|and|is|director|partner)( |$)").alias("role_line"))
+    """How many lines of each whole text have the shape of a name, and of a role; literal lines with stated results stand beside."""
+    docs = t("documents").select("doc_id", "text").where("text is not null")
+    literal = docs.sparkSession.createDataFrame([(-1 - i, line) for i, (line, _, _) in enumerate(_SHAPES)], "doc_id long, text string")
+    lines = F.split("text", "\n")
+    count = lambda test: F.size(F.filter(lines, test)).cast("bigint")
+    return docs.unionByName(literal).select("doc_id", count(S.is_name).alias("n_names"), count(S.is_role).alias("n_roles"))
 
 
 @query("value_flags", """

@@ -45,32 +45,44 @@ def url_variants(t):
     )
 
 
+_SOURCED = (
+    ("https://adviserinfo.sec.gov/a", "regulator"), ("https://www.businesswire.com/b", "press_release"), ("https://find-and-update.company-information.service.gov.uk/c", "registry"),
+    ("https://example.org/d.PDF", "official_disclosure"), ("https://www.example.org/", "official_site"), ("https://elsewhere.test/e.pdf", "secondary_source"),
+)
+_SITE = "https://example.org/"
+
+
+def _with_cases(t, cases):
+    """All pages, and literal URLs under page_ids below 0."""
+    pages = t("pages").select("page_id", "url")
+    return pages.unionByName(pages.sparkSession.createDataFrame([(-1 - i, c[0]) for i, c in enumerate(cases)], "page_id long, url string"))
+
+
+def _stated(cases) -> str:
+    return ", ".join(f"({-1 - i}, '{c[1]}')" for i, c in enumerate(cases))
+
+
 @query("url_source_type", f"""
-WITH h AS (SELECT page_id, url, CASE page_id % 10 WHEN 1 THEN 'adviserinfo.sec.gov' WHEN 2 THEN 'businesswire.com' WHEN 3 THEN 'find-and-update.company-information.service.gov.uk' ELSE {host_sql('url')} END AS host FROM pages),
-k AS (SELECT page_id, CASE WHEN ends_with(host, 'example.org') THEN CASE WHEN ends_with(lower(url), '.pdf') THEN 'official_disclosure' ELSE 'official_site' END
-  WHEN page_id % 10 = 1 THEN 'regulator' WHEN page_id % 10 = 2 THEN 'press_release' WHEN page_id % 10 = 3 THEN 'registry' ELSE 'secondary_source' END AS source_type FROM h)
+WITH k AS (SELECT page_id, CASE WHEN {host_sql('url')} = 'example.org' THEN CASE WHEN ends_with(lower(url), '.pdf') THEN 'official_disclosure' ELSE 'official_site' END ELSE 'secondary_source' END AS source_type FROM pages
+  UNION ALL SELECT * FROM (VALUES {_stated(_SOURCED)}))
 SELECT page_id, source_type, CASE source_type WHEN 'press_release' THEN 'secondary' WHEN 'secondary_source' THEN 'tertiary' ELSE 'primary' END AS source_rank FROM k""")
 def url_source_type(t):
-    """The site of a page on example.org is its own host; some pages stand on hosts of regulators, registries and press."""
-    k = F.col("page_id") % 10
-    url = F.when(k == 1, F.lit("https://adviserinfo.sec.gov/a")).when(k == 2, F.lit("https://www.businesswire.com/b")).when(k == 3, F.lit("https://find-and-update.company-information.service.gov.uk/c")).otherwise(F.col("url"))
-    own = F.when(U.domain(url).endswith("example.org"), url)
-    kind = t("pages").select("page_id", U.source_type(url, own).alias("source_type"))
+    """Every page against one site, and literal URLs whose kinds the SQL states one by one."""
+    kind = _with_cases(t, _SOURCED).select("page_id", U.source_type(F.col("url"), F.lit(_SITE)).alias("source_type"))
     return kind.select("page_id", "source_type", U.source_rank(F.col("source_type")).alias("source_rank"))
 
 
-_CLAIMED = {3: "reports/page", 4: "data/x.csv", 5: "", 6: "https://maps.google.com/a", 7: "https://www.linkedin.com/company/a", 8: "https://youtu.be/b", 9: "https://reports.adviserinfo.sec.gov/c"}
-_CLAIM_KINDS = {3: "methodology", 4: "local_evidence_artifact", 5: "unknown", 6: "google_places", 7: "linkedin", 8: "social_platform", 9: "regulator"}
+_CLAIMED = (
+    ("reports/page", "methodology"), ("data/x.csv", "local_evidence_artifact"), ("", "unknown"), ("https://maps.google.com/a", "google_places"), ("https://www.linkedin.com/company/a", "linkedin"),
+    ("https://youtu.be/b", "social_platform"), ("https://reports.adviserinfo.sec.gov/c", "regulator"), ("https://www.example.org/x", "official_site"),
+)
 
 
 @query("url_claim_type", f"""
-SELECT page_id, CASE page_id % 10 {' '.join(f"WHEN {k} THEN '{v}'" for k, v in _CLAIM_KINDS.items())} ELSE CASE WHEN {host_sql('url')} = 'www2.example.org' OR {host_sql('url')} = 'example.org' THEN 'official_site' ELSE 'secondary_source' END END AS claim_source_type FROM pages""")
+SELECT page_id, CASE WHEN {host_sql('url')} = 'example.org' THEN 'official_site' ELSE 'secondary_source' END AS claim_source_type FROM pages UNION ALL SELECT * FROM (VALUES {_stated(_CLAIMED)})""")
 def url_claim_type(t):
-    u = F.col("url")
-    for k, v in _CLAIMED.items():
-        u = F.when(F.col("page_id") % 10 == k, F.lit(v)).otherwise(u)
-    site = F.when(U.domain(F.col("url")) == "www2.example.org", F.lit("https://www2.example.org")).otherwise(F.lit("https://example.org/"))
-    return t("pages").select("page_id", U.claim_source_type(u, site).alias("claim_source_type"))
+    """Every page against one site, and literal URLs whose kinds the SQL states one by one."""
+    return _with_cases(t, _CLAIMED).select("page_id", U.claim_source_type(F.col("url"), F.lit(_SITE)).alias("claim_source_type"))
 
 
 @query("url_quality_label", """
@@ -117,13 +129,13 @@ def name_tokens_match(t):
 
 @query("entity_normalise_overlap", r"""
 WITH n AS (SELECT p_partkey, array_to_string(list_filter(string_split_regex(lower(p_name || CASE WHEN p_partkey % 2 = 0 THEN ' LLC' ELSE ', Inc.' END), '[^a-z0-9]+'), lambda w: w <> '' AND NOT list_contains(['ag','co','company','corp','corporation','inc','limited','llc','lp','ltd','plc','pte'], w)), ' ') AS entity_name FROM part),
-b AS (SELECT DISTINCT array_to_string(list_filter(string_split_regex(lower(p_name), '[^a-z0-9]+'), lambda w: w <> ''), ' ') AS entity_name FROM part WHERE p_partkey % 10 = 0)
+b AS (SELECT DISTINCT array_to_string(list_filter(string_split_regex(lower(p_name), '[^a-z0-9]+'), lambda w: w <> ''), ' ') AS entity_name FROM part WHERE p_brand = 'Brand#11')
 SELECT p_partkey, entity_name FROM n SEMI JOIN b USING (entity_name)""")
 def entity_normalise_overlap(t):
     """Names whose normal form is among the normal forms of a blocked list."""
     part = t("part")
     name = F.concat("p_name", F.when(F.col("p_partkey") % 2 == 0, F.lit(" LLC")).otherwise(F.lit(", Inc.")))
-    blocked = part.where("p_partkey % 10 = 0").select(X.entity_name(F.col("p_name")).alias("entity_name")).distinct()
+    blocked = part.where("p_brand = 'Brand#11'").select(X.entity_name(F.col("p_name")).alias("entity_name")).distinct()
     return part.select("p_partkey", X.entity_name(name).alias("entity_name")).join(blocked, "entity_name", "left_semi").select("p_partkey", "entity_name")
 
 

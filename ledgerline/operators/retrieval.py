@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,14 +25,15 @@ def bm25_topk(docs: DataFrame, queries: DataFrame, k: int = 10, rank: str = "bm2
     EPSILON times its mean; postings are kept for query terms only. A repeated query token counts again.
     """
     tokens = docs.select("doc_id", search_tokens(F.col("text")).alias("tokens")).withColumn("dl", F.size("tokens"))
-    terms = tokens.select("doc_id", "dl", F.explode("tokens").alias("term"))
-    tf = terms.groupBy("doc_id", "dl", "term").agg(F.count("*").alias("tf"))
     whole = tokens.agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl"))
-    df = tf.groupBy("term").agg(F.count("*").alias("df"))
+    # A document names each of its terms once, so these counts combine map-side to one row a term and task.
+    df = tokens.select(F.explode(F.array_distinct("tokens")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     idf = df.join(F.broadcast(whole), how="cross").select("term", "n_docs", "avgdl", (F.log(F.col("n_docs") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("idf"))
     floor = idf.agg((F.avg("idf") * EPSILON).alias("floor"))
     asked = queries.select("query_id", F.explode(search_tokens(F.col("text"))).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("times"))
     weights = asked.join(idf, "term").join(F.broadcast(floor), how="cross").withColumn("w", F.when(F.col("idf") < 0, F.col("floor")).otherwise(F.col("idf")) * F.col("times"))
+    # Only postings of terms that are asked for are made.
+    tf = tokens.select("doc_id", "dl", F.explode("tokens").alias("term")).join(asked.select("term").distinct(), "term", "left_semi").groupBy("doc_id", "dl", "term").agg(F.count("*").alias("tf"))
     part = F.col("w") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
     scores = tf.join(weights, "term").groupBy("query_id", "doc_id").agg(F.round(F.sum(part), 6).alias("score"))
     return top_per_key(scores, ["query_id"], k, rank, F.desc("score"), F.col("doc_id"))
@@ -50,20 +52,24 @@ def hashed_embedding(docs: DataFrame) -> DataFrame:
     return cells.join(norm, "doc_id").select("doc_id", "idx", (F.col("v") / F.col("norm")).alias("value"))
 
 
+def _blocks(queries: DataFrame, block: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(ids, normalised matrix) of at most `block` queries at a time."""
+    rows = queries.where("query_id is not null and embedding is not null").select("query_id", "embedding").toLocalIterator()
+    while held := list(itertools.islice(rows, block)):
+        q = np.array([r[1] for r in held], float)
+        yield np.array([r[0] for r in held], np.int64), q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)
+
+
 def dense_topk(vectors: DataFrame, queries: DataFrame, k: int = 10, block: int = 4096, rank: str = "dense_rank") -> DataFrame:
     """query_id, vec_id, score = 1 / (1 + cosine distance), rank; a vector is no hit of its own id.
 
-    queries (query_id, embedding) go to executors in blocks of at most `block`; each batch is one matrix product, and each batch
-    hands on its k best by query only.
+    queries (query_id, embedding) pass the driver a block of at most `block` at a time, and go to executors so; each batch is one matrix
+    product, and hands on its k best by query only. Null vectors, and vectors of another length than the queries', are no hits.
     """
-    spark = vectors.sparkSession
-    rows = [(r["query_id"], r["embedding"]) for r in queries.toLocalIterator()]
-    out = None
-    for at in range(0, len(rows), block):
-        ids = np.array([r[0] for r in rows[at : at + block]], np.int64)
-        q = np.array([r[1] for r in rows[at : at + block]], float)
-        q /= np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)
-        found = vectors.select("vec_id", "embedding").mapInArrow(_best(spark.sparkContext.broadcast((ids, q)), k), "query_id long, vec_id long, score double")
+    spark, out = vectors.sparkSession, None
+    for ids, q in _blocks(queries, block):
+        fit = vectors.where(F.col("vec_id").isNotNull() & (F.size("embedding") == q.shape[1]) & ~F.exists("embedding", F.isnull))
+        found = fit.select("vec_id", "embedding").mapInArrow(_best(spark.sparkContext.broadcast((ids, q)), k), "query_id long, vec_id long, score double")
         out = found if out is None else out.unionByName(found)
     if out is None:
         out = spark.createDataFrame([], "query_id long, vec_id long, score double")

@@ -1,7 +1,7 @@
 """Quality classifier by co-training (operator 3).
 
-Two logistic classifiers see a document apart: one its text content (ratios of words, symbols, repetition), one its page
-metadata (source, language, length, line layout). Both start from labelled rows; in each round each of them labels every unlabelled
+Two logistic classifiers see a document apart: one its text content (hashed counts of its three-byte runs, ratios of words, symbols
+and repetition), one its page metadata (source, language, length). Both start from labelled rows; in each round each of them labels every unlabelled
 row of which it is sure, and the other is fitted anew on the labelled rows and these. In the end each view is calibrated, and a
 logistic combination of both is fitted, on labelled rows that neither was trained on; that scores all documents.
 
@@ -11,8 +11,9 @@ from the labels as the corpus grows. Fitting takes at most `max_labelled` labell
 doc_id; only their features reach the driver, never texts. Features and scores are made for every document, from whole texts.
 
 Defined results: a null or empty text has zero counts; null lang or source are values of their own; with no labelled rows
-of both classes every score is 1 (no evidence against any document); repeated rows score alike; an empty table gives an
-empty table; extra columns don't matter.
+of both classes every score is 1 (no evidence against any document); a text of any length is counted whole; a score that ties with 0.5
+is good; of the texts of a repeated doc_id one is trained on; repeated rows score alike; an empty table gives an empty table;
+extra columns don't matter.
 """
 
 from __future__ import annotations
@@ -21,16 +22,36 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_bytes, tune, written
+from .common import mix64, text_bytes, tune, written
 from .quality_rules import text_statistics
-from .toxicity import _logistic
+from .toxicity import _logistic, first_by_hash
 
 _HASHED = 64
 _TEXT = ["n_words", "word_chars", "n_symbols", "n_repeat_words", "n_distinct", "n_upper", "n_bangs", "n_long_words"]
-_META = ["n_chars", "n_lines", "n_dup_lines", "lang_slot", "source_slot"]
+_META = ["n_chars", "lang_slot", "source_slot"]
+_RUNS = 64
+
+
+def hashed_runs(raw: bytes) -> np.ndarray:
+    """Counts of a text's runs of three bytes, by bucket."""
+    a = np.frombuffer(raw, np.uint8).astype(np.uint64)
+    if len(a) < 3:
+        return np.zeros(_RUNS, np.int64)
+    h = mix64((a[:-2] << np.uint64(16)) | (a[1:-1] << np.uint64(8)) | a[2:])
+    return np.bincount((h & np.uint64(_RUNS - 1)).astype(np.int64), minlength=_RUNS)
+
+
+def text_runs(raw: Column) -> Column:
+    """hashed_runs() of a text, from its bytes."""
+
+    @F.arrow_udf("array<long>")
+    def counted(raw: pa.Array) -> pa.Array:
+        return pa.array([hashed_runs(r) for r in raw.to_pylist()], pa.list_(pa.int64()))
+
+    return counted(raw)
 
 
 def features(docs: DataFrame) -> DataFrame:
@@ -40,7 +61,8 @@ def features(docs: DataFrame) -> DataFrame:
     q = F.col("q")
     tune(docs.sparkSession)
     counted = docs.select("doc_id", "text", slot("lang").alias("lang_slot"), slot("source").alias("source_slot")).withColumn("q", text_statistics(text_bytes()))
-    return counted.select("doc_id", *(q[c].alias(c) for c in _TEXT), F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"), q["n_lines"].alias("n_lines"), q["n_dup_lines"].alias("n_dup_lines"), "lang_slot", "source_slot")
+    size = F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars")
+    return counted.select("doc_id", *(q[c].alias(c) for c in _TEXT), size, "lang_slot", "source_slot", text_runs(text_bytes()).alias("runs"))
 
 
 def text_view(x: dict[str, np.ndarray]) -> np.ndarray:
@@ -48,15 +70,15 @@ def text_view(x: dict[str, np.ndarray]) -> np.ndarray:
     ratio = {c: x[c] / n for c in _TEXT[1:]}
     columns = [np.log1p(x["n_words"]), x["n_words"] < 50, x["n_words"] < 20, *ratio.values()]
     columns += [ratio["n_symbols"] > 0.1, ratio["n_repeat_words"] > 0.4, ratio["n_distinct"] < 0.2, ratio["n_upper"] > 0.4, ratio["n_bangs"] > 0.2, np.log1p(ratio["word_chars"])]
-    return np.column_stack([*(np.asarray(c, float) for c in columns), np.ones(len(n))])
+    share = np.log1p(1000 * x["runs"] / np.maximum(x["runs"].sum(1, keepdims=True), 1))
+    return np.column_stack([*(np.asarray(c, float) for c in columns), share, np.ones(len(n))])
 
 
 def metadata_view(x: dict[str, np.ndarray]) -> np.ndarray:
-    lines = np.maximum(x["n_lines"], 1)
     size = np.log1p(x["n_chars"])
-    columns = [size, size**2, np.log1p(lines), np.log1p(x["n_chars"] / lines), x["n_dup_lines"] / lines, x["n_chars"] < 300, x["n_chars"] / lines > 1500]
+    columns = [size, size**2, x["n_chars"] < 300]
     one_hot = np.eye(_HASHED)
-    return np.column_stack([*(np.asarray(c, float) for c in columns), one_hot[x["lang_slot"]] * 0.5, one_hot[x["source_slot"]] * 0.5, np.ones(len(lines))])
+    return np.column_stack([*(np.asarray(c, float) for c in columns), one_hot[x["lang_slot"]] * 0.5, one_hot[x["source_slot"]] * 0.5, np.ones(len(size))])
 
 
 _VIEWS = (text_view, metadata_view)
@@ -91,14 +113,15 @@ def _newton_sums(x: np.ndarray, y: np.ndarray | float, w: np.ndarray) -> np.ndar
 
 
 def _columns(b: pa.RecordBatch) -> dict[str, np.ndarray]:
-    return {c: b.column(b.schema.get_field_index(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in _TEXT + _META}
+    out = {c: b.column(b.schema.get_field_index(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in _TEXT + _META}
+    return out | {"runs": b.column(b.schema.get_field_index("runs")).flatten().to_numpy(zero_copy_only=False).reshape(-1, _RUNS)}
 
 
 class _Unlabelled:
     """Sums over all unlabelled rows; each task returns one row of them."""
 
     def __init__(self, found: DataFrame):
-        self.found = found.select(*_TEXT, *_META)
+        self.found = found.select(*_TEXT, *_META, "runs")
 
     def _total(self, sums) -> list[np.ndarray]:
         """sums: features of a batch -> list of arrays, by place added up over all batches and tasks."""
@@ -199,7 +222,8 @@ def cotrain(labelled: dict[str, np.ndarray], y: np.ndarray, unlabelled: _Unlabel
 
 
 def _arrays(rows) -> dict[str, np.ndarray]:
-    return {c: rows[c].to_numpy(np.int64) for c in _TEXT + _META}
+    runs = np.array(rows["runs"].tolist(), np.int64).reshape(-1, _RUNS)
+    return {c: rows[c].to_numpy(np.int64) for c in _TEXT + _META} | {"runs": runs}
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = 6000) -> DataFrame:
@@ -207,7 +231,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = 6000)
     spark = docs.sparkSession
     found = written(features(docs), "cotraining-features")
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").cast("int").alias("y"))
-    take = lambda y: known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
+    take = lambda y: first_by_hash(known.where(F.col("y") == y), max_labelled)
     # Bounded by max_labelled of each class; an inner join with one row a doc_id.
     labelled = found.dropDuplicates(["doc_id"]).join(F.broadcast(take(1).unionByName(take(0))), "doc_id").toPandas().sort_values("doc_id")
     free = written(found.join(known.select("doc_id"), "doc_id", "left_anti"), "cotraining-unlabelled")
@@ -221,4 +245,4 @@ def score_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = 6000)
             yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index("doc_id")), pa.array(text), pa.array(meta), pa.array(both), pa.array((both >= 0.5).astype(np.int32)), pa.array(both >= 0.5)], ["doc_id", "text_probability", "metadata_probability", "score", "predicted", "kept"])
 
     doc_id = F.col("doc_id").cast("long").alias("doc_id")
-    return found.select(doc_id, *_TEXT, *_META).mapInArrow(scores, "doc_id long, text_probability double, metadata_probability double, score double, predicted int, kept boolean")
+    return found.select(doc_id, *_TEXT, *_META, "runs").mapInArrow(scores, "doc_id long, text_probability double, metadata_probability double, score double, predicted int, kept boolean")

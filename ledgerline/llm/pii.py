@@ -112,7 +112,7 @@ def _score(kind: str, text: Column, span: Column) -> Column:
     before = F.substring(text, F.greatest(span["start"] - WINDOW + 1, F.lit(1)).cast("int"), F.least(span["start"], F.lit(WINDOW)).cast("int"))
     near = F.lower(F.concat_ws(" ", before, F.substring(text, (span["end"] + 1).cast("int"), F.lit(WINDOW))))
     lift = F.when(near.rlike(rf"\b(?:{_CONTEXT[kind]})"), 0.2).otherwise(0.0) - F.when(near.rlike(rf"\b(?:{_AGAINST})\b"), 0.2).otherwise(0.0)
-    return F.least(F.greatest(F.lit(_SCORES[kind]) + lift, F.lit(0.0)), F.lit(1.0))
+    return F.round(F.least(F.greatest(F.lit(_SCORES[kind]) + lift, F.lit(0.0)), F.lit(1.0)), 2)
 
 
 def _maybe(kind: str, text: Column) -> Column:

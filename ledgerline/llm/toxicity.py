@@ -4,13 +4,14 @@ A word is the bag of its character n-grams (3 to 5, with word ends) and itself,
 a passage's vector the mean of its words' vectors, and a linear softmax over two classes reads it. Misspellings unseen in
 training share most n-grams with words that were seen. A document is read as overlapping passages of WINDOW words, since a few
 words may make a long text toxic: in training, after a first phase, each document stands for its currently most
-toxic passage; in scoring, its most toxic passage and the number of passages go through a calibration fitted on a part of
-the training rows that the embeddings never saw. Every word of every document counts.
+toxic passage; in scoring, its most toxic passage, the third of its most toxic different words and the number of passages go through
+a calibration fitted on a part of the training rows that the embeddings never saw. Every word of every document counts.
 
 Fitting takes at most `max_toxic` toxic and `max_clean` clean labelled documents, the first by a hash of doc_id, none of the held-out
 fold. Labels, lang, source and doc_id are no inputs of a score.
 
-Defined results: null or empty texts score the calibrated value of a passage without evidence; with no labelled rows of both
+Defined results: of the texts of a repeated doc_id one is trained on; a text of any length is scored whole; a score that ties with 0.5 is
+toxic; null or empty texts score the calibrated value of a passage without evidence; with no labelled rows of both
 classes every score is 0; repeated rows score alike; a null doc_id is not held out; an empty table gives an empty table.
 """
 
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 
 from .common import decode, text_bytes, tune
 
-WINDOW, STRIDE = 16, 8
-BUCKETS, SIZE, MIN_DOCS = 1 << 17, 16, 2
+WINDOW, STRIDE, STRONGEST = 4, 2, 3
+BUCKETS, SIZE, MIN_DOCS = 1 << 17, 16, 3
 _PART = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
 
 
@@ -64,6 +65,12 @@ def top_passage(logits: np.ndarray) -> tuple[float, int, int]:
     return float(means[best]), int(starts[best]), len(starts)
 
 
+def third_word(logits: np.ndarray) -> float:
+    """The STRONGEST-th largest logit of a document's different words (the least one if it has fewer; 0 without words)."""
+    n = len(logits)
+    return float(np.partition(logits, max(n - STRONGEST, 0))[max(n - STRONGEST, 0)]) if n else 0.0
+
+
 class Model:
     """What executors need: the logit of each bucket, and the calibration."""
 
@@ -73,9 +80,9 @@ class Model:
     def word_logit(self, word: bytes) -> float:
         return float(self.bucket_logits[subwords(word)].mean())
 
-    def score(self, top: float, n_passages: int) -> float:
-        a, b, c = self.calibration
-        return float(1 / (1 + np.exp(-np.clip(a * (top + self.bias) + b * np.log(n_passages) + c, -30, 30))))
+    def score(self, top: float, third: float, n_passages: int) -> float:
+        z = self.calibration @ [top + self.bias, third + self.bias, np.log(n_passages), 1.0]
+        return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float = 1e-2) -> np.ndarray:
@@ -124,7 +131,7 @@ def fit(texts: list[bytes], labels: list[int], steps: int | None = None, seed: i
         spread[np.unique(flat[np.repeat(first[own] - np.concatenate([[0], np.cumsum(n_own)[:-1]]), n_own) + np.arange(n_own.sum())])] += 1
     known = spread >= MIN_DOCS
     emb[~known] = 0
-    steps = steps or int(np.clip(300 + len(by_class[1]), 500, 1500))
+    steps = steps or int(np.clip(800 + len(by_class[1]), 1000, 2500))
     refresh = 60  # steps between two choices of passages
 
     def word_logits() -> np.ndarray:
@@ -177,8 +184,8 @@ def fit(texts: list[bytes], labels: list[int], steps: int | None = None, seed: i
     logits = word_logits()
     shift = float(bias[1] - bias[0])
     tops = [top_passage(logits[d]) for d in docs]
-    x = np.array([[t + shift, np.log(n), 1.0] for t, _, n in tops])
-    calibration = _logistic(x[kept_out], y[kept_out].astype(float)) if 0 < y[kept_out].sum() < kept_out.sum() else np.array([1.0, 0.0, 0.0])
+    x = np.array([[t + shift, third_word(logits[np.unique(d)]) + shift, np.log(n), 1.0] for (t, _, n), d in zip(tops, docs, strict=True)])
+    calibration = _logistic(x[kept_out], y[kept_out].astype(float)) if 0 < y[kept_out].sum() < kept_out.sum() else np.array([1.0, 0.0, 0.0, 0.0])
     return Model((emb @ (soft[1] - soft[0])).astype(np.float32), shift, calibration)
 
 
@@ -209,17 +216,26 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def first_by_hash(rows: DataFrame, most: int) -> DataFrame:
+    """The `most` rows with the smallest hashes of doc_id. Rows beyond a threshold that the count gives are left out before they are
+    sorted, so that no task sends on more than its share."""
+    n = rows.count()
+    share = min(1.0, (1.5 * most + 1000) / max(n, 1))
+    place = F.xxhash64("doc_id")
+    return rows.where(place <= min(int(share * 2**64) - 2**63, 2**63 - 1)).orderBy(place, "doc_id").limit(most)
+
+
 def labelled_sample(labels: DataFrame, label: str, most_1: int, most_0: int) -> DataFrame:
     """(doc_id, y) of at most most_1 + most_0 rows outside the held-out fold; a document labelled both ways counts as 1."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
-    take = lambda y, n: known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
-    return take(1, most_1).unionByName(take(0, most_0))
+    return first_by_hash(known.where("y = 1"), most_1).unionByName(first_by_hash(known.where("y = 0"), most_0))
 
 
 def train(docs: DataFrame, labels: DataFrame, max_toxic: int = 4000, max_clean: int = 8000) -> Model | None:
     sample = labelled_sample(labels, "toxic", max_toxic, max_clean)
-    # At most max_toxic + max_clean rows of two numbers.
-    rows = docs.select("doc_id", text_bytes().alias("raw")).join(F.broadcast(sample), "doc_id").select("raw", "y").toPandas()
+    # At most max_toxic + max_clean rows of two numbers, and as many texts: one for a doc_id that has several.
+    rows = docs.select("doc_id", text_bytes().alias("raw")).join(F.broadcast(sample), "doc_id").groupBy("doc_id", "y").agg(F.min_by("raw", F.xxhash64("raw")).alias("raw"))
+    rows = rows.select("doc_id", "raw", "y").toPandas().sort_values("doc_id")
     return fit([bytes(r) for r in rows["raw"]], rows["y"].tolist())
 
 
@@ -241,8 +257,11 @@ def score_documents(docs: DataFrame, labels: DataFrame, **bounds) -> DataFrame:
                     out.append(0.0)
                     continue
                 words = words_of(raw)
-                top, _, n = top_passage(np.fromiter(map(logits.__getitem__, words), float, len(words)))
-                out.append(model.score(top, n))
+                own = np.fromiter(map(logits.__getitem__, words), float, len(words))
+                top, _, n = top_passage(own)
+                different = set(words)
+                third = third_word(np.fromiter(map(logits.__getitem__, different), float, len(different)))
+                out.append(model.score(top, third, n))
             s = pa.array(out, pa.float64())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), s, pa.array([int(x >= 0.5) for x in out], pa.int32())], ["doc_id", "held_out", "score", "predicted"])
 

@@ -448,3 +448,48 @@ def test_toxicity_ignores_held_out_labels(spark):
     flipped = [(d, q, 1 - t if zlib.crc32(str(d).encode()) % 5 == 0 else t) for d, q, t in marks]
     first, second = (sorted((r.doc_id, round(r.score, 6)) for r in toxicity.score_documents(table, spark.createDataFrame(m, "doc_id long, quality int, toxic int")).collect()) for m in (marks, flipped))
     assert first == second
+
+
+def test_toxicity_held_out(spark):
+    """Documents whose labels training never saw, at sf0.1: 97 toxic ones, of which five hold no toxic word."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    scored = toxicity.score_documents(docs, labels).where("held_out").join(labels.where("toxic is not null"), "doc_id").select("predicted", "toxic").collect()
+    toxic, clean = ([r.predicted for r in scored if r.toxic == y] for y in (1, 0))
+    assert len(toxic) > 90 and sum(toxic) >= 0.9 * len(toxic) and sum(clean) <= 0.01 * len(clean)
+
+
+def test_cotraining_held_out(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    apart = labels.where(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0)
+    scored = cotraining.score_quality(docs, labels.join(apart, "doc_id", "left_anti")).join(apart.where("quality is not null"), "doc_id").select("predicted", "quality").collect()
+    assert len(scored) > 700 and sum(r.predicted != r.quality for r in scored) <= 0.01 * len(scored)
+
+
+def test_label_model_equals_one_document_at_a_time(spark, docs):
+    """Expectation-maximisation written out over single documents, against the one over counts of patterns."""
+    rules = [r.votes for r in quality_rules.with_votes(docs).select("votes").collect()]
+    expected, weight, n_rules = {0: (0.2, 0.02), 1: (0.01, 0.3)}, 0.02 * len(rules), len(quality_rules.RULES)
+    rate = [[{"0": b, "1": g, "-": 1 - b - g} for _ in range(n_rules)] for b, g in expected.values()]
+    prior = 0.85
+    for _ in range(50):
+        p = []
+        for v in rules:
+            odds = np.log(prior / (1 - prior)) + sum(np.log(rate[1][j][c]) - np.log(rate[0][j][c]) for j, c in enumerate(v))
+            p.append(1 / (1 + np.exp(-np.clip(odds, -50, 50))))
+        prior = min(max((sum(p) + 0.85 * weight) / (len(p) + weight), 0.02), 0.98)
+        for y in (0, 1):
+            own = [x if y else 1 - x for x in p]
+            start = dict(zip("01-", (*expected[y], 1 - sum(expected[y])), strict=True))
+            rate[y] = [{c: (sum(o for o, v in zip(own, rules, strict=True) if v[j] == c) + weight * start[c]) / (sum(own) + weight) for c in "01-"} for j in range(n_rules)]
+    model = quality_rules.fit_label_model(dict(Counter(rules)))
+    assert all(abs(model["posterior"][v] - x) < 1e-9 for v, x in zip(rules, p, strict=True))
+    for r in quality_rules.quality_report(docs).collect():
+        assert r.kept == (not r.base_failed and r.quality_probability >= 0.25)
+
+
+def test_pii_scores_and_secrets(spark):
+    texts = ["my card number is 4111 1111 1111 1111", "order 4111 1111 1111 1111", 'token = "abcdef0123456789abcd"', "api_key: 0123456789abcdef", "token of many words", "password: onlylettersarenone", None, "+49 30 1234567 serial build"]
+    got = {r.doc_id: r for r in pii.pii_report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[i].n_secret for i in range(8)] == [0, 0, 1, 1, 0, 0, 0, 0]
+    assert (got[0].scores, got[0].n_likely) == ("0.90", 1) and (got[1].scores, got[1].n_likely) == ("0.50", 1) and (got[7].scores, got[7].n_likely) == ("0.30", 0)
+    assert got[2].spans == "secret:0:29" and got[6].spans == ""

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm import decontaminate, jaccard_join, line_dedup, packing, quality_rules
-from ledgerline.llm.common import read_table, shared_root
+from ledgerline.llm.common import delete_path, made, purge_scratch, read_table, shared_root
 from ledgerline.llm.queries import tokenizer_path
 
 
@@ -49,10 +49,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over documents; each result but the last is a table in the shared folder."""
-    docs = read_table(spark, sf_dir, "documents")
+    """The stages over documents; each result but the last is a table in the shared folder.
+
+    When a stage's result is written, its scratch tables go, and so does the table that it read.
+    """
+    docs, old = read_table(spark, sf_dir, "documents"), None
     root = f"{shared_root(spark)}/ledgerline/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES[:-1]:
+        since = len(made)
         stage(spark, docs, sf_dir).write.parquet(f"{root}/{name}")
-        docs = spark.read.parquet(f"{root}/{name}")
+        purge_scratch(spark, since)
+        if old:
+            delete_path(spark, old)
+        old = f"{root}/{name}"
+        docs = spark.read.parquet(old)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import NO_ID, tune, written
@@ -212,10 +212,10 @@ def prefix_tree(conversations: DataFrame, tokenizer_path: str) -> tuple[DataFram
     keyed = written(along.mapInArrow(_paths, "node binary, path_key binary, depth int, n_tokens long, position long"), "chat-paths")
     depth_first = keyed.repartitionByRange("path_key", "depth").sortWithinPartitions("path_key", "depth").select("node", "n_tokens", "position")
     placed = written(depth_first.mapInArrow(_offsets, "node binary, part int, local long, n_tokens long, position long"), "chat-places")
-    totals = sorted((r["part"], r["n"]) for r in placed.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect())
-    bases = dict(zip([p for p, _ in totals], np.cumsum([0, *(n for _, n in totals)]).tolist(), strict=False))
-    base = F.create_map(*[F.lit(x) for kv in bases.items() for x in kv])[F.col("part")] if bases else F.lit(0)
-    places = placed.select("node", (F.col("local") + base).cast("long").alias("start"), "n_tokens", "position")
+    totals = placed.groupBy("part").agg(F.sum("n_tokens").alias("n"))
+    # One row a partition: what the partitions before it hold.
+    before = totals.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))
+    places = placed.join(F.broadcast(before), "part").select("node", (F.col("local") + F.col("base")).cast("long").alias("start"), "n_tokens", "position")
     spots = members.join(places.join(owners.select("node", "owner"), "node"), "node").select("conv", "idx", "node", "start", "n_tokens", "owner")
     attends = spots.repartition("conv").sortWithinPartitions("conv", "idx").mapInArrow(_intervals, "node binary, attends array<struct<start:long,end:long>>")
     ids = F.sequence(F.col("position"), F.col("position") + F.col("n_tokens") - 1).alias("position_ids")

@@ -16,6 +16,8 @@ ASCII_SPACE = " \t\n\x0b\x0c\r"
 NO_ID = -(2**63)
 
 _own_root: dict[str, str] = {}
+#: Scratch tables written in this session, in order.
+made: list[str] = []
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,17 +55,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_root(spark)}/ledgerline/{name}-{uuid.uuid4().hex}"
+    made.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def purge_scratch(spark: SparkSession) -> None:
-    """Delete the scratch tables of finished queries; call it when no result that reads them is in use."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/ledgerline")
+def delete_path(spark: SparkSession, name: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def purge_scratch(spark: SparkSession, since: int = 0) -> None:
+    """Delete the scratch tables that this session has written (those after the first `since`); call it when no result reads them any more."""
+    while len(made) > since:
+        delete_path(spark, made.pop())
+
+
 def text_bytes(name: str = "text") -> Column:
     """The text as UTF-8 bytes, null as empty: what the Python side works on."""
     return F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")

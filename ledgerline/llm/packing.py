@@ -11,6 +11,7 @@ an empty table gives no piece; columns besides doc_id and text are not read.
 
 from __future__ import annotations
 
+import json
 import itertools
 import os
 import re
@@ -51,12 +52,25 @@ def _little(ids: array) -> bytes:
     return ids.tobytes()
 
 
+#: The normaliser and the split of words that the short way below writes out; any other goes through the tokenizer's whole chain.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_SPLIT = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+
+
+def written_out(chain) -> bool:
+    """Whether a tokenizer has the normaliser and split that TokenCache writes out, and special tokens that begin with <| only."""
+    spec = json.loads(chain.to_str())
+    same = spec["normalizer"] == _NORMALIZER and spec["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": [_SPLIT, _BYTES]}
+    return same and spec["post_processor"] is None and all(t["content"].startswith("<|") for t in spec["added_tokens"])
+
+
 class TokenCache(dict):
     """Ids (little-endian 16-bit) by ASCII-space separated chunk, in two generations of bounded size.
 
     The tokenizer drops white space before it splits, so chunks are tokenized apart. Chunks of printable ASCII and words of
     European letters, with or without marks after them, go straight to its model, which takes a tenth of the time of its
-    whole chain; all others go through the chain.
+    whole chain; all others go through the chain. A tokenizer of another build gets whole texts (`written_out`).
     """
 
     def __init__(self, path: str, most: int = 450_000):
@@ -65,7 +79,9 @@ class TokenCache(dict):
         super().__init__()
         self.chain, self.most, self.old = Tokenizer.from_file(path), most, {}
         self.model = self.chain.model
-        assert self.chain.get_vocab_size() <= 1 << 16
+        self.whole = not written_out(self.chain)
+        if self.chain.get_vocab_size() > 1 << 16:
+            raise ValueError(f"{path} has {self.chain.get_vocab_size()} ids; packing holds ids in 16 bits")
 
     def _of_part(self, part: str) -> bytes:
         written = part if part.isascii() else "".join(map(_LETTERS.__getitem__, part.encode()))
@@ -96,6 +112,8 @@ class TokenCache(dict):
         return ids
 
     def encode(self, raw: bytes) -> bytes:
+        if self.whole:
+            return _little(array("H", self.chain.encode(decode(raw), add_special_tokens=False).ids))
         raw = decode(raw).encode()
         # Lower case is the tokenizer's own; done first it makes fewer chunks. A text that could name a special token is left.
         return b"".join(map(self.__getitem__, (raw if b"<|" in raw else raw.lower()).split()))

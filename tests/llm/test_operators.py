@@ -163,6 +163,18 @@ def test_token_cache_equals_tokenizer():
         assert np.frombuffer(cache.encode(text.encode()), "<u2").tolist() == t.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_tokens_of_whole_texts_and_of_another_tokenizer(spark):
+    from tokenizers import Tokenizer
+
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        path = tokenizer_path(name)
+        t, cache = Tokenizer.from_file(path), packing.TokenCache(path)
+        assert cache.whole == (name != "word_bpe_49k.json")
+        for text in texts:
+            assert np.frombuffer(cache.encode(text.encode()), "<u2").tolist() == t.encode(text, add_special_tokens=False).ids
+
+
 def base_spans(text):
     out = []
     for kind, form in pii.FORMS.items():

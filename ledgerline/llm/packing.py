@@ -59,7 +59,7 @@ _BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True,
 
 
 def written_out(chain) -> bool:
-    """Whether a tokenizer has the normaliser and split that TokenCache writes out, and special tokens that begin with <| only."""
+    """Asked once, on the driver: whether a tokenizer has the normaliser and split that TokenCache writes out, and special tokens that begin with <| only."""
     spec = json.loads(chain.to_str())
     same = spec["normalizer"] == _NORMALIZER and spec["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": [_SPLIT, _BYTES]}
     return same and spec["post_processor"] is None and all(t["content"].startswith("<|") for t in spec["added_tokens"])
@@ -73,13 +73,13 @@ class TokenCache(dict):
     whole chain; all others go through the chain. A tokenizer of another build gets whole texts (`written_out`).
     """
 
-    def __init__(self, path: str, most: int = 450_000):
+    def __init__(self, path: str, whole: bool | None = None, most: int = 450_000):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.chain, self.most, self.old = Tokenizer.from_file(path), most, {}
         self.model = self.chain.model
-        self.whole = not written_out(self.chain)
+        self.whole = not written_out(self.chain) if whole is None else whole
         if self.chain.get_vocab_size() > 1 << 16:
             raise ValueError(f"{path} has {self.chain.get_vocab_size()} ids; packing holds ids in 16 bits")
 
@@ -106,7 +106,8 @@ class TokenCache(dict):
         if ids is None:
             ids = self._of_chunk(chunk)
         if len(self) >= self.most:
-            self.old = dict(self)
+            self.old.clear()
+            self.old.update(self)
             self.clear()
         self[chunk] = ids
         return ids
@@ -122,10 +123,10 @@ class TokenCache(dict):
 _caches: dict[str, TokenCache] = {}
 
 
-def token_cache(path: str) -> TokenCache:
+def token_cache(path: str, whole: bool) -> TokenCache:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if path not in _caches:
-        _caches[path] = TokenCache(path)
+        _caches[path] = TokenCache(path, whole)
     return _caches[path]
 
 
@@ -165,9 +166,9 @@ def curve_keys(documents: list[np.ndarray]) -> np.ndarray:
     return hilbert_index(cells.astype(np.int64), _BITS)
 
 
-def _tokenized(path: str, end_id: int):
+def _tokenized(path: str, whole: bool, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, end, zip_ = token_cache(path), np.array([end_id], "<u2").tobytes(), zstandard.ZstdCompressor(1)
+        cache, end, zip_ = token_cache(path, whole), np.array([end_id], "<u2").tobytes(), zstandard.ZstdCompressor(1)
         for b in batches:
             raws = [cache.encode(r) + end for r in b.column(1).to_pylist()]
             arrays = [np.frombuffer(r, "<u2") for r in raws]
@@ -230,7 +231,8 @@ def _filled(size: int):
 def pack_documents(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 1) -> DataFrame:
     """Pieces of documents: doc_id, start, length, doc_tokens, sequence_id, offset and ids (little-endian 32-bit)."""
     tune(docs.sparkSession)
-    tokens = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("raw")).mapInArrow(_tokenized(tokenizer_path, end_id), "doc_id long, curve_key long, doc_tokens long, packed_ids binary")
+    whole = TokenCache(tokenizer_path).whole
+    tokens = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("raw")).mapInArrow(_tokenized(tokenizer_path, whole, end_id), "doc_id long, curve_key long, doc_tokens long, packed_ids binary")
     ordered = written(tokens, "tokens").repartitionByRange("curve_key", "doc_id").sortWithinPartitions("curve_key", "doc_id")
     return ordered.select("doc_id", "packed_ids").mapInArrow(_filled(size), "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
 

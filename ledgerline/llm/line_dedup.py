@@ -210,5 +210,7 @@ def line_report(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
             found = [kept_lines(r, m) for r, m in zip(raws, maps, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([x[1] for x in found], pa.int64()), pa.array([x[2] for x in found], pa.int64()), pa.array([hashlib.sha256(x[0]).hexdigest() for x in found], pa.string())], ["doc_id", "n_lines", "n_dropped", "kept_sha256"])
 
-    marked = with_bitmaps(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), keep_bitmaps(docs, min_chars, min_docs))
-    return marked.select(F.col("row.doc_id").alias("doc_id"), text_bytes("row.text").alias("raw"), "keep_bitmap").mapInArrow(digests, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("raw"))
+    slim = slim.withColumns({"doc": F.coalesce("doc_id", F.lit(NO_ID)), "row_key": F.xxhash64("raw")})
+    marked = slim.join(keep_bitmaps(docs, min_chars, min_docs).drop("n_dropped").hint("shuffle_hash"), ["doc", "row_key"], "left")
+    return marked.select("doc_id", "raw", "keep_bitmap").mapInArrow(digests, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")

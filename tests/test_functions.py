@@ -82,3 +82,21 @@ def test_audits(spark):
     got = {r.check_id: (r.ok, r.observed) for r in audits.unique_ids(rows, "id").collect()}
     assert got == {"id_blank": (False, 1), "id_duplicates": (False, 1)}
     assert audits.exit_status(audits.unique_ids(rows, "id")).first()[0] == 1 and audits.exit_status(audits.unique_ids(rows.where("id = 'b'"), "id")).first()[0] == 0
+
+
+def test_people():
+    """Cases of names and of pages that are read for people."""
+    from ledgerline.operators import sequences as S
+
+    names = {"Ada Stone": True, "Ada W. Stone": True, "Jean-Luc O\u2019Neil": True, "Our Team": False, "ADA STONE": False, "ada stone": False, "Solo": False, "Ada Stone MBA": False, "W. Stone": False, "New York": False}
+    assert {n: S.plausible_name(n) for n in names} == names
+
+
+def test_people_page(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators import sequences as S
+
+    rows = [("https://a.test/Our-Team", "", True), ("https://a.test/x", "**Ada Stone**, Partner", True), ("https://a.test/x", "**Ada Stone** is here", False), (None, None, False)]
+    got = spark.createDataFrame(rows, "url string, text string, want boolean").select(S.people_page(F.col("url"), F.col("text")).alias("got"), "want").collect()
+    assert all(r.got == r.want for r in got)

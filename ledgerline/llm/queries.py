@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_tree, cotraining, decontaminate, jaccard_join, line_dedup, packing, pii, quality_rules, toxicity, warc
+from . import chat_tree, cotraining, decontaminate, jaccard_join, line_dedup, merkle, packing, pii, quality_rules, toxicity, warc
 from .common import read_table
+from .sql import OP11_SQL
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -59,6 +60,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(read_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_report(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_tree": op1_chat_tree,
@@ -71,6 +76,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_jaccard_join": op9_jaccard_join,
         "op6_line_dedup": op6_line_dedup,
         "op8_quality_rules": op8_quality_rules,
+        "op11_merkle": op11_merkle,
     }
 
 
@@ -128,4 +134,11 @@ SELECT doc_id, class_id, (SELECT count(*) FROM e WHERE e.a = c.doc_id)::BIGINT A
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_tree": OP1_SQL, "op6_line_dedup": OP6_SQL, "op7_decontamination": OP7_SQL, "op9_jaccard_join": OP9_SQL, "op10_warc": OP10_SQL}
+    return {
+        "op1_chat_tree": OP1_SQL,
+        "op6_line_dedup": OP6_SQL,
+        "op7_decontamination": OP7_SQL,
+        "op9_jaccard_join": OP9_SQL,
+        "op10_warc": OP10_SQL,
+        "op11_merkle": OP11_SQL,
+    }

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_tree, cotraining, decontaminate, jaccard_join, line_dedup, merkle, packing, pii, quality_rules, toxicity, warc
+from . import blockmax, chat_tree, cotraining, decontaminate, jaccard_join, line_dedup, merkle, packing, pii, prefix_trie, quality_rules, toxicity, warc
 from .common import read_table
-from .sql import OP11_SQL
+from .sql import OP11_SQL, OP12_SQL, OP13_SQL
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -64,6 +64,14 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest_report(read_table(spark, sf_dir, "documents"))
 
 
+def op12_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blockmax.search_report(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie_report(read_table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_tree": op1_chat_tree,
@@ -77,6 +85,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_line_dedup": op6_line_dedup,
         "op8_quality_rules": op8_quality_rules,
         "op11_merkle": op11_merkle,
+        "op12_top_k": op12_top_k,
+        "op13_prefix_trie": op13_prefix_trie,
     }
 
 
@@ -141,4 +151,6 @@ def oracle_sql() -> dict[str, str]:
         "op9_jaccard_join": OP9_SQL,
         "op10_warc": OP10_SQL,
         "op11_merkle": OP11_SQL,
+        "op12_top_k": OP12_SQL,
+        "op13_prefix_trie": OP13_SQL,
     }

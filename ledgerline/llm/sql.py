@@ -37,3 +37,38 @@ SELECT l.doc_id, l.leaf, s.subroot, t.digest AS root, sha256(coalesce(p.siblings
 FROM leaves l JOIN sub s ON s.name = l.tree JOIN highs t ON t.n = 1 JOIN fold f ON f.tree = l.tree AND f.place = l.place AND f.k = len(f.pairs)
 LEFT JOIN proof p ON p.tree = l.tree AND p.leaf_place = l.place
 """
+
+
+OP12_SQL = r"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, coalesce(list_sum(list_transform(list_zip(a.w, b.w), lambda z: coalesce(z[1] * z[2], 0))), 0)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+OP13_SQL = rf"""
+WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS place, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+n AS (SELECT c, count(*) AS n, {CRC32.format("c")} % 9 AS h, c - c % 5 AS base FROM t GROUP BY c),
+s AS (SELECT n.*, least(n.h, coalesce(b.n, 0)) AS taken FROM n LEFT JOIN n b ON b.c = n.base),
+w AS (
+  SELECT s.c, t.place + 1 AS d, role, text FROM s JOIN t ON t.c = s.base AND t.place < s.h
+  UNION ALL SELECT s.c, t.place - s.h + s.taken + 1, role, text FROM s JOIN t ON t.c = s.c AND t.place >= s.h),
+k AS MATERIALIZED (
+  SELECT c, d, strlen(text) AS bytes, sha256(string_agg(sha256(role || chr(0) || text), '' ) OVER (PARTITION BY c ORDER BY d)) AS node FROM w
+  UNION ALL SELECT c, 0, 0, '' FROM n),
+e AS (SELECT c, max(d) AS total FROM k GROUP BY c),
+nodes AS MATERIALIZED (
+  SELECT d, node, min(k.c) AS c, count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS saved,
+    sha256(coalesce(string_agg(k.c::VARCHAR, ',' ORDER BY k.c) FILTER (WHERE d = total), '')) AS ends_sha256
+  FROM k JOIN e ON e.c = k.c GROUP BY d, node),
+up AS MATERIALIZED (SELECT x.d, x.node, x.c, x.saved, k.d AS above_d, k.node AS above FROM nodes x JOIN k ON k.c = x.c AND k.d <= x.d),
+kids AS (SELECT above_d AS d, above AS node, count(*) AS n_children FROM up WHERE above_d = d - 1 GROUP BY ALL),
+sums AS (
+  SELECT above_d AS d, above AS node, count(*) FILTER (WHERE n_children IS NULL) AS n_leaves, sum(saved) AS saved_tokens
+  FROM up LEFT JOIN kids ON kids.d = up.d AND kids.node = up.node GROUP BY above_d, above)
+SELECT x.c AS conv_id, x.d::BIGINT AS depth, p.c AS parent_conv_id, x.n_convs::BIGINT AS n_convs, coalesce(n_children, 0)::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, x.ends_sha256
+FROM nodes x JOIN sums USING (d, node) LEFT JOIN kids USING (d, node) LEFT JOIN up u ON u.d = x.d AND u.node = x.node AND u.above_d = x.d - 1
+LEFT JOIN nodes p ON p.d = u.above_d AND p.node = u.above
+"""

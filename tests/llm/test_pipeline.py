@@ -42,5 +42,5 @@ def test_stages(spark, folder, tmp_path):
 
 def test_queries_have_all_operators():
     names = list(queries.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 12))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(queries.oracle_sql()) <= set(names)

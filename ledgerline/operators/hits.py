@@ -73,21 +73,27 @@ def record_seeds(chunks: DataFrame, asked: DataFrame, each: int = 4) -> DataFram
     wanted = asked.select("query_id", order.alias("order"), F.posexplode("matched").alias("at", "record_id"))
     wanted = wanted.groupBy("query_id", "record_id").agg(F.min("at").alias("at"), F.first("order").alias("order"))
     place = F.array_position("order", F.col("chunk_type"))
-    found = chunks.select("chunk_id", "record_id", "chunk_type").join(F.broadcast(wanted), "record_id").withColumn("place", F.when(place > 0, place).otherwise(F.lit(999)))
+    found = chunks.select("chunk_id", "record_id", "chunk_type").join(wanted, "record_id").withColumn("place", F.when(place > 0, place).otherwise(F.lit(999)))
     first = top_per_key(found, ["query_id", "record_id"], each, "within", F.col("place"), F.col("chunk_id"))
     return top_per_key(first, ["query_id"], 1 << 30, "seed_rank", F.col("at"), F.col("within")).select("query_id", "chunk_id", "record_id", "seed_rank")
 
 
 def listing_seeds(chunks: DataFrame, asked: DataFrame, matches: Column, order: str = "chunk_id", most: int = 50) -> DataFrame:
-    """query_id, chunk_id, record_id, seed_rank: of each record the first chunk that meets a listing's filters; the first `most` records.
+    """query_id, chunk_id, record_id, seed_rank: of each record the first chunk in `order` that meets a listing's filters; the first `most` records.
 
-    asked: query_id, has_linkedin and what `matches` reads; only questions with filters belong in it.
+    asked: query_id, has_linkedin and what else `matches` reads; only questions with filters belong in it. Chunks meet each different
+    set of filters once. Those come from the rules' fixed tables, so there are a few thousand at most however many questions there are.
     """
+    wanted = [c for c in asked.columns if c != "query_id"]
     allowed = F.col("chunk_type").isin("record_profile", "regulatory") | (F.col("has_linkedin").eqNullSafe(F.lit(True)) & (F.col("chunk_type") == "field_evidence"))
-    found = chunks.join(F.broadcast(asked), F.lit(True)).where(allowed & matches)
+    found = chunks.join(F.broadcast(asked.select(*wanted).distinct()), F.lit(True)).where(allowed & matches)
     # The least chunk of a record combines map-side, so a large record sends one row a task.
-    first = found.groupBy("query_id", "record_id").agg(F.min(order).alias("chunk_id"))
-    return top_per_key(first, ["query_id"], most, "seed_rank", F.col("chunk_id")).select("query_id", "chunk_id", "record_id", "seed_rank")
+    first = found.groupBy(*wanted, "record_id").agg(F.min(F.struct(F.col(order).alias("at"), "chunk_id")).alias("m")).select(*wanted, "record_id", "m.*")
+    first = top_per_key(first, wanted, most, "seed_rank", F.col("at"), F.col("chunk_id")).alias("f")
+    same = F.lit(True)
+    for c in wanted:
+        same = same & F.col(f"f.{c}").eqNullSafe(F.col(f"q.{c}"))
+    return asked.alias("q").join(first, same).select("query_id", "chunk_id", "record_id", "seed_rank")
 
 
 def decoded_urls(value: Column) -> Column:

@@ -1,8 +1,8 @@
-"""Text and vector retrieval: BM25, hashed embeddings, cosine top-k, reciprocal-rank fusion, seeds, filters, caps."""
+"""Hashed embeddings, reciprocal-rank fusion, seeds, caps and scores of retrieval; the indexes are in inverted.py and vector_index.py."""
 
 from __future__ import annotations
 
-import itertools
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,95 +11,48 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import search_tokens
+from ..sources.versions import held
+from . import hits, inverted, vector_index
+from .intent import kept_registered_filter
 from .ranking import top_per_key
 
-K1, B, EPSILON = 1.5, 0.75, 0.25
 DIMENSION = 384
 RRF_K = 60
 
 
-def bm25_topk(docs: DataFrame, queries: DataFrame, k: int = 10, rank: str = "bm25_rank") -> DataFrame:
-    """query_id, doc_id, score, rank of the k best documents by query that share a token with it.
+def _codes(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Component and sign of each token, by its SHA-256."""
+    digests = [hashlib.sha256(t.encode()).digest() for t in tokens]
+    at = np.array([int.from_bytes(d[:4]) % DIMENSION for d in digests], np.int64)
+    return at, np.array([1.0 if d[4] % 2 == 0 else -1.0 for d in digests])
 
-    docs: doc_id, text. queries: query_id, text. Document frequencies cover the whole vocabulary, since negative idfs become
-    EPSILON times its mean; postings are kept for query terms only. A repeated query token counts again.
-    """
-    tokens = docs.select("doc_id", search_tokens(F.col("text")).alias("tokens")).withColumn("dl", F.size("tokens"))
-    whole = tokens.agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl"))
-    # A document names each of its terms once, so these counts combine map-side to one row a term and task.
-    df = tokens.select(F.explode(F.array_distinct("tokens")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    idf = df.join(F.broadcast(whole), how="cross").select("term", "n_docs", "avgdl", (F.log(F.col("n_docs") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("idf"))
-    floor = idf.agg((F.avg("idf") * EPSILON).alias("floor"))
-    asked = queries.select("query_id", F.explode(search_tokens(F.col("text"))).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("times"))
-    weights = asked.join(idf, "term").join(F.broadcast(floor), how="cross").withColumn("w", F.when(F.col("idf") < 0, F.col("floor")).otherwise(F.col("idf")) * F.col("times"))
-    # Only postings of terms that are asked for are made.
-    tf = tokens.select("doc_id", "dl", F.explode("tokens").alias("term")).join(asked.select("term").distinct(), "term", "left_semi").groupBy("doc_id", "dl", "term").agg(F.count("*").alias("tf"))
-    part = F.col("w") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
-    scores = tf.join(weights, "term").groupBy("query_id", "doc_id").agg(F.round(F.sum(part), 6).alias("score"))
-    return top_per_key(scores, ["query_id"], k, rank, F.desc("score"), F.col("doc_id"))
-
-
-def hashed_embedding(docs: DataFrame) -> DataFrame:
-    """doc_id, idx, value: the sparse L2-normalised signed counts of hashed tokens."""
-    token = F.explode(F.filter(F.split(F.lower("text"), r"\s+"), lambda w: w != ""))
-    # Hash each distinct token of a document once.
-    counted = docs.select("doc_id", token.alias("t")).groupBy("doc_id", "t").agg(F.count("*").alias("n"))
-    h = F.sha2("t", 256)
-    sign = F.when(F.conv(F.substring(h, 9, 2), 16, 10).cast("int") % 2 == 0, 1).otherwise(-1)
-    cells = counted.select("doc_id", (F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") % DIMENSION).alias("idx"), (sign * F.col("n")).alias("v"))
-    cells = cells.groupBy("doc_id", "idx").agg(F.sum("v").alias("v")).where("v <> 0")
-    norm = cells.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
-    return cells.join(norm, "doc_id").select("doc_id", "idx", (F.col("v") / F.col("norm")).alias("value"))
-
-
-def _blocks(queries: DataFrame, block: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(ids, normalised matrix) of at most `block` queries at a time."""
-    rows = queries.where("query_id is not null and embedding is not null").select("query_id", "embedding").toLocalIterator()
-    while held := list(itertools.islice(rows, block)):
-        q = np.array([r[1] for r in held], float)
-        yield np.array([r[0] for r in held], np.int64), q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)
-
-
-def dense_topk(vectors: DataFrame, queries: DataFrame, k: int = 10, block: int = 4096, rank: str = "dense_rank") -> DataFrame:
-    """query_id, vec_id, score = 1 / (1 + cosine distance), rank; a vector is no hit of its own id.
-
-    queries (query_id, embedding) pass the driver a block of at most `block` at a time, and go to executors so; each batch is one matrix
-    product, and hands on its k best by query only. Null vectors, and vectors of another length than the queries', are no hits.
-    """
-    spark, out = vectors.sparkSession, None
-    for ids, q in _blocks(queries, block):
-        fit = vectors.where(F.col("vec_id").isNotNull() & (F.size("embedding") == q.shape[1]) & ~F.exists("embedding", F.isnull))
-        found = fit.select("vec_id", "embedding").mapInArrow(_best(spark.sparkContext.broadcast((ids, q)), k), "query_id long, vec_id long, score double")
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        out = spark.createDataFrame([], "query_id long, vec_id long, score double")
-    return top_per_key(out, ["query_id"], k, rank, F.desc("score"), F.col("vec_id"))
-
-
-def _best(shared, k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, q = shared.value
-        for b in batches:
-            if not b.num_rows:
-                continue
-            vec = b.column(0).to_numpy()
-            m = b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1).astype(float)
-            m /= np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
-            score = np.round(1 / (2 - q @ m.T), 6)
-            score[ids[:, None] == vec[None, :]] = -1
-            order = np.lexsort((np.broadcast_to(vec, score.shape), -score))[:, :k]
-            kept = np.take_along_axis(score, order, 1)
-            keep = kept >= 0
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, order.shape[1])[keep.ravel()]), pa.array(vec[order].ravel()[keep.ravel()]), pa.array(kept.ravel()[keep.ravel()])], ["query_id", "vec_id", "score"])
-
-    return run
-
-
-def fuse(dense: DataFrame, bm25: DataFrame, boost: Column | None = None) -> DataFrame:
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, tokens) -> (id, embedding); each distinct token of a batch is hashed once."""
+    for b in batches:
+        lists = b.column(1)
+        flat = lists.flatten().dictionary_encode()
+        at, sign = _codes(flat.dictionary.to_pylist())
+        token = flat.indices.to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(b.num_rows), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        x = np.bincount(row * DIMENSION + at[token], sign[token], b.num_rows * DIMENSION).reshape(-1, DIMENSION) if len(token) else np.zeros((b.num_rows, DIMENSION))
+        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), DIMENSION).cast(pa.list_(pa.float64()))], [b.schema.names[0], "embedding"])
+
+
+def hashed_vectors(docs: DataFrame, id_: str = "doc_id") -> DataFrame:
+    """id, embedding: the L2-normalised signed counts of hashed tokens of each row's own text, without a shuffle; zeros for a text without tokens."""
+    tokens = F.filter(F.split(F.lower("text"), r"\s+"), lambda w: w != "")
+    kind = docs.schema[id_].dataType.simpleString()
+    return docs.select(id_, tokens.alias("tokens")).mapInArrow(_hashed, f"{id_} {kind}, embedding array<double>")
+
+
+def fuse(dense: DataFrame, bm25: DataFrame, boost: Column | None = None, meta: DataFrame | None = None) -> DataFrame:
     """Full outer merge of two ranked lists (query_id, chunk_id, dense_rank / bm25_rank) by reciprocal ranks and a boost.
 
-    Ties: first in order of the dense list, then of the other."""
+    meta: columns by chunk_id, which the boost may read; chunks without any stay. Ties: first in order of the dense list, then of the other."""
     both = dense.join(bm25, ["query_id", "chunk_id"], "full_outer")
+    both = both if meta is None else both.join(meta, "chunk_id", "left")
     rrf = lambda c: F.coalesce(1 / (RRF_K + F.col(c)), F.lit(0.0))
     return both.withColumn("fused", F.round(rrf("dense_rank") + rrf("bm25_rank") + (F.lit(0.0) if boost is None else boost), 9))
 
@@ -115,9 +68,10 @@ def ranked(hits: DataFrame, rank: str = "final_rank", most: int = 1 << 30) -> Da
     return top_per_key(hits, ["query_id"], most, rank, *fused_order())
 
 
-def cap_per_record(hits: DataFrame, record: str, most: int, rank: str) -> DataFrame:
-    """At most `most` hits by query and record, in order, and ranks anew."""
-    kept = top_per_key(hits, ["query_id", record], most, "__place", F.col(rank))
+def cap_per_record(hits: DataFrame, record: str, most: int | Column, rank: str) -> DataFrame:
+    """At most `most` hits by query and record, in order, and ranks anew. most: a number, or a column of hits of at most 1,000."""
+    kept = top_per_key(hits, ["query_id", record], most if isinstance(most, int) else 1000, "__place", F.col(rank))
+    kept = kept if isinstance(most, int) else kept.where(F.col("__place") <= most)
     return top_per_key(kept.withColumnRenamed(rank, "__old"), ["query_id"], 1 << 30, rank, F.col("__old")).drop("__old", "__place")
 
 
@@ -128,6 +82,40 @@ def with_seeds(seeds: DataFrame, hits: DataFrame, rank: str) -> DataFrame:
     return top_per_key(first.unionByName(rest), ["query_id"], 1 << 30, rank, F.col("__group"), F.col("__place")).drop("__group", "__place")
 
 
+def retrieved(index: inverted.Index, vectors: vector_index.VectorIndex, asked: DataFrame) -> DataFrame:
+    """query_id, intent, chunk_id, record_id, final_rank: the hits of questions by both indexes and their own rules, before the cut.
+
+    index has the chunks' metadata: record_id, chunk_type, field_name, field_value_text, state_region, city, country, entity_type, sec_registered. asked: query_id, t (lower case),
+    and what the rules of intent.py read from it: f, intent, chunk_types and the filters. A record whose id stands in a question is matched.
+    """
+    chunks = index.documents()
+    named = asked.select("query_id", F.explode(F.array_distinct(search_tokens(F.col("t")))).alias("record_id")).join(chunks.select("record_id").distinct(), "record_id")
+    matched = named.groupBy("query_id").agg(F.sort_array(F.collect_list("record_id"), False).alias("matched"))
+    preferred = F.split("chunk_types", ",").alias("preferred")
+    asked = asked.join(matched, "query_id", "left").withColumn("matched", F.coalesce("matched", F.array().cast("array<string>")))
+    registered = kept_registered_filter(F.col("intent"), F.size("matched"), F.col("sec_registered"))
+    wanted = {"state_region": F.col("state").alias("want_state"), "state_or_city": F.col("state_or_city").alias("want_city"), "country": F.col("country").alias("want_country"), "entity_type": F.col("entity_type").alias("want_type"), "sec_registered": registered.alias("want_sec")}
+    asked = held(asked.select("query_id", "t", "f", "intent", preferred, "matched", *wanted.values(), "has_linkedin"), "asked")
+    names = {"state_region": "want_state", "state_or_city": "want_city", "country": "want_country", "entity_type": "want_type", "sec_registered": "want_sec", "has_linkedin": "has_linkedin"}
+    linkedin = hits.chunk_linkedin(F.col("field_name"), F.col("field_value_text"))
+    meets = hits.filters_match({k: F.col(c) for k, c in names.items()}, {k: F.col(k) for k in ("state_region", "city", "country", "entity_type", "sec_registered")}, linkedin)
+    text = asked.select("query_id", F.col("t").alias("text"))
+    dense = vector_index.search(vectors, hashed_vectors(text, "query_id"), 80, own=False).select("query_id", F.col("vec_id").alias("chunk_id"), "dense_rank")
+    bm25 = inverted.search(index, text, 120).select("query_id", "chunk_id", "bm25_rank")
+    boost = F.when(F.array_contains("matched", F.col("record_id")), 0.10).otherwise(0.0) + F.when(F.array_contains("preferred", F.col("chunk_type")), 0.04).otherwise(0.0)
+    boost += hits.field_boost(F.col("chunk_type"), F.col("field_name"), F.col("f"))
+    meta = chunks.select("chunk_id", "record_id", "chunk_type", "field_name")
+    both = dense.join(bm25, ["query_id", "chunk_id"], "full_outer").join(asked.select("query_id", "f", "preferred", "matched"), "query_id").join(meta, "chunk_id")
+    rrf = lambda c: F.coalesce(1 / (RRF_K + F.col(c)), F.lit(0.0))
+    fused = ranked(both.withColumn("fused", F.round(rrf("dense_rank") + rrf("bm25_rank") + boost, 9)))
+    listing = F.col("intent") == "filtered_listing"
+    some = F.coalesce(*[F.col(c).cast("string") for c in names.values()]).isNotNull()
+    seeds = hits.record_seeds(chunks, asked.where(~listing)).select("query_id", "chunk_id", "seed_rank")
+    listed = hits.listing_seeds(chunks, asked.where(listing & some).select("query_id", *names.values()), meets).select("query_id", "chunk_id", "seed_rank")
+    found = with_seeds(seeds.unionByName(listed), fused, "final_rank").join(asked.select("query_id", "intent", *names.values()), "query_id").join(chunks, "chunk_id").where(meets)
+    return cap_per_record(found, "record_id", F.when(F.col("intent") == "comparison", 4).otherwise(3), "final_rank").select("query_id", "intent", "chunk_id", "record_id", "final_rank")
+
+
 def retrieval_scores(hits: DataFrame, queries: DataFrame, rank: str) -> DataFrame:
     """hit_at_3, reciprocal_rank and recall_at_5 by query. hits: query_id, rank, record, relevant. queries: query_id, n_gold, abstained.
 

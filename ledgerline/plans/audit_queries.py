@@ -10,7 +10,6 @@ from ..operators import audits as A
 from ..operators import chunks as C
 from ..operators.evidence import first_match
 from ..operators.ranking import first_per_key, top_per_key
-from ..operators.sequences import rosters, sequential_snippets
 from .registry import query
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -246,17 +245,3 @@ def manifest_counts(t):
         one = t(n).agg(F.count("*").alias("n_rows")).select(F.lit(n).alias("table_name"), "n_rows")
         out = one if out is None else out.unionByName(one)
     return out
-
-
-@query("snippet_sequential")
-def snippet_sequential(t):
-    """Per source, in order of doc_id: each document's best sentence that no earlier one of the source gave."""
-    return sequential_snippets(t("documents"), "source", "doc_id", r"(^| )(and|und|et|y)( |$)")
-
-
-@query("roster_extract")
-def roster_extract(t):
-    """Names and roles from markdown; the tables hold none, so a literal page stands beside all of theirs."""
-    page = "# Team\n\n**Ada Stone**, Managing Partner\n\n**Ben Hill**\n\nChief Investment Officer\n\n## Our Team\n\n### Cara Lane\n\nPrincipal\n\n**Ada Stone**, Partner\n"
-    spark = t("pages").sparkSession
-    return rosters(spark.createDataFrame([(-1, page)], "page_id long, markdown string").unionByName(t("pages").select("page_id", F.col("html").alias("markdown"))), "page_id", "markdown")

@@ -206,7 +206,7 @@ def array_anti(t):
 
 @query("url_fallback_match", """
 WITH r AS (SELECT page_id, url AS k, 1 AS p FROM pages UNION ALL SELECT page_id, regexp_replace(url, '/+$', ''), 2 FROM pages UNION ALL SELECT page_id, regexp_replace(regexp_replace(url, '#.*$', ''), '/+$', ''), 3 FROM pages UNION ALL SELECT page_id, regexp_replace(regexp_replace(url, '#.*$', ''), '/+$', '') || '/', 4 FROM pages),
-b AS (SELECT url AS k, max(page_id) AS target FROM pages WHERE length(url) < 60 GROUP BY url), m AS (SELECT page_id, target, p FROM r JOIN b USING (k) QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY p) = 1)
+b AS (SELECT url AS k, max(page_id) AS target FROM pages GROUP BY url), m AS (SELECT page_id, target, p FROM r JOIN b USING (k) QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY p) = 1)
 SELECT page_id, target, CASE p WHEN 1 THEN 'exact' WHEN 2 THEN 'no_slash' WHEN 3 THEN 'base' WHEN 4 THEN 'base_slash' ELSE 'unmatched' END AS matched_by FROM pages LEFT JOIN m USING (page_id)""")
 def url_fallback_match(t):
     """The best of four keys: as is, without slash, without fragment, and that with a slash."""
@@ -214,7 +214,7 @@ def url_fallback_match(t):
 
     u = F.col("url")
     keys = F.array(u, F.regexp_replace(u, "/+$", ""), U.canonical(u), F.concat(U.canonical(u), F.lit("/")))
-    build = t("pages").where("length(url) < 60").groupBy(u.alias("k")).agg(F.max("page_id").alias("target"))
+    build = t("pages").groupBy(u.alias("k")).agg(F.max("page_id").alias("target"))
     hits = t("pages").select("page_id", F.posexplode(keys).alias("p", "k")).join(build, "k").groupBy("page_id").agg(F.min(F.struct("p", "target")).alias("m"))
     name = first_match([(F.col("m.p") == i, n) for i, n in enumerate(("exact", "no_slash", "base", "base_slash"))], "unmatched")
     return t("pages").select("page_id").join(hits, "page_id", "left").select("page_id", F.col("m.target").alias("target"), name.alias("matched_by"))
@@ -300,14 +300,14 @@ _SHAPE_SQL = ", ".join(f"({-1 - i}, '{line}', {name}, {role})" for i, (line, nam
 
 
 @query("name_shape_rules", rf"""
-WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents), w AS (SELECT doc_id, line, string_split_regex(line, '\s+') AS w FROM l),
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents), w AS (SELECT doc_id, line, string_split_regex(line, '\s+') AS w FROM l),
 n AS (SELECT doc_id, len(w) BETWEEN 2 AND 4 AND len(list_filter(w, lambda x: NOT regexp_matches(x, '^([A-Z][a-zA-Z''’-]+|[A-Z][.])$') OR length(x) > 1 AND upper(x) = x AND NOT ends_with(x, '.'))) = 0 AND NOT ends_with(w[1], '.')
-  AND NOT list_has_any(w, {sorted(S.NO_NAMES)}) AS is_name, length(trim(line)) BETWEEN 1 AND 80 AND regexp_matches(lower(trim(line)), '^({'|'.join(S.ROLE_WORDS)})\b') AS is_role FROM w)
+  AND NOT list_has_any(w, {sorted(S.NO_NAMES)}) AS is_name, length(trim(regexp_replace(line, '[][()]', '', 'g'))) BETWEEN 1 AND 80 AND regexp_matches(lower(trim(regexp_replace(line, '[][()]', '', 'g'))), '^({'|'.join(S.ROLE_WORDS)})\b') AS is_role FROM w)
 SELECT doc_id, count(*) FILTER (WHERE is_name)::BIGINT AS n_names, count(*) FILTER (WHERE is_role)::BIGINT AS n_roles FROM n GROUP BY doc_id
 UNION ALL SELECT id, name::INTEGER::BIGINT, role::INTEGER::BIGINT FROM (VALUES {_SHAPE_SQL}) v(id, line, name, role)""")
 def name_shape_rules(t):
     """How many lines of each whole text have the shape of a name, and of a role; literal lines with stated results stand beside."""
-    docs = t("documents").select("doc_id", "text").where("text is not null")
+    docs = t("documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     literal = docs.sparkSession.createDataFrame([(-1 - i, line) for i, (line, _, _) in enumerate(_SHAPES)], "doc_id long, text string")
     lines = F.split("text", "\n")
     count = lambda test: F.size(F.filter(lines, test)).cast("bigint")

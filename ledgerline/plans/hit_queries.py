@@ -12,10 +12,11 @@ from ..operators import intent as I
 from ..operators import sequences as S
 from .registry import query
 
-_CHUNKS = """c AS (SELECT doc_id AS chunk_id, source AS record_id, CASE lang WHEN 'en' THEN 'record_profile' WHEN 'fr' THEN 'regulatory' WHEN 'de' THEN 'recent_activity' WHEN 'es' THEN 'contact_policy' ELSE 'field_evidence' END AS chunk_type,
+CHUNKS_SQL = """c AS (SELECT doc_id AS chunk_id, source AS record_id, CASE lang WHEN 'en' THEN 'record_profile' WHEN 'fr' THEN 'regulatory' WHEN 'de' THEN 'recent_activity' WHEN 'es' THEN 'contact_policy' ELSE 'field_evidence' END AS chunk_type,
   CASE WHEN contains(text, '@') THEN 'primary_email' WHEN contains(text, '+') THEN 'primary_phone' WHEN n_chars % 5 = 0 THEN 'corporate_linkedin_url' ELSE '' END AS field_name, CASE WHEN n_chars > 300 THEN ' x ' ELSE ' ' END AS field_value_text,
   CASE WHEN source IN ('src1', 'src2') THEN 'ca' WHEN source = 'src3' THEN 'NY' END AS state_region, CASE WHEN source = 'src4' THEN 'California ' ELSE '' END AS city, CASE WHEN n_chars > 500 THEN 'Yes' WHEN n_chars > 200 THEN 'no' END AS sec_registered,
-  CASE WHEN lang = 'fr' THEN 'Switzerland' ELSE 'United States' END AS country FROM documents)"""
+  CASE WHEN lang = 'fr' THEN 'Switzerland' ELSE 'United States' END AS country,
+  CASE WHEN source IN ('src0', 'src5') THEN 'multi_family_office' WHEN source = 'src6' THEN 'single_family_office' END AS entity_type FROM documents)"""
 _WANTED = """q AS (SELECT * FROM (VALUES (1, 'CA', 'California', NULL, NULL, NULL), (2, 'NY', NULL, NULL, true, NULL), (3, NULL, NULL, 'switzerland', NULL, NULL), (4, NULL, NULL, NULL, false, true), (5, NULL, NULL, NULL, NULL, false))
   v(query_id, want_state, want_city, want_country, want_sec, want_linkedin))"""
 _MEETS = """(CASE WHEN want_city IS NOT NULL THEN lower(coalesce(state_region, '')) = lower(want_state) OR lower(trim(city)) = lower(want_city) ELSE want_state IS NULL OR lower(coalesce(state_region, '')) = lower(want_state) END)
@@ -23,7 +24,7 @@ _MEETS = """(CASE WHEN want_city IS NOT NULL THEN lower(coalesce(state_region, '
 _CHUNK_MEETS = _MEETS + " AND (want_linkedin IS NULL OR (field_name = 'corporate_linkedin_url' AND trim(field_value_text) <> '') = want_linkedin)"
 
 
-def _chunks(t):
+def document_chunks(t, *more):
     n, text, source, lang = F.col("n_chars"), F.col("text"), F.col("source"), F.col("lang")
     kind = F.when(lang == "en", "record_profile").when(lang == "fr", "regulatory").when(lang == "de", "recent_activity").when(lang == "es", "contact_policy").otherwise("field_evidence")
     field = F.when(text.contains("@"), "primary_email").when(text.contains("+"), "primary_phone").when(n % 5 == 0, "corporate_linkedin_url").otherwise("")
@@ -31,6 +32,7 @@ def _chunks(t):
         F.col("doc_id").alias("chunk_id"), source.alias("record_id"), kind.alias("chunk_type"), field.alias("field_name"), F.when(n > 300, " x ").otherwise(" ").alias("field_value_text"),
         F.when(source.isin("src1", "src2"), "ca").when(source == "src3", "NY").alias("state_region"), F.when(source == "src4", "California ").otherwise("").alias("city"),
         F.when(n > 500, "Yes").when(n > 200, "no").alias("sec_registered"), F.when(lang == "fr", "Switzerland").otherwise("United States").alias("country"),
+        F.when(source.isin("src0", "src5"), "multi_family_office").when(source == "src6", "single_family_office").alias("entity_type"), *more,
     )
 
 
@@ -44,10 +46,10 @@ def _meets(linkedin):
     return H.filters_match(wanted, {c: F.col(c) for c in ("state_region", "city", "country", "sec_registered")}, linkedin)
 
 
-@query("chunk_filters", f"WITH {_CHUNKS}, {_WANTED} SELECT query_id, chunk_id FROM c, q WHERE {_CHUNK_MEETS}")
+@query("chunk_filters", f"WITH {CHUNKS_SQL}, {_WANTED} SELECT query_id, chunk_id FROM c, q WHERE {_CHUNK_MEETS}")
 def chunk_filters(t):
     """Typed filters on the metadata of chunks; the filters are five literal rows."""
-    found = _chunks(t).join(F.broadcast(_wanted(t)), _meets(H.chunk_linkedin(F.col("field_name"), F.col("field_value_text"))))
+    found = document_chunks(t).join(F.broadcast(_wanted(t)), _meets(H.chunk_linkedin(F.col("field_name"), F.col("field_value_text"))))
     return found.select("query_id", "chunk_id")
 
 
@@ -66,7 +68,7 @@ def record_filters(t):
 
 
 @query("field_boosts", f"""
-WITH {_CHUNKS}, a AS (SELECT * FROM (VALUES (1, ['primary_email']), (2, ['primary_phone', 'recent_activity']), (3, ['sec_crd_number']), (4, ['corporate_linkedin_url']), (5, ['aum_text', 'sec_registered'])) v(query_id, fields))
+WITH {CHUNKS_SQL}, a AS (SELECT * FROM (VALUES (1, ['primary_email']), (2, ['primary_phone', 'recent_activity']), (3, ['sec_crd_number']), (4, ['corporate_linkedin_url']), (5, ['aum_text', 'sec_registered'])) v(query_id, fields))
 SELECT query_id, chunk_id, CASE WHEN field_name <> '' AND list_contains(fields, field_name) THEN 0.04
   WHEN chunk_type = 'contact_policy' AND query_id IN (1, 2, 5) OR chunk_type = 'regulatory' AND query_id IN (3, 5) OR chunk_type = 'recent_activity' AND query_id = 2 THEN 0.03 ELSE 0 END::DOUBLE AS boost FROM c, a""")
 def field_boosts(t):
@@ -74,26 +76,26 @@ def field_boosts(t):
     asked = [(1, ["primary_email"]), (2, ["primary_phone", "recent_activity"]), (3, ["sec_crd_number"]), (4, ["corporate_linkedin_url"]), (5, ["aum_text", "sec_registered"])]
     asked = t("region").sparkSession.createDataFrame(asked, "query_id int, fields array<string>")
     boost = H.field_boost(F.col("chunk_type"), F.col("field_name"), F.col("fields"))
-    return _chunks(t).join(F.broadcast(asked), F.lit(True)).select("query_id", "chunk_id", boost.alias("boost"))
+    return document_chunks(t).join(F.broadcast(asked), F.lit(True)).select("query_id", "chunk_id", boost.alias("boost"))
 
 
 @query("record_seeds", f"""
-WITH {_CHUNKS}, a AS (SELECT * FROM (VALUES (1, ['src2', 'src0'], ['contact_policy']), (2, ['src5'], ['recent_activity', 'record_profile']), (3, ['nowhere'], ['regulatory'])) v(query_id, matched, preferred)),
+WITH {CHUNKS_SQL}, a AS (SELECT * FROM (VALUES (1, ['src2', 'src0'], ['contact_policy']), (2, ['src5'], ['recent_activity', 'record_profile']), (3, ['nowhere'], ['regulatory'])) v(query_id, matched, preferred)),
 m AS (SELECT query_id, unnest(matched) AS record_id, unnest(range(1, len(matched) + 1)) AS nth, preferred FROM a),
 r AS (SELECT query_id, chunk_id, record_id, nth, row_number() OVER (PARTITION BY query_id, record_id ORDER BY list_position(preferred || ['record_profile', 'regulatory', 'contact_policy', 'recent_activity', 'field_evidence'], chunk_type), chunk_id) AS k FROM c JOIN m USING (record_id) QUALIFY k <= 4)
 SELECT query_id, chunk_id, record_id, row_number() OVER (PARTITION BY query_id ORDER BY nth, k)::BIGINT AS seed_rank FROM r""")
 def record_seeds(t):
     """The first four chunks of each matched record by type."""
     asked = [(1, ["src2", "src0"], ["contact_policy"]), (2, ["src5"], ["recent_activity", "record_profile"]), (3, ["nowhere"], ["regulatory"])]
-    return H.record_seeds(_chunks(t), t("region").sparkSession.createDataFrame(asked, "query_id int, matched array<string>, preferred array<string>"))
+    return H.record_seeds(document_chunks(t), t("region").sparkSession.createDataFrame(asked, "query_id int, matched array<string>, preferred array<string>"))
 
 
 @query("listing_seeds", f"""
-WITH {_CHUNKS}, {_WANTED}, f AS (SELECT query_id, record_id, min(chunk_id) AS chunk_id FROM c, q WHERE (chunk_type IN ('record_profile', 'regulatory') OR chunk_type = 'field_evidence' AND want_linkedin) AND {_CHUNK_MEETS} GROUP BY ALL)
+WITH {CHUNKS_SQL}, {_WANTED}, f AS (SELECT query_id, record_id, min(chunk_id) AS chunk_id FROM c, q WHERE (chunk_type IN ('record_profile', 'regulatory') OR chunk_type = 'field_evidence' AND want_linkedin) AND {_CHUNK_MEETS} GROUP BY ALL)
 SELECT query_id, chunk_id, record_id, row_number() OVER (PARTITION BY query_id ORDER BY chunk_id)::BIGINT AS seed_rank FROM f QUALIFY seed_rank <= 50""")
 def listing_seeds(t):
     """The first chunk of each record that meets a listing's filters, 50 records at most."""
-    return H.listing_seeds(_chunks(t), _wanted(t), _meets(H.chunk_linkedin(F.col("field_name"), F.col("field_value_text"))))
+    return H.listing_seeds(document_chunks(t), _wanted(t), _meets(H.chunk_linkedin(F.col("field_name"), F.col("field_value_text"))))
 
 
 @query("hit_urls", """

@@ -216,11 +216,11 @@ def regex_ladder(t):
     return read.select("doc_id", status.alias("status"), "aum", X.fee_labels(F.col("body")).alias("fees"))
 
 
-_SENTENCES = r"string_split(regexp_replace(regexp_replace(trim(regexp_replace(text, '\s+', ' ', 'g')), '([.!?]) ([A-Z])', '\1' || chr(1) || '\2', 'g'), '([.!?]) ([A-Z])', '\1' || chr(1) || '\2', 'g'), chr(1))"
+SENTENCES_SQL = r"string_split(regexp_replace(regexp_replace(trim(regexp_replace(text, '\s+', ' ', 'g')), '([.!?]) ([A-Z])', '\1' || chr(1) || '\2', 'g'), '([.!?]) ([A-Z])', '\1' || chr(1) || '\2', 'g'), chr(1))"
 
 
 @query("quote_rank", rf"""
-WITH s AS (SELECT doc_id, unnest({_SENTENCES}) AS s, generate_subscripts({_SENTENCES}, 1) AS pos FROM documents),
+WITH s AS (SELECT doc_id, unnest({SENTENCES_SQL}) AS s, generate_subscripts({SENTENCES_SQL}, 1) AS pos FROM documents),
 q AS (SELECT doc_id, pos, s, len(string_split(s, ' ')) AS n_words, CASE WHEN regexp_matches(lower(s), '(^| )(and|und|et|y)( |$)') THEN 2 ELSE 0 END + CASE WHEN regexp_matches(lower(s), '(^| )(the|die|la)( |$)') THEN 1 ELSE 0 END AS score FROM s),
 d AS (SELECT * FROM q WHERE n_words BETWEEN 5 AND 60 AND score > 0 QUALIFY row_number() OVER (PARTITION BY doc_id, substr(lower(s), 1, 80) ORDER BY score DESC, length(s), pos) = 1)
 SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, length(s), pos)::BIGINT AS quote_rank, score::BIGINT AS score,
@@ -233,7 +233,7 @@ def quote_rank(t):
 
 
 @query("evidence_snippet", rf"""
-WITH d AS (SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS flat, list_filter({_SENTENCES}, lambda s: regexp_matches(lower(s), '(tion|heit|ment)'))[1] AS hit FROM documents)
+WITH d AS (SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS flat, list_filter({SENTENCES_SQL}, lambda s: regexp_matches(lower(s), '(tion|heit|ment)'))[1] AS hit FROM documents)
 SELECT doc_id, substr(coalesce(hit, flat), 1, 600) AS snippet FROM d""")
 def evidence_snippet(t):
     return t("documents").select("doc_id", X.snippet(F.col("text"), "(tion|heit|ment)").alias("snippet"))

@@ -64,19 +64,6 @@ def test_claims_are_idempotent(spark):
     assert sorted(r[0] for r in evidence.replace_claims(once, new).collect()) == ["1_a", "1_augmented_a"]
 
 
-def test_people():
-    page = "# Team\n\n**Ada Stone**, Managing Partner\n\n**Ben Hill**\n\nChief Investment Officer\n\n## Our Team\n\n### Cara Lane\n\nPrincipal\n\n**Ada Stone**, Partner\n"
-    assert sequences.people(page) == [("Ada Stone", "Managing Partner", "bold"), ("Ben Hill", "Chief Investment Officer", "bold"), ("Cara Lane", "Principal", "heading")]
-    assert sequences.plausible_name("Ada B. Stone") and not any(map(sequences.plausible_name, ("Our Team", "ADA STONE", "ada stone", "Ada")))
-    assert sequences.role_line("[Senior Partner]") and not sequences.role_line("Seniority matters")
-
-
-def test_snippets_do_not_repeat(spark):
-    rows = spark.createDataFrame([("s", 1, "One and two are three here. Four and five are nine here."), ("s", 2, "One and two are three here. Four and five are nine here."), ("s", 3, "One and two are three here."), ("t", 4, "")], "source string, doc_id long, text string")
-    got = {r.doc_id: (r.status, r.quote) for r in sequences.sequential_snippets(rows, "source", "doc_id", " and ").collect()}
-    assert got[1][1] != got[2][1] and got[3] == ("no_keyword_match", None) and got[4][0] == "no_keyword_match"
-
-
 def test_audits(spark):
     rows = spark.createDataFrame([("a",), ("a",), ("",), ("b",)], "id string")
     got = {r.check_id: (r.ok, r.observed) for r in audits.unique_ids(rows, "id").collect()}
@@ -84,14 +71,6 @@ def test_audits(spark):
     assert audits.exit_status(audits.unique_ids(rows, "id")).first()[0] == 1 and audits.exit_status(audits.unique_ids(rows.where("id = 'b'"), "id")).first()[0] == 0
 
 
-def test_people():
-    """Cases of names and of pages that are read for people."""
-    from ledgerline.operators import sequences as S
-
-    names = {"Ada Stone": True, "Ada W. Stone": True, "Jean-Luc O\u2019Neil": True, "Our Team": False, "ADA STONE": False, "ada stone": False, "Solo": False, "Ada Stone MBA": False, "W. Stone": False, "New York": False}
-    assert {n: S.plausible_name(n) for n in names} == names
-
-
 def test_people_page(spark):
     from pyspark.sql import functions as F
 

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..operators import sequences as S
 from ..functions.blanks import blank_to_null, is_blank, is_filled, truth
+from ..operators import sequences as S
 from ..operators.evidence import all_matches, claims, filled_count, first_match, lookup, promote, replace_claims
 from ..operators.ranking import top_per_key
+from ..operators.validation import is_placeholder, record_errors
+from ..sources import versions as V
+from ..sources.numbered import read_numbered_csv
 from .registry import query
 
 _FIRST = "SELECT user_id, event_id, event_type, value FROM events {w} QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id {d}) = 1"
@@ -258,17 +263,49 @@ def schema_rules(t):
     return t("orders").select("o_orderkey", F.explode(broken).alias("b")).select("o_orderkey", "b.*")
 
 
-_WHITE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+#: Texts with the judgement that the reference states for each, beside the documents.
+_PLACEHOLDERS = (
+    ("TBD", True), (" ToDo ", True), ("hidden", True), ("example.com", True), ("https://www.example.org/a", True), ("http://example.net", True), ("please write to www.example.com for help", False),
+    ("https://example.com.evil.test/", False), ("https://notexample.org/", False), ("tbd later", False), ("", False),
+)
 
 
-@query("placeholder_reject", r"""SELECT doc_id, lower(regexp_replace(text, '^\s+|\s+$', '', 'g')) IN ('hidden', 'tbd', 'todo', 'dummy', 'example.com') OR contains(text, 'example.com')
-  OR regexp_extract(lower(regexp_replace(text, '^\s+|\s+$', '', 'g')), '^https?://(www\.)?([^/]*)', 2) IN ('example.com', 'example.org', 'example.net') AS rejected FROM documents""")
+@query("placeholder_reject", r"""
+SELECT doc_id, v IN ('hidden', 'tbd', 'todo', 'dummy', 'example.com') OR regexp_extract(v, '^https?://(www\.)?([^/]*)', 2) IN ('example.com', 'example.org', 'example.net') AS rejected
+FROM (SELECT doc_id, lower(regexp_replace(text, '^\s+|\s+$', '', 'g')) AS v FROM documents) UNION ALL SELECT * FROM (VALUES """ + ", ".join(f"({-1 - i}, {want})" for i, (_, want) in enumerate(_PLACEHOLDERS)) + ")")
 def placeholder_reject(t):
-    """The whole text, stripped of white space as the reference strips it, is a placeholder, or a URL at a placeholder host."""
-    value = F.lower(F.btrim(F.col("text"), F.lit(_WHITE)))
-    host = F.regexp_extract(value, r"^https?://(?:www\.)?([^/]*)", 1)
-    rejected = value.isin("hidden", "tbd", "todo", "dummy", "example.com") | host.isin("example.com", "example.org", "example.net") | F.col("text").contains("example.com")
-    return t("documents").select("doc_id", rejected.alias("rejected"))
+    """The whole text, stripped of white space, is a placeholder, or a URL at a placeholder host; literal texts with stated results stand beside."""
+    docs = t("documents").select("doc_id", "text")
+    literal = docs.sparkSession.createDataFrame([(-1 - i, v) for i, (v, _) in enumerate(_PLACEHOLDERS)], "doc_id long, text string")
+    return docs.unionByName(literal).select("doc_id", is_placeholder(F.col("text")).alias("rejected"))
+
+
+@query("record_validation", r"""
+WITH c AS (SELECT c_custkey AS k, c_custkey // 400 AS bucket, c_name FROM customer),
+r AS (SELECT k, bucket, CASE WHEN k % 50 = 7 THEN ' ' ELSE 'r' || k END AS id, CASE k % 9 WHEN 4 THEN 'Bank' WHEN 5 THEN '' ELSE 'unclear' END AS kind, CASE WHEN k % 23 = 1 THEN 'TBD' END AS tbd, k % 13 = 2 AS ftp, k % 17 = 3 AS example, k % 19 = 5 AS one, k % 29 = 6 AS mail,
+  1 + (k % 3 = 0)::INTEGER + 2 * (k % 5 = 0)::INTEGER AS n_lines FROM c),
+p AS (SELECT *, row_number() OVER w + 1 AS row_no, 2 + coalesce(sum(n_lines) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS line_no FROM r WINDOW w AS (PARTITION BY bucket ORDER BY k)),
+e AS (SELECT *, list_filter([CASE WHEN trim(id) = '' THEN ['record_id', 'blank'] END, CASE WHEN kind <> 'unclear' THEN ['family_office_type', 'not_in_set'] END, CASE WHEN ftp THEN ['website_url', 'not_a_url'] END,
+  CASE WHEN mail THEN ['primary_email', 'not_an_email'] END, CASE WHEN one THEN ['source_urls', 'too_few'] END], lambda x: x IS NOT NULL) AS own,
+  list_filter([CASE WHEN tbd IS NOT NULL THEN ['description', 'placeholder'] END, CASE WHEN example THEN ['website_url', 'placeholder'] END], lambda x: x IS NOT NULL) AS marks FROM p)
+SELECT bucket::BIGINT AS bucket, row_no::BIGINT AS row_no, line_no::BIGINT AS line_no, x[1] AS field, x[2] AS code FROM (SELECT bucket, row_no, line_no, unnest(CASE WHEN len(own) > 0 THEN own ELSE marks[1:1] END) AS x FROM e)""")
+def record_validation(t):
+    """Records made of customers, written as CSV with quoted line feeds, read in parallel with line numbers, and judged by the contract."""
+    k = F.col("c_custkey")
+    text = F.when(k % 3 == 0, F.concat(F.col("c_name"), F.lit(' says "hello",\nthen goes'))).otherwise(F.col("c_name"))
+    urls = F.when(k % 19 == 5, F.lit("https://a.firm.test/x")).otherwise(F.lit("https://a.firm.test/x; https://b.firm.test"))
+    rows = t("customer").select(
+        F.floor(k / 400).alias("bucket"), F.when(k % 50 == 7, F.lit(" ")).otherwise(F.concat(F.lit("r"), k)).alias("record_id"), F.col("c_name").alias("family_office_name"), F.when(k % 9 == 4, "Bank").when(k % 9 == 5, "").otherwise("unclear").alias("family_office_type"),
+        F.when(k % 23 == 1, " TBD").otherwise(text).alias("description"), F.when(k % 13 == 2, "ftp://x.test").when(k % 17 == 3, "https://www.example.com/about").otherwise("https://firm.test").alias("website_url"), F.lit("Here").alias("country"),
+        F.when(k % 29 == 6, "nobody").when(k % 2 == 0, "a.b@firm.test").otherwise("").alias("primary_email"), F.when(k % 5 == 0, F.concat(urls, F.lit(";\n\n"))).otherwise(urls).alias("source_urls"),
+        F.when(k % 23 == 1, F.when(k % 3 == 0, "x\ny").otherwise("x")).otherwise("x").alias("source_notes"), k.alias("k"),
+    )
+    spark = rows.sparkSession
+    path = f"{V.shared_folder(spark)}/records-{uuid.uuid4().hex}"
+    rows.repartition("bucket").sortWithinPartitions("bucket", "k").drop("k").write.partitionBy("bucket").option("header", True).options(quoteAll=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    records = read_numbered_csv(spark, path)
+    errors = record_errors(records, ["file", "row_no", "line_no"])
+    return errors.select(F.regexp_extract("file", "/bucket=([0-9]+)/", 1).cast("long").alias("bucket"), "row_no", "line_no", "field", "code")
 
 
 @query("triage_rules", r"""

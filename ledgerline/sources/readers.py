@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.blanks import existing
 from ..functions.text import registry_name, words
+from .numbered import read_numbered_json
 
 
 def text_schema(columns: list[str]) -> T.StructType:
@@ -71,13 +72,12 @@ def read_locked_records(spark: SparkSession, path: str, name_field: str, prefix:
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """JSONL; blank lines are skipped, a broken line raises with its text."""
-    lines = spark.read.text(path).where(F.trim("value") != "")
-    parsed = lines.select("value", F.from_json("value", schema, {"mode": "PERMISSIVE"}).alias("r"), F.try_parse_json("value").alias("any"))
-    broken = parsed.where(F.col("any").isNull()).select(F.substring("value", 1, 80)).head(1)
-    if broken:
-        raise ValueError(f"not JSON: {broken[0][0]}")
-    return parsed.select("r.*")
+    """JSONL; blank lines are skipped, a broken line raises with its number and text."""
+    good, broken = read_numbered_json(spark, path, schema)
+    first = broken.orderBy("file", "line_no").select("line_no", F.substring("value", 1, 80).alias("value")).head(1)
+    if first:
+        raise ValueError(f"line {first[0].line_no}: not JSON: {first[0].value}")
+    return good.drop("file", "line_no")
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:

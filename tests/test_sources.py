@@ -1,13 +1,16 @@
 """Round trips of sources and sinks, and the event stream."""
 
 import json
+import random
 import zipfile
 
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerline.operators.validation import record_errors, require_valid
 from ledgerline.sources import readers as R
 from ledgerline.sources import writers as W
+from ledgerline.sources.numbered import read_numbered_csv
 from ledgerline.streaming import signals
 
 
@@ -48,7 +51,7 @@ def test_json_lines_and_metrics(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text('{"id": 1, "tags": ["x"]}\n\n{"id": 2}\n')
     assert [r.id for r in R.read_json_lines(spark, str(tmp_path / "a.jsonl"), "id int, tags array<string>").collect()] == [1, 2]
     (tmp_path / "b.jsonl").write_text('{"id": 1}\n{oops\n')
-    with pytest.raises(ValueError, match="oops"):
+    with pytest.raises(ValueError, match="line 2: not JSON: .oops"):
         R.read_json_lines(spark, str(tmp_path / "b.jsonl"), "id int")
     (tmp_path / "m.md").write_text("# Report\n- mrr: 0.96\n- words: none\n- hit@3: 1\n")
     assert sorted(map(tuple, R.read_metrics(spark, str(tmp_path / "m.md")).collect())) == [("hit@3", 1.0), ("mrr", 0.96)]
@@ -102,3 +105,61 @@ def test_stream(spark, tmp_path):
     counts = signals.windowed_counts(signals.read_events(spark, str(tmp_path / "in"), 10), "40 days").writeStream.format("memory").queryName("counts").outputMode("append").trigger(availableNow=True).start()
     counts.awaitTermination(120)
     assert spark.table("counts").columns == ["start", "event_type", "n", "total"]
+
+
+def records(rng, n):
+    """CSV text of n records with quoted line feeds, and each record's line and cells."""
+    out, rows, line = ["id,note,tail\n"], [], 2
+    for i in range(n):
+        note = "".join(rng.choice(["a", "b,", "\n", "\r\n", '"', " "]) for _ in range(rng.randrange(8)))
+        tail = rng.choice(["", "x", "\n"])
+        text = ",".join(str(i) if c is None else '"' + c.replace('"', '""') + '"' if c else "" for c in (None, note, tail))
+        rows.append((i + 2, line, str(i), note, tail))
+        line += 1 + text.count("\n")
+        out.append(text + rng.choice(["\n", "\r\n"]))
+    return "".join(out), rows
+
+
+def test_numbered_csv(spark, tmp_path):
+    """Records keep their cells and lines however the file is split."""
+    rng = random.Random(6)
+    text, rows = records(rng, 2000)
+    (tmp_path / "a.csv").write_bytes(text.encode())
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for bytes_ in ("100b", "3k", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", bytes_)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+            got = read_numbered_csv(spark, f"{tmp_path}/a.csv", ["id", "note", "tail"])
+            assert sorted(tuple(r)[1:] for r in got.collect()) == rows
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    (tmp_path / "open.csv").write_text('id,note\n1,x\n2,"y\n3,z\n')
+    with pytest.raises(ValueError, match="record of line 3 is never closed"):
+        read_numbered_csv(spark, f"{tmp_path}/open.csv")
+    with pytest.raises(ValueError, match="headers differ"):
+        read_numbered_csv(spark, f"{tmp_path}/a.csv", ["id"])
+
+
+GOOD = {
+    "record_id": "fo_1", "family_office_name": "Stone Office", "family_office_type": "single_family_office", "description": "A real description.", "website_url": "https://www.stone.test", "country": "Here",
+    "source_urls": "https://www.stone.test/a; https://www.stone.test/b", "source_notes": "Notes.", "evidence_quality": "primary", "primary_email": "", "corporate_linkedin_url": "",
+}
+
+
+def test_record_contract(spark, tmp_path):
+    cases = [
+        ({}, set()), ({"source_urls": "https://a.test/x"}, {("source_urls", "too_few")}), ({"description": "Hidden"}, {("description", "placeholder")}), ({"website_url": "https://example.com", "description": "TBD"}, {("description", "placeholder")}),
+        ({"source_urls": "https://a.test/x;https://www.example.org/y"}, {("source_urls", "placeholder")}), ({"record_id": " ", "family_office_type": "Bank", "description": "todo"}, {("record_id", "blank"), ("family_office_type", "not_in_set")}),
+        ({"website_url": "stone.test"}, {("website_url", "not_a_url")}), ({"primary_email": "x@y"}, {("primary_email", "not_an_email")}), ({"corporate_linkedin_url": "no"}, {("corporate_linkedin_url", "not_a_url")}),
+        ({"source_urls": "https://a.test/x\nnot a url"}, {("source_urls", "not_a_url")}), ({"description": None}, {("description", "blank")}),
+    ]
+    rows = spark.createDataFrame([(i, *(GOOD | change).values()) for i, (change, _) in enumerate(cases)], "line_no int, " + ", ".join(f"{k} string" for k in GOOD)).withColumn("file", F.lit("f"))
+    errors = record_errors(rows, ["file", "line_no"])
+    got = errors.collect()
+    assert [{(r.field, r.code) for r in got if r.line_no == i} for i in range(len(cases))] == [want for _, want in cases]
+    assert {(r.field, r.code) for r in record_errors(rows.drop("country").where("line_no = 0"), ["line_no"]).collect()} == {("country", "missing")}
+    with pytest.raises(ValueError, match="line 1: source_urls: too_few\n"):
+        require_valid(errors)
+    require_valid(errors.where("line_no = 0"))

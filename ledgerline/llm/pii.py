@@ -6,7 +6,7 @@ got from the pieces between matches, which split() gives, and the matches themse
 
 The patterns are possessive and tied to the start of a run, so that no text takes quadratic time or deep recursion; they match
 what the plain forms in FORMS match. IBANs and assigned secrets (a name such as token or password, a sign, and a value of 16 or more
-letters and digits mixed) are the kinds that the method adds; the base kinds stay as they are. Every span carries its score, and
+letters and digits mixed, however long) are the kinds that the method adds; an IBAN ends where its country's length ends; the base kinds stay as they are. Every span carries its score, and
 whether it reaches the threshold: what masks or drops documents reads that.
 
 Defined results: a null or empty text has no span; a text of any length is read whole; a score that ties with the threshold is
@@ -30,14 +30,22 @@ FORMS = {
 }
 BASE_KINDS = tuple(FORMS)
 KINDS = (*BASE_KINDS, "iban", "secret")
+#: The length of an IBAN by its country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_IBANS = "|".join(rf"(?:{'|'.join(c.split())})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items())
+#: Other countries: the whole run.
+_OTHER_IBANS = rf"(?!{'|'.join(x for c in IBAN_LENGTHS.values() for x in c.split())})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{11,30}}"
 #: A match can begin at the start of a run or where the last match ended (\G). Card numbers: a chain of 16 to 19 digits, all of it.
 _PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}+(?![\x20-]?[0-9])",
     "phone": FORMS["phone"],
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
-    "secret": r"(?<![A-Za-z0-9])(?i:token|secret|passwd|password|api[_-]?key|access[_-]?key)(?![A-Za-z0-9])[\x20\x22']{0,2}[:=][\x20\x22']{0,2}[A-Za-z0-9_+/=-]{16,512}+",
+    "iban": rf"(?<![A-Za-z0-9])(?:{_IBANS}|{_OTHER_IBANS})(?![A-Za-z0-9])",
+    "secret": r"(?<![A-Za-z0-9])(?i:token|secret|passwd|password|api[_-]?key|access[_-]?key)(?![A-Za-z0-9])[\x20\x22']{0,2}[:=][\x20\x22']{0,2}[A-Za-z0-9_+/=-]{16,}+",
 }
 #: Base score, and words (lower case) within WINDOW characters that raise it.
 _SCORES = {"email": 0.8, "ip": 0.6, "card": 0.7, "phone": 0.5, "iban": 0.8, "secret": 0.8}
@@ -103,7 +111,7 @@ def _valid(kind: str, value: Column) -> Column:
     if kind == "iban":
         return F.length(F.regexp_replace(value, r"\x20", "")).between(15, 34) & mod97(value)
     if kind == "secret":
-        given = F.regexp_extract(value, r"([A-Za-z0-9_+/=-]{16,512})$", 1)
+        given = F.regexp_extract(value, r"[:=][\x20\x22']{0,2}([A-Za-z0-9_+/=-]+)$", 1)
         return given.rlike("[0-9]") & given.rlike("[A-Za-z]")
     return F.lit(True)
 

@@ -505,3 +505,13 @@ def test_pii_scores_and_secrets(spark):
     assert [got[i].n_secret for i in range(8)] == [0, 0, 1, 1, 0, 0, 0, 0]
     assert (got[0].scores, got[0].n_likely) == ("0.90", 1) and (got[1].scores, got[1].n_likely) == ("0.50", 1) and (got[7].scores, got[7].n_likely) == ("0.30", 0)
     assert got[2].spans == "secret:0:29" and got[6].spans == ""
+
+
+def test_ibans_and_long_secrets_are_whole(spark):
+    """An IBAN ends where its country says, whatever follows; a secret of any length is one span."""
+    texts = {
+        "DE89370400440532013000 IS MY ACCOUNT": "iban:0:22", "DE89 3704 0044 0532 0130 00 BIC COBADEFF": "iban:0:27", "GB82WEST12345698765432 REF 123": "iban:0:22", "pay NO9386011117947, now": "iban:4:19", "DE893704004405320130001": "", "XX89370400440532013000": "",
+        "token = " + "a1" * 300: "secret:0:608", "password=" + "k9" * 40_000: "secret:0:80009", "token=" + "1" * 40: "", "token: " + "z" * 40: "", "MT84MALT011000012345MTLCAST001S IS IT": "iban:0:31",
+    }
+    got = pii.pii_report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [",".join(x for x in r.spans.split(",") if x.startswith(("iban", "secret"))) for r in sorted(got)] == list(texts.values())

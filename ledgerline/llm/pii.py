@@ -44,7 +44,7 @@ _PATTERNS = {
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}+(?![\x20-]?[0-9])",
     "phone": FORMS["phone"],
-    "iban": rf"(?<![A-Za-z0-9])(?:{_IBANS}|{_OTHER_IBANS})(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{_IBANS}|{_OTHER_IBANS})(?![A-Za-z0-9])",
     "secret": r"(?<![A-Za-z0-9])(?i:token|secret|passwd|password|api[_-]?key|access[_-]?key)(?![A-Za-z0-9])[\x20\x22']{0,2}[:=][\x20\x22']{0,2}[A-Za-z0-9_+/=-]{16,}+",
 }
 #: Base score, and words (lower case) within WINDOW characters that raise it.
@@ -127,6 +127,8 @@ def _maybe(kind: str, text: Column) -> Column:
     """A cheap test that every text with a match of the kind passes."""
     if kind == "email":
         return text.contains("@")
+    if kind == "iban":
+        return text.rlike("[A-Z]{2}[0-9]{2}")
     if kind == "secret":
         return text.rlike("[:=]") & text.rlike("(?i)token|secret|passw|key")
     return text.contains("+") if kind == "phone" else F.lit(True)

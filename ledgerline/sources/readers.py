@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.blanks import existing
 from ..functions.text import registry_name, words
+from .json_list import read_json_list
 from .numbered import read_numbered_json
 
 
@@ -41,11 +42,8 @@ _PAGE = "struct<markdown:string,url:string,metadata:struct<sourceURL:string,url:
 
 
 def read_page_export(spark: SparkSession, path: str) -> DataFrame:
-    """url, markdown from a JSON list or {"data": [...]}: the longest text of a URL, the first of equals."""
-    body = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.trim("value").alias("v"))
-    listed = F.from_json("v", f"array<{_PAGE}>")
-    inside = F.from_json("v", f"struct<data:array<{_PAGE}>>")["data"]
-    pages = body.select("file", F.posexplode(F.when(F.col("v").startswith("["), listed).otherwise(inside)).alias("pos", "p"))
+    """url, markdown from a JSON list or {"data": [...]} of any size: the longest text of a URL, the first of equals."""
+    pages = read_json_list(spark, path).select("file", "pos", F.from_json("text", _PAGE).alias("p"))
     url = F.coalesce(*(F.nullif(existing(c), F.lit("")) for c in (F.col("p.metadata.sourceURL"), F.col("p.metadata.url"), F.col("p.url"))))
     best = F.max(F.struct(F.length(F.coalesce("p.markdown", F.lit(""))).alias("n"), (-F.col("pos")).alias("minus"), F.coalesce("p.markdown", F.lit("")).alias("markdown"))).alias("m")
     return pages.select(url.alias("url"), "pos", "p").where("url is not null").groupBy("url").agg(best).select("url", "m.markdown")
@@ -61,8 +59,7 @@ def read_json_directory(spark: SparkSession, path: str, schema: str, key: str =
 
 def read_locked_records(spark: SparkSession, path: str, name_field: str, prefix: str = "fo") -> DataFrame:
     """A JSON list of objects with a name each, and record_id (prefix_001 where blank); a broken contract raises."""
-    body = spark.read.text(path, wholetext=True).select(F.regexp_replace("value", "^﻿", "").alias("v"))
-    items = body.select(F.posexplode(F.from_json("v", "array<map<string,string>>")).alias("pos", "m"))
+    items = read_json_list(spark, path).select("pos", F.from_json("text", "map<string,string>").alias("m"))
     at = lambda k: existing(F.try_element_at("m", F.lit(k)))
     rows = items.select((F.col("pos") + 1).alias("n"), F.col("m").alias("fields"), at(name_field).alias("name"), at("record_id").alias("id"))
     bad = rows.agg(F.count("*").alias("all"), F.count_if(F.col("name") == "").alias("unnamed")).first()
@@ -72,12 +69,13 @@ def read_locked_records(spark: SparkSession, path: str, name_field: str, prefix:
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """JSONL; blank lines are skipped, a broken line raises with its number and text."""
-    good, broken = read_numbered_json(spark, path, schema)
-    first = broken.orderBy("file", "line_no").select("line_no", F.substring("value", 1, 80).alias("value")).head(1)
-    if first:
-        raise ValueError(f"line {first[0].line_no}: not JSON: {first[0].value}")
-    return good.drop("file", "line_no")
+    """JSONL; blank lines are skipped, a broken line raises with its number and text. Lines are numbered only if one is broken."""
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    if not lines.where(F.try_parse_json("value").isNull()).isEmpty():
+        _, broken = read_numbered_json(spark, path, schema)
+        first = broken.orderBy("file", "line_no").select("line_no", F.substring("value", 1, 80).alias("value")).first()
+        raise ValueError(f"line {first.line_no}: not JSON: {first.value}")
+    return lines.select(F.from_json("value", schema, {"mode": "PERMISSIVE"}).alias("r")).select("r.*")
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:

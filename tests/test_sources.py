@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators.validation import record_errors, require_valid
 from ledgerline.sources import readers as R
+from ledgerline.sources import upsert as U
 from ledgerline.sources import writers as W
+from ledgerline.sources.json_list import read_json_list
 from ledgerline.sources.numbered import read_numbered_csv
 from ledgerline.streaming import signals
 
@@ -163,3 +165,57 @@ def test_record_contract(spark, tmp_path):
     with pytest.raises(ValueError, match="line 1: source_urls: too_few\n"):
         require_valid(errors)
     require_valid(errors.where("line_no = 0"))
+
+
+def test_json_list_is_split(spark, tmp_path):
+    """A list in one line comes out whole however the file is split, with braces and quotes in its strings."""
+    rng = random.Random(8)
+    pool = ["{", "}", '"', "\\\\", "\\n", "[", "]", "a", '"data": [', "é", "},{"]
+    text = lambda: "".join(rng.choice(pool) for _ in range(rng.randrange(12)))
+    items = [{"url": f"u{i % 400}", "markdown": text() * rng.choice((1, 1, 9)), "metadata": {"x": {"y": [text(), {}]}, "z": [{"k": text()}]}} for i in range(1500)]
+    other = {"errors": [{"data": text()}], "note": {"a": "}"}, "data": items, "more": [{"url": "not me"}]}
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for name, body, indent in (("list", items, None), ("data", other, None), ("pretty", items, 1)):
+            (tmp_path / name).write_text(json.dumps(body, indent=indent))
+            for bytes_ in ("4k", "128m"):
+                spark.conf.set("spark.sql.files.maxPartitionBytes", bytes_)
+                spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+                got = read_json_list(spark, f"{tmp_path}/{name}").orderBy("pos").collect()
+                assert [json.loads(r.text) for r in got] == items and [r.pos for r in got] == list(range(len(items)))
+                assert spark.read.option("lineSep", "}").text(f"{tmp_path}/{name}").rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    for broken in ('[{"a": 1}, {"b": ', '[{"a": "x'):
+        (tmp_path / "broken").write_text(broken)
+        with pytest.raises(ValueError, match="ends within"):
+            read_json_list(spark, f"{tmp_path}/broken")
+    (tmp_path / "empty").write_text("[]\n")
+    assert read_json_list(spark, f"{tmp_path}/empty").count() == 0
+
+
+def test_upsert(spark, tmp_path, monkeypatch):
+    root, schema = f"{tmp_path}/t", "chunk_id long, kind string, text string"
+    first = spark.createDataFrame([(i, "a" if i % 3 else "b", f"t{i}" if i % 4 else " ") for i in range(200)], schema)
+    made = U.upsert(first, root, "b1", kind="kind")
+    assert (made["n_rows"], made["counts"], made["coverage"]["text"]) == (200, {"a": 133, "b": 67}, 0.75)
+    assert U.upsert(first, root, "b1", kind="kind")["version"] == 1
+    second = spark.createDataFrame([(5, "c", "new"), (900, "a", None)], schema)
+    # A run that ends before its commit changes nothing, and is repeated.
+    with monkeypatch.context() as m:
+        m.setattr(U.V, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError, match="killed"):
+            U.upsert(second, root, "b2", kind="kind")
+    assert U.read_table(spark, root).count() == 200
+    changed = U.upsert(second, root, "b2", kind="kind")
+    got = {r.chunk_id: (r.kind, r.text) for r in U.read_table(spark, root).collect()}
+    assert len(got) == 201 and got[5] == ("c", "new") and got[900] == ("a", None) and got[7] == ("a", "t7")
+    assert changed["n_rows"] == 201 and changed["counts"] == {"a": 133, "b": 67, "c": 1} and len({e["folder"] for e in changed["buckets"].values()}) == 2
+    # The digest is that of the rows, however they came together.
+    whole = U.upsert(U.read_table(spark, root).drop("bucket"), f"{tmp_path}/other", "x", kind="kind")
+    assert whole["digest"] == changed["digest"] != made["digest"]
+    assert U.upsert(second.limit(0), root, "b3", kind="kind")["version"] == 2 and U.upsert(second, root, "b4", kind="kind", reset=True)["n_rows"] == 2
+    for rows, message in ((second.union(second), "stand twice"), (second.drop("kind"), "the table has")):
+        with pytest.raises(ValueError, match=message):
+            U.upsert(rows, root, "bad")

@@ -244,15 +244,6 @@ def override_rows(t):
     return s.join(F.broadcast(table), "s_suppkey", "left").select("s_suppkey", F.coalesce("curated", "s_name").alias("name"))
 
 
-@query("prescreen_rules", """
-WITH r AS (SELECT p_partkey, CASE WHEN p_size < 10 THEN 'H1' END AS a, CASE WHEN contains(lower(p_type), 'brass') OR contains(lower(p_type), 'steel') THEN 'H8' END AS b, CASE WHEN NOT contains(lower(p_name), substr(lower(p_brand), 1, 1)) THEN 'H5' END AS c FROM part)
-SELECT p_partkey, a IS NOT NULL OR b IS NOT NULL OR c IS NOT NULL AS flagged, concat_ws(';', a, b, c) AS reason FROM r""")
-def prescreen_rules(t):
-    kind = F.lower("p_type")
-    rules = [(F.col("p_size") < 10, "H1"), (kind.contains("brass") | kind.contains("steel"), "H8"), (~F.lower("p_name").contains(F.substring(F.lower("p_brand"), 1, 1)), "H5")]
-    return t("part").select("p_partkey", all_matches(rules, ";").alias("reason")).select("p_partkey", (F.col("reason") != "").alias("flagged"), "reason")
-
-
 @query("schema_rules", """
 SELECT o_orderkey, 'o_orderpriority' AS field, 'not_in_set' AS code FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM') UNION ALL
 SELECT o_orderkey, 'o_totalprice', 'too_small' FROM orders WHERE o_totalprice < 1000 UNION ALL SELECT o_orderkey, 'o_orderstatus', 'discovery_only' FROM orders WHERE o_orderstatus = 'P'""")
@@ -308,20 +299,6 @@ def record_validation(t):
     return errors.select(F.regexp_extract("file", "/bucket=([0-9]+)/", 1).cast("long").alias("bucket"), "row_no", "line_no", "field", "code")
 
 
-@query("triage_rules", r"""
-WITH h AS (SELECT page_id, regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), '^www\.', '') AS host, lower(html) AS body FROM pages),
-r AS (SELECT page_id, CASE WHEN host = 'example.net' OR ends_with(host, '.example.net') THEN 'blocked_domain' WHEN regexp_matches(body, 'guide|news|podcast|summit') THEN 'non_entity_term' WHEN NOT (contains(body, 'nav') AND contains(body, 'href')) THEN 'no_entity_phrase' END AS reason FROM h)
-SELECT page_id, CASE WHEN reason IS NULL THEN 'candidate_raw' ELSE 'rejected' END AS triage_status, coalesce(reason, '') AS triage_reason FROM r""")
-def triage_rules(t):
-    """Ordered rejections; the first that holds is the reason."""
-    from ..functions import urls as U
-
-    body = F.lower("html")
-    rules = [(U.at_host(U.domain(F.col("url")), ("example.net",)), "blocked_domain"), (body.rlike("guide|news|podcast|summit"), "non_entity_term"), (~(body.contains("nav") & body.contains("href")), "no_entity_phrase")]
-    reason = first_match(rules, "")
-    return t("pages").select("page_id", reason.alias("triage_reason")).select("page_id", first_match([(F.col("triage_reason") == "", "candidate_raw")], "rejected").alias("triage_status"), "triage_reason")
-
-
 @query("signal_filters", """
 SELECT event_type, count(*)::BIGINT AS n, count(DISTINCT user_id)::BIGINT AS users, count(*) FILTER (WHERE value > 50)::BIGINT AS strong, round(sum(value), 4) AS total FROM events WHERE event_type NOT IN ('error') GROUP BY event_type""")
 def signal_filters(t):

@@ -119,6 +119,48 @@ def url_list(cell: Column) -> Column:
     return F.array_distinct(F.filter(F.transform(raw, existing), lambda u: u != ""))
 
 
+def parsed_urls(cell: Column) -> Column:
+    """URLs of a cell: a list literal, parts between bars, parts between commas where it names a protocol, else the whole text."""
+    t = existing(cell)
+    listed = F.from_json(t, "array<string>", {"allowSingleQuotes": "true"})
+    whole = t.startswith("[") & t.endswith("]")
+    quotes = lambda u: F.regexp_replace(existing(u), "^['\"]+|['\"]+$", "")
+    raw = (
+        F.when(whole, F.coalesce(F.transform(listed, existing), F.array().cast("array<string>")))
+        .when(t.contains("|"), F.transform(F.split(t, r"\|"), existing))
+        .when(t.contains(",") & t.contains("http"), F.transform(F.filter(F.split(t, ","), lambda u: existing(u) != ""), quotes))
+        .otherwise(F.array(t))
+    )
+    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.filter(raw, lambda u: u != ""))
+
+
+def shown_urls(cell: Column) -> Column:
+    """URLs of a cell as a page shows them: JSON first, then as parsed_urls() has it."""
+    t = existing(cell)
+    kind = F.schema_of_variant(F.try_parse_json(t))
+    listed = F.filter(F.transform(F.from_json(t, "array<string>"), existing), lambda u: u != "")
+    return F.when(t.startswith("[") & kind.startswith("ARRAY"), listed).otherwise(parsed_urls(cell))
+
+
+def audited_urls(cell: Column) -> tuple[Column, Column, Column]:
+    """URLs, the name of the cell's format, and what is wrong with it ('' if nothing): JSON, a list literal, parts, or one URL."""
+    t, none = existing(cell), F.array().cast("array<string>")
+    kind = F.schema_of_variant(F.try_parse_json(t))
+    clean = lambda c: F.filter(F.transform(c, existing), lambda u: u != "")
+    literal = F.from_json(F.regexp_replace(F.regexp_replace(t, r"^\(", "["), r",?\s*\)$", "]"), "array<string>", {"allowSingleQuotes": "true"})
+    # A list literal whose elements are all quoted.
+    quoted = t.rlike(r"""(?s)^[\[(]\s*(?:(?:'[^']*'|"[^"]*")\s*,?\s*)*[\])]$""") & literal.isNotNull()
+    parts = t.contains(";") | t.contains("\n")
+    one = t.rlike(r"^(?i:https?)://\S")
+    name = (
+        F.when(t == "", "empty").when(kind.isNotNull(), F.when(kind.isin("ARRAY<STRING>", "ARRAY<VOID>"), "json_array").otherwise("invalid"))
+        .when(quoted, "legacy_python_list").when(parts, "legacy_delimited").when(one, "legacy_single_url").otherwise("invalid")
+    )
+    urls = F.when(name == "json_array", clean(F.from_json(t, "array<string>"))).when(name == "legacy_python_list", clean(literal)).when(name == "legacy_delimited", clean(F.split(t, "[;\n]"))).when(name == "legacy_single_url", F.array(t)).otherwise(none)
+    error = F.when(t == "", "source_urls is blank").when(kind.isNotNull() & (name == "invalid"), "source_urls JSON must be an array of strings").when(name == "invalid", "source_urls is not parseable").otherwise("")
+    return F.coalesce(urls, none), name, error
+
+
 def first_on(urls: Column, hosts: tuple[str, ...]) -> Column:
     """First URL whose host contains any of hosts."""
 

@@ -6,6 +6,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..functions import urls as L
+from ..operators import evidence as E
+from ..operators import record_chunks as C
 from ..operators import records as Q
 from ..sources import upsert as U
 from ..sources import versions as V
@@ -23,7 +26,8 @@ FIELDS = (
     "principal_2_confidence principal_2_linkedin_url principal_2_linkedin_confidence principal_3_name principal_3_role principal_3_source_url principal_3_confidence principal_3_linkedin_url principal_3_linkedin_confidence "
     "recent_activity recent_activity_date recent_activity_outlet recent_activity_url recent_activity_type recent_activity_age_days recent_activity_recency_label recent_activity_confidence contact_first_name contact_last_name "
     "contact_full_name contact_location data_completion_score_text data_completion_score_visual secondary_email_validation_code email_code_explanation_secondary email_quality_assessment_secondary source_content_review_status "
-    "source_content_review_notes family_office_name family_office_type description investment_thesis investing_sectors aum_text city state_region country principal_name principal_title source_urls sec_registered"
+    "source_content_review_notes family_office_name family_office_type description investment_thesis investing_sectors aum_text city state_region country principal_name principal_title source_urls sec_registered "
+    "principal_linkedin_url contact_secondary_email contact_secondary_phone source_notes confidence uncertainty_notes"
 ).split()
 _NUMBER = {f: i for i, f in enumerate(FIELDS)}
 
@@ -74,16 +78,16 @@ def augmented_claims(t):
 
 @query("record_completion", f"""
 WITH {_CELLS} SELECT k AS record_id, 3 + count(*) FILTER (WHERE v <> '' AND f IN ('family_office_name', 'description', 'investment_thesis', 'investing_sectors', 'corporate_linkedin_url', 'street_address', 'city', 'state_region', 'country', 'contact_first_name', 'contact_last_name', 'contact_full_name',
-  'principal_title', 'contact_location', 'primary_email', 'primary_phone', 'secondary_email_validation_code', 'email_code_explanation_secondary', 'email_quality_assessment_secondary'))::BIGINT AS completion FROM cells GROUP BY k""")
+  'principal_title', 'contact_location', 'primary_email', 'primary_phone', 'secondary_email_validation_code', 'email_code_explanation_secondary', 'email_quality_assessment_secondary', 'principal_linkedin_url', 'contact_secondary_email', 'contact_secondary_phone'))::BIGINT AS completion FROM cells GROUP BY k""")
 def record_completion(t):
-    """Filled cells of the 31 columns that count; the records lack nine of them."""
+    """Filled cells of the 31 columns that count; the records lack six of them."""
     rows = _records(t)
     return rows.select("record_id", Q.completion(rows).cast("bigint").alias("completion"))
 
 
 @query("completion_summary", f"""
 WITH {_CELLS}, c AS (SELECT k, 3 + count(*) FILTER (WHERE v <> '' AND f IN ('family_office_name', 'description', 'investment_thesis', 'investing_sectors', 'corporate_linkedin_url', 'street_address', 'city', 'state_region', 'country', 'contact_first_name', 'contact_last_name', 'contact_full_name',
-  'principal_title', 'contact_location', 'primary_email', 'primary_phone', 'secondary_email_validation_code', 'email_code_explanation_secondary', 'email_quality_assessment_secondary')) AS n FROM cells GROUP BY k)
+  'principal_title', 'contact_location', 'primary_email', 'primary_phone', 'secondary_email_validation_code', 'email_code_explanation_secondary', 'email_quality_assessment_secondary', 'principal_linkedin_url', 'contact_secondary_email', 'contact_secondary_phone')) AS n FROM cells GROUP BY k)
 SELECT min(n)::BIGINT AS lowest, median(n)::DOUBLE AS median, max(n)::BIGINT AS highest, count(*)::BIGINT AS n FROM c""")
 def completion_summary(t):
     """Least, exact median and most of the completion scores; their counts, 32 at most, meet in one task."""
@@ -185,3 +189,106 @@ def page_export(t):
     listed.select("part", text.alias("value")).repartition("part").write.partitionBy("part").option("lineSep", "\n").text(path)
     found = read_page_export(spark, path)
     return found.select("url", F.length("markdown").cast("bigint").alias("n_chars"), F.md5("markdown").alias("digest"))
+
+
+#: The SQL's own statement of the templates: label, or label and columns after bars.
+_TEMPLATES = {
+    "record_profile": "Record profile for {name}.~Record ID: {id}.~Family office type|family_office_type~Location|city|state_region|country~Description|description~Investment thesis|investment_thesis~Investing sectors|investing_sectors~Website|website_url~"
+    "Corporate LinkedIn|corporate_linkedin_url~Source notes|source_notes~Confidence|confidence~Uncertainty notes|uncertainty_notes",
+    "contact_policy": "Contact policy for {name}.~Safe answer policy: return only values directly evidenced in this locked dataset; if a contact, principal LinkedIn, or AUM field is blank, say it is not evidenced.~Primary email|primary_email~"
+    "Primary email evidence URL|primary_email_evidence_url~Primary email confidence|primary_email_confidence~Primary phone|primary_phone~Primary phone evidence URL|primary_phone_evidence_url~Primary phone confidence|primary_phone_confidence~"
+    "Principal name|principal_name~Principal title|principal_title~Principal LinkedIn|principal_linkedin_url~AUM|aum_text~SEC regulatory AUM|sec_aum_usd~SEC fee structure labels|sec_fee_structure~Secondary contact email|contact_secondary_email~"
+    "Secondary contact phone|contact_secondary_phone~Uncertainty notes|uncertainty_notes",
+    "regulatory": "Regulatory evidence for {name}.~SEC registered: {registered}.~SEC CRD number|sec_crd_number~SEC file number|sec_file_number~SEC registration status|sec_registration_status~SEC firm name from IAPD|sec_firm_name_iapd~"
+    "SEC other names|sec_firm_other_names~SEC branches count|sec_branches_count~SEC summary URL|sec_summary_url~SEC evidence URL|sec_evidence_url~Form ADV brochure URL|form_adv_brochure_url~SEC regulatory AUM|sec_aum_usd~"
+    "SEC fee structure labels|sec_fee_structure~SEC business address|sec_business_address~SEC address|sec_address_city|sec_address_state|sec_address_country~SEC confidence|sec_confidence~Uncertainty notes|uncertainty_notes",
+    "recent_activity": "Recent activity evidence for {name}.~Recent activity|recent_activity~Recent activity date|recent_activity_date~Recent activity outlet|recent_activity_outlet~Recent activity type|recent_activity_type~"
+    "Recent activity URL|recent_activity_url~Recent activity confidence|recent_activity_confidence~Uncertainty notes|uncertainty_notes",
+}
+
+
+def _template_sql(text: str) -> str:
+    def line(x: str) -> str:
+        label, *columns = x.split("|")
+        if not columns:
+            return "'" + label.replace("{name}", "' || m['family_office_name'] || '").replace("{id}", "' || k || '").replace("{registered}", "' || reg || '") + "'"
+        return f"'{label}: ' || " + " || ', ' || ".join(f"coalesce(nullif(m['{c}'], ''), 'not evidenced in the locked dataset')" for c in columns) + " || '.'"
+
+    return " || chr(10) || ".join(line(x) for x in text.split("~"))
+
+
+_SHOWN = "coalesce(nullif({x}, ''), 'not evidenced in the locked dataset')"
+
+
+@query("record_chunks", f"""
+WITH {_CELLS}, r AS (SELECT k, map_from_entries(list((f, v))) AS m FROM (SELECT * FROM cells UNION ALL SELECT c_custkey, 'website_url', 'https://firm.test' FROM customer) GROUP BY k),
+b AS (SELECT k, m, CASE WHEN m['sec_registered'] = 'True' THEN 'true' ELSE 'false' END AS reg, CASE WHEN m['source_urls'] <> '' THEN [m['source_urls'], 'https://x.test'] ELSE []::VARCHAR[] END AS own FROM r WHERE k % 4 > 0),
+c AS (
+  SELECT k, 'record_profile' AS chunk_type, '' AS field_name, '' AS value, {_template_sql(_TEMPLATES['record_profile'])} AS text, own AS urls, m['confidence'] AS conf, 'evidence_only' AS policy FROM b
+  UNION ALL SELECT k, 'contact_policy', '', '', {_template_sql(_TEMPLATES['contact_policy'])}, list_filter([m['primary_email_evidence_url'], m['primary_phone_evidence_url']], lambda x: x <> '') || own, m['confidence'], 'sensitive_fields_require_direct_evidence' FROM b
+  UNION ALL SELECT k, 'regulatory', '', '', {_template_sql(_TEMPLATES['regulatory'])}, list_filter([CASE reg WHEN 'true' THEN '' ELSE 'https://adviserinfo.sec.gov/' END, m['sec_evidence_url'], m['sec_summary_url'], m['form_adv_brochure_url']], lambda x: x <> '') || own,
+    CASE WHEN m['sec_confidence'] <> '' THEN m['sec_confidence'] ELSE m['confidence'] END, 'sec_claims_require_regulatory_chunk' FROM b
+  UNION ALL SELECT k, 'recent_activity', '', '', {_template_sql(_TEMPLATES['recent_activity'])}, list_filter([m['recent_activity_url']], lambda x: x <> '') || own, CASE WHEN m['recent_activity_confidence'] <> '' THEN m['recent_activity_confidence'] ELSE m['confidence'] END, 'recent_activity_requires_activity_chunk'
+    FROM b WHERE m['recent_activity'] <> '' OR m['recent_activity_date'] <> '' OR m['recent_activity_outlet'] <> '' OR m['recent_activity_url'] <> ''
+  UNION ALL SELECT k, 'field_evidence', f, m[f], 'Field evidence for ' || m['family_office_name'] || '.' || chr(10) || 'Field name: ' || f || '.' || chr(10) || 'Field value: ' || m[f] || '.' || chr(10) || 'Evidence URL: ' || {_SHOWN.format(x='us[1]')} || '.' || chr(10) || 'Evidence confidence: ' || {_SHOWN.format(x='conf')} || '.' || chr(10)
+    || 'Safe answer policy: use this field value only as written; do not infer adjacent contact, AUM, regulatory, or recent activity facts.', us, conf, 'field_value_exact_extract_only'
+    FROM (SELECT *, CASE WHEN e = '' OR m[e] = '' THEN own ELSE [m[e]] || own END AS us, CASE WHEN c = '' THEN m['confidence'] ELSE m[c] END AS conf FROM b, (VALUES ('website_url', '', ''), ('corporate_linkedin_url', 'corporate_linkedin_evidence_url', 'corporate_linkedin_confidence'), ('primary_email', 'primary_email_evidence_url', 'primary_email_confidence'),
+      ('primary_phone', 'primary_phone_evidence_url', 'primary_phone_confidence'), ('google_places_phone', 'google_places_evidence_url', 'google_places_confidence'), ('street_address', 'street_address_evidence_url', 'street_address_confidence'), ('principal_name', '', ''), ('principal_title', '', ''), ('principal_linkedin_url', '', ''), ('contact_full_name', '', ''),
+      ('contact_secondary_email', '', ''), ('contact_secondary_phone', '', ''), ('aum_text', '', ''), ('sec_aum_usd', 'sec_form_adv_evidence_path', 'sec_confidence'), ('sec_fee_structure', 'sec_form_adv_evidence_path', 'sec_confidence'), ('principal_1_name', 'principal_1_source_url', 'principal_1_confidence'), ('principal_1_role', 'principal_1_source_url', 'principal_1_confidence'),
+      ('principal_1_linkedin_url', 'principal_1_linkedin_url', 'principal_1_linkedin_confidence'), ('principal_2_name', 'principal_2_source_url', 'principal_2_confidence'), ('principal_2_role', 'principal_2_source_url', 'principal_2_confidence'), ('principal_2_linkedin_url', 'principal_2_linkedin_url', 'principal_2_linkedin_confidence'),
+      ('principal_3_name', 'principal_3_source_url', 'principal_3_confidence'), ('principal_3_role', 'principal_3_source_url', 'principal_3_confidence'), ('principal_3_linkedin_url', 'principal_3_linkedin_url', 'principal_3_linkedin_confidence')) v(f, e, c)) WHERE m[f] <> '')
+SELECT k || '::' || chunk_type || CASE WHEN field_name <> '' THEN '::' || field_name ELSE '' END AS chunk_id, chunk_type, field_name, value AS field_value_text, text, array_to_string(urls, ' ') AS source_urls, coalesce(urls[1], '') AS primary_source_url, conf AS confidence_label, policy AS safe_answer_policy FROM c""")
+def record_chunks(t):
+    """Chunks of the accepted records: profile, contact policy, regulation, activity if any, and up to 24 fields."""
+    rows = _records(t).withColumn("validation_status", F.when(F.col("record_id") % 4 > 0, "Accepted").otherwise("needs_review"))
+    found = C.record_chunks(rows)
+    return found.select("chunk_id", "chunk_type", "field_name", "field_value_text", "text", F.array_join("source_urls", " ").alias("source_urls"), "primary_source_url", "confidence_label", "safe_answer_policy")
+
+
+@query("url_dialects", """
+WITH p AS (SELECT page_id, url AS u, length(url) % 9 AS n FROM pages)
+SELECT page_id, CASE n WHEN 0 THEN 'json_array' WHEN 1 THEN 'legacy_python_list' WHEN 2 THEN 'legacy_delimited' WHEN 3 THEN 'legacy_single_url' WHEN 4 THEN 'invalid' WHEN 5 THEN 'invalid' WHEN 6 THEN 'empty' ELSE 'legacy_single_url' END AS format,
+  CASE n WHEN 0 THEN u || ' https://b.test' WHEN 1 THEN u || ' https://b.test' WHEN 2 THEN u || ' https://b.test' WHEN 3 THEN u WHEN 7 THEN u || '|https://b.test' WHEN 8 THEN u || ',https://b.test' ELSE '' END AS audited,
+  CASE n WHEN 4 THEN 'source_urls JSON must be an array of strings' WHEN 5 THEN 'source_urls is not parseable' WHEN 6 THEN 'source_urls is blank' ELSE '' END AS error,
+  CASE n WHEN 0 THEN u || ' https://b.test' WHEN 1 THEN u || ' https://b.test' WHEN 2 THEN u || '; https://b.test' WHEN 3 THEN u WHEN 4 THEN '7' WHEN 5 THEN 'see ' || u WHEN 6 THEN '' ELSE u || ' https://b.test' END AS parsed,
+  CASE n WHEN 0 THEN u || ' https://b.test' WHEN 1 THEN u || ' https://b.test' WHEN 2 THEN u || '; https://b.test' WHEN 3 THEN u WHEN 4 THEN '7' WHEN 5 THEN 'see ' || u WHEN 6 THEN '' ELSE u || ' https://b.test' END AS shown,
+  CASE n WHEN 0 THEN u WHEN 1 THEN u WHEN 2 THEN u WHEN 3 THEN u WHEN 4 THEN '7' WHEN 5 THEN 'see ' || u WHEN 6 THEN '' WHEN 7 THEN u || '|https://b.test' ELSE u || ',https://b.test' END AS first FROM p""")
+def url_dialects(t):
+    """Cells in nine forms made of the pages' URLs, read by four of the dialects."""
+    u, n = F.col("url"), F.length("url") % 9
+    both = lambda a, m, z: F.concat(F.lit(a), u, F.lit(m + "https://b.test" + z))
+    forms = [both('["', '", "', '"]'), both("['", "', '", "']"), both("", "; ", ""), F.concat(F.lit(" "), u), F.lit("7"), F.concat(F.lit("see "), u), F.lit(" "), both("", "|", ""), both("", ",", "")]
+    cell = F.get(F.array(*forms), n)
+    rows = t("pages").select("page_id", cell.alias("c"))
+    urls, name, error = L.audited_urls(F.col("c"))
+    joined = lambda x: F.array_join(x, " ")
+    return rows.select("page_id", name.alias("format"), joined(urls).alias("audited"), error.alias("error"), joined(L.parsed_urls(F.col("c"))).alias("parsed"), joined(L.shown_urls(F.col("c"))).alias("shown"), Q.first_url(F.trim("c")).alias("first"))
+
+
+@query("source_registry", """
+WITH s AS (SELECT page_id, url, unnest([url, 'https://www.businesswire.com/' || page_id, 'https://adviserinfo.sec.gov/x.pdf']) AS source_url, unnest([1, 2, 3]) AS nth FROM pages),
+k AS (SELECT DISTINCT url FROM pages), d AS (SELECT s.*, k.url IS NOT NULL AS checked, length(source_url) % 2 = 0 AS good FROM s LEFT JOIN k ON k.url = s.source_url)
+SELECT page_id || '_src_' || printf('%02d', nth) AS source_id, page_id, source_url, CASE nth WHEN 1 THEN 'official_site' WHEN 2 THEN 'press_release' ELSE 'regulator' END AS source_type, CASE nth WHEN 2 THEN 'secondary' ELSE 'primary' END AS source_rank, CASE nth WHEN 1 THEN 'first_party' ELSE 'third_party_or_regulator' END AS source_owner,
+  checked AND good AS http_ok, CASE WHEN checked THEN CASE WHEN good THEN 200 ELSE 404 END END::INTEGER AS http_status_code FROM d""")
+def source_registry(t):
+    """Three sources of each page, and the checks of all pages' own URLs; the others weren't checked."""
+    pages = t("pages")
+    records = pages.select("page_id", F.col("url").alias("website_url"), F.array(F.col("url"), F.concat(F.lit("https://www.businesswire.com/"), F.col("page_id")), F.lit("https://adviserinfo.sec.gov/x.pdf")).alias("source_urls"))
+    ok = F.length("url") % 2 == 0
+    checks = pages.select("url").distinct().select("url", ok.alias("ok"), F.when(ok, 200).otherwise(404).alias("status_code"), F.col("url").alias("final_url"))
+    return E.source_registry(records, checks, "page_id").select("source_id", "page_id", "source_url", "source_type", "source_rank", "source_owner", "http_ok", "http_status_code")
+
+
+@query("crawl_evidence", r"""
+WITH s AS (SELECT page_id, CASE page_id % 5 WHEN 0 THEN url WHEN 1 THEN url || '/' WHEN 2 THEN url || '#part' WHEN 3 THEN url || '.pdf' ELSE url || '-gone' END AS u FROM pages),
+c AS (SELECT regexp_replace(regexp_replace(url, '#.*$', ''), '/+$', '') AS base, arg_max(url, page_id) AS crawled, arg_max(coalesce(html, ''), page_id) AS body FROM pages WHERE page_id % 4 > 0 GROUP BY base),
+j AS (SELECT page_id, u, regexp_replace(regexp_replace(u, '#.*$', ''), '/+$', '') AS base FROM s)
+SELECT page_id AS source_id, crawled IS NOT NULL AS matched, coalesce(crawled, '') AS crawled_url, page_id % 5 = 3 AS is_pdf, coalesce(length(body), 0)::BIGINT AS markdown_chars,
+  CASE WHEN page_id % 5 = 3 THEN 'PDF excluded from website-content-crawler' WHEN crawled IS NOT NULL AND j.base <> regexp_replace(u, '/+$', '') THEN 'Matched by canonical URL without fragment' WHEN crawled IS NULL THEN 'No Apify crawl item returned' ELSE 'Matched' END AS note
+FROM j LEFT JOIN c USING (base)""")
+def crawl_evidence(t):
+    """Sources that are pages' URLs as they are, with a slash, a fragment, another suffix; three pages of four were crawled, the last of a URL counts."""
+    u, k = F.col("url"), F.col("page_id") % 5
+    registry = t("pages").select(F.col("page_id").alias("source_id"), F.when(k == 0, u).when(k == 1, F.concat(u, F.lit("/"))).when(k == 2, F.concat(u, F.lit("#part"))).when(k == 3, F.concat(u, F.lit(".pdf"))).otherwise(F.concat(u, F.lit("-gone"))).alias("source_url"))
+    crawl = t("pages").where("page_id % 4 > 0").select(F.col("page_id").alias("at"), "url", F.when(F.col("page_id") % 2 == 0, F.col("html")).alias("markdown"), F.col("html").alias("text"))
+    return E.crawl_evidence(registry, crawl, "office").drop("snippet")

@@ -41,6 +41,25 @@ def pairing(df: DataFrame, name: str, value: Column, *proofs: Column) -> DataFra
     return check(df, name, F.count_if(~is_blank(value) & ~proved), lambda o: o == 0)
 
 
+def filled_cells(tables: dict[str, DataFrame]) -> DataFrame:
+    """table_name, column_name, n_rows, n_filled of every column: how many rows hold a value. One pass over each table."""
+    out = None
+    for name, df in tables.items():
+        counts = df.agg(F.count(F.lit(1)).alias("n_rows"), F.array(*[F.struct(F.lit(c).alias("column_name"), F.count(F.col(f"`{c}`")).alias("n_filled")) for c in df.columns]).alias("cells"))
+        one = counts.select(F.lit(name).alias("table_name"), "n_rows", F.explode("cells").alias("c")).select("table_name", "c.column_name", "n_rows", "c.n_filled")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def column_states(filled: DataFrame, want: dict[str, list[str]], defined: Column) -> DataFrame:
+    """(table_name, column_name, state, n_filled): wanted columns without a value in any row are missing, others that hold values are extra; columns that hold values but have no definition are undefined."""
+    wanted = filled.sparkSession.createDataFrame([(t, c) for t, names in want.items() for c in names], "table_name string, column_name string").withColumn("wanted", F.lit(True))
+    rows = filled.join(F.broadcast(wanted), ["table_name", "column_name"], "full_outer").withColumns({"n_filled": F.coalesce("n_filled", F.lit(0)), "wanted": F.coalesce("wanted", F.lit(False))})
+    has = F.col("n_filled") > 0
+    states = F.array_compact(F.array(F.when(F.col("wanted") & ~has, F.lit("missing")), F.when(~F.col("wanted") & has, F.lit("extra")), F.when(has & ~defined, F.lit("undefined"))))
+    return rows.select("table_name", "column_name", F.explode(states).alias("state"), "n_filled")
+
+
 def column_difference(spark, have: dict[str, list[str]], want: dict[str, list[str]]) -> DataFrame:
     """(table, column, state): columns that are missing and columns that nobody asked for."""
     rows = [(t, c, "missing") for t in want for c in want[t] if c not in have.get(t, [])]

@@ -82,11 +82,12 @@ def with_seeds(seeds: DataFrame, hits: DataFrame, rank: str) -> DataFrame:
     return top_per_key(first.unionByName(rest), ["query_id"], 1 << 30, rank, F.col("__group"), F.col("__place")).drop("__group", "__place")
 
 
-def retrieved(index: inverted.Index, vectors: vector_index.VectorIndex, asked: DataFrame) -> DataFrame:
+def retrieved(index: inverted.Index, vectors: vector_index.VectorIndex, asked: DataFrame, dense: bool = True, seeded: bool = True) -> DataFrame:
     """query_id, intent, chunk_id, record_id, final_rank: the hits of questions by both indexes and their own rules, before the cut.
 
     index has the chunks' metadata: record_id, chunk_type, field_name, field_value_text, state_region, city, country, entity_type, sec_registered. asked: query_id, t (lower case),
     and what the rules of intent.py read from it: f, intent, chunk_types and the filters. A record whose id stands in a question is matched.
+    dense, seeded: whether vectors are searched and seeds come first.
     """
     chunks = index.documents()
     named = asked.select("query_id", F.explode(F.array_distinct(search_tokens(F.col("t")))).alias("record_id")).join(chunks.select("record_id").distinct(), "record_id")
@@ -100,19 +101,23 @@ def retrieved(index: inverted.Index, vectors: vector_index.VectorIndex, asked: D
     linkedin = hits.chunk_linkedin(F.col("field_name"), F.col("field_value_text"))
     meets = hits.filters_match({k: F.col(c) for k, c in names.items()}, {k: F.col(k) for k in ("state_region", "city", "country", "entity_type", "sec_registered")}, linkedin)
     text = asked.select("query_id", F.col("t").alias("text"))
-    dense = vector_index.search(vectors, hashed_vectors(text, "query_id"), 80, own=False).select("query_id", F.col("vec_id").alias("chunk_id"), "dense_rank")
+    if dense:
+        near = vector_index.search(vectors, hashed_vectors(text, "query_id"), 80, own=False).select("query_id", F.col("vec_id").alias("chunk_id"), "dense_rank")
+    else:
+        near = chunks.where("false").select(F.lit(0).cast("long").alias("query_id"), "chunk_id", F.lit(0).cast("long").alias("dense_rank"))
     bm25 = inverted.search(index, text, 120).select("query_id", "chunk_id", "bm25_rank")
     boost = F.when(F.array_contains("matched", F.col("record_id")), 0.10).otherwise(0.0) + F.when(F.array_contains("preferred", F.col("chunk_type")), 0.04).otherwise(0.0)
     boost += hits.field_boost(F.col("chunk_type"), F.col("field_name"), F.col("f"))
     meta = chunks.select("chunk_id", "record_id", "chunk_type", "field_name")
-    both = dense.join(bm25, ["query_id", "chunk_id"], "full_outer").join(asked.select("query_id", "f", "preferred", "matched"), "query_id").join(meta, "chunk_id")
+    both = near.join(bm25, ["query_id", "chunk_id"], "full_outer").join(asked.select("query_id", "f", "preferred", "matched"), "query_id").join(meta, "chunk_id")
     rrf = lambda c: F.coalesce(1 / (RRF_K + F.col(c)), F.lit(0.0))
     fused = ranked(both.withColumn("fused", F.round(rrf("dense_rank") + rrf("bm25_rank") + boost, 9)))
     listing = F.col("intent") == "filtered_listing"
     some = F.coalesce(*[F.col(c).cast("string") for c in names.values()]).isNotNull()
     seeds = hits.record_seeds(chunks, asked.where(~listing)).select("query_id", "chunk_id", "seed_rank")
     listed = hits.listing_seeds(chunks, asked.where(listing & some).select("query_id", *names.values()), meets).select("query_id", "chunk_id", "seed_rank")
-    found = with_seeds(seeds.unionByName(listed), fused, "final_rank").join(asked.select("query_id", "intent", *names.values()), "query_id").join(chunks, "chunk_id").where(meets)
+    seeds = seeds.unionByName(listed) if seeded else seeds.where("false")
+    found = with_seeds(seeds, fused, "final_rank").join(asked.select("query_id", "intent", *names.values()), "query_id").join(chunks, "chunk_id").where(meets)
     return cap_per_record(found, "record_id", F.when(F.col("intent") == "comparison", 4).otherwise(3), "final_rank").select("query_id", "intent", "chunk_id", "record_id", "final_rank")
 
 

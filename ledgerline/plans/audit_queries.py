@@ -55,11 +55,16 @@ def audit_topk_values(t):
     return counted.join(F.broadcast(t("nation")), F.col("c_nationkey") == F.col("n_nationkey")).select("n_name", "n").orderBy(F.desc("n"), "n_name").limit(8)
 
 
-@query("audit_sets", """
-SELECT * FROM (VALUES ('part', 'p_weight', 'missing'), ('part', 'p_name', 'extra'), ('part', 'p_brand', 'extra'), ('part', 'p_type', 'extra'), ('part', 'p_size', 'extra'), ('part', 'p_retailprice', 'extra')) v(table_name, column_name, state)""")
+_PART = ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
+
+
+@query("audit_sets", "WITH f AS (" + " UNION ALL ".join(f"SELECT '{c}' AS c, count({c}) AS n FROM part" for c in _PART) + """ UNION ALL SELECT 'p_weight', 0)
+SELECT 'part' AS table_name, c AS column_name, 'missing' AS state, n::BIGINT AS n_filled FROM f WHERE c IN ('p_partkey', 'p_weight', 'p_name') AND n = 0
+UNION ALL SELECT 'part', c, 'extra', n FROM f WHERE c NOT IN ('p_partkey', 'p_weight', 'p_name') AND n > 0 UNION ALL SELECT 'part', c, 'undefined', n FROM f WHERE c IN ('p_size', 'p_retailprice') AND n > 0""")
 def audit_sets(t):
-    p = t("part")
-    return A.column_difference(p.sparkSession, {"part": p.columns}, {"part": ["p_partkey", "p_weight"]})
+    """Columns that no row fills, that nobody asked for, that have no definition, by what the rows hold."""
+    defined = F.col("column_name").isin("p_partkey", "p_name", "p_brand", "p_type", "p_weight")
+    return A.column_states(A.filled_cells({"part": t("part")}), {"part": ["p_partkey", "p_weight", "p_name"]}, defined)
 
 
 @query("audit_suspicious", """SELECT doc_id, contains(lower(text), 'idiot') AND (contains(lower(text), 'clown') OR contains(lower(text), 'scum')) AS suspicious FROM documents""")
@@ -225,17 +230,20 @@ def budget_cutoff(t):
     return running.where(2 * F.col("spent") <= F.col("total")).select("p_partkey", (F.col("spent") / 100).alias("spent"))
 
 
-@query("data_dictionary", """
-SELECT * FROM (SELECT c.table_name, c.column_name, CASE WHEN c.column_name = 'embedding' THEN 'Vector.' WHEN ends_with(c.column_name, 'key') OR ends_with(c.column_name, '_id') THEN 'Identifier.' WHEN starts_with(c.column_name, 'l_') THEN 'Line value.' WHEN ends_with(c.column_name, 'name') THEN 'Name.' ELSE 'Value.' END AS definition FROM (VALUES
-('region','r_regionkey'),('region','r_name'),('nation','n_nationkey'),('nation','n_name'),('nation','n_regionkey'),('lineitem','l_orderkey'),('lineitem','l_partkey'),('lineitem','l_suppkey'),('lineitem','l_linenumber'),('lineitem','l_quantity'),('lineitem','l_extendedprice'),('lineitem','l_discount'),('lineitem','l_tax'),('lineitem','l_returnflag'),('lineitem','l_linestatus'),('lineitem','l_shipdate'),('embeddings','vec_id'),('embeddings','embedding'),('embeddings','label')) c(table_name, column_name))""")
+_DESCRIBED = {
+    "region": ("r_regionkey", "r_name"), "nation": ("n_nationkey", "n_name", "n_regionkey"), "embeddings": ("vec_id", "embedding", "label"),
+    "lineitem": ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"),
+}
+
+
+@query("data_dictionary", "WITH c AS (" + " UNION ALL ".join(f"SELECT '{n}' AS table_name, '{c}' AS column_name, count(*) AS n_rows, count({c}) AS n_filled FROM {n}" for n, cs in _DESCRIBED.items() for c in cs) + """)
+SELECT table_name, column_name, CASE WHEN column_name = 'embedding' THEN 'Vector.' WHEN ends_with(column_name, 'key') OR ends_with(column_name, '_id') THEN 'Identifier.' WHEN starts_with(column_name, 'l_') THEN 'Line value.' WHEN ends_with(column_name, 'name') THEN 'Name.' ELSE 'Value.' END AS definition,
+  n_rows::BIGINT AS n_rows, n_filled::BIGINT AS n_filled FROM c""")
 def data_dictionary(t):
-    """Exact names first, then prefix and suffix rules in order."""
-    tables = {n: t(n) for n in ("region", "nation", "lineitem", "embeddings")}
-    spark = tables["region"].sparkSession
-    names = spark.createDataFrame([(n, c) for n, df in tables.items() for c in df.columns], "table_name string, column_name string")
+    """Exact names first, then prefix and suffix rules in order; beside each column how many rows hold a value."""
     c = F.col("column_name")
     rules = [(c == "embedding", "Vector."), (c.endswith("key") | c.endswith("_id"), "Identifier."), (c.startswith("l_"), "Line value."), (c.endswith("name"), "Name.")]
-    return names.select("table_name", "column_name", first_match(rules, "Value.").alias("definition"))
+    return A.filled_cells({n: t(n) for n in _DESCRIBED}).select("table_name", "column_name", first_match(rules, "Value.").alias("definition"), "n_rows", "n_filled")
 
 
 @query("manifest_counts", " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*)::BIGINT AS n_rows FROM {n}" for n in TABLES))

@@ -14,7 +14,10 @@ Null texts are empty documents; a repeated chunk_id is a document of its own; a
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +36,19 @@ def _bucket(n: int):
     return F.pmod(F.xxhash64("term"), F.lit(n))
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(at, chunk_id, dl, tokens) -> (term, range, at, chunk_id, dl, tf): each document's different terms, counted by a sort of a batch's codes."""
+    for b in batches:
+        lists = b.column("tokens")
+        flat = lists.flatten().dictionary_encode()
+        n_terms = max(1, len(flat.dictionary))
+        row = np.repeat(np.arange(b.num_rows), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        pair, tf = np.unique(row * n_terms + flat.indices.to_numpy(zero_copy_only=False), return_counts=True) if len(row) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        of, term = pa.array(pair // n_terms), pa.array(pair % n_terms)
+        at = b.column("at").take(of)
+        yield pa.RecordBatch.from_arrays([flat.dictionary.take(term), pa.array(at.to_numpy() // RANGE), at, b.column("chunk_id").take(of), b.column("dl").take(of), pa.array(tf.astype(np.int64))], ["term", "range", "at", "chunk_id", "dl", "tf"])
+
+
 def build(docs: DataFrame, root: str, key: str | None = None) -> dict:
     """Index docs (chunk_id, text, and metadata columns that stay) as the current version of root; its manifest. key: what it was made from."""
     spark = docs.sparkSession
@@ -46,8 +62,7 @@ def build(docs: DataFrame, root: str, key: str | None = None) -> dict:
     if not whole.n:
         raise ValueError("an index needs documents")
     avgdl, n_buckets = whole.tokens / whole.n, min(4096, max(16, whole.tokens // BUCKET_TOKENS))
-    # A document's own tokens combine before they are shuffled.
-    counts = stored.select("at", "chunk_id", "dl", F.explode("tokens").alias("term")).groupBy("term", F.shiftright("at", 9).alias("range"), "at", "chunk_id", "dl").agg(F.count("*").alias("tf"))
+    counts = stored.select("at", "chunk_id", "dl", "tokens").mapInArrow(_counted, f"term string, range long, at long, chunk_id {stored.schema['chunk_id'].dataType.simpleString()}, dl int, tf long")
     share = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / max(avgdl, 1e-300)))
     rows = counts.groupBy("term", "range").agg(F.collect_list(F.struct("at", "chunk_id", share.alias("share"))).alias("holders"), F.max(share).alias("most"))
     rows = rows.withColumns({"n": F.size("holders"), "bucket": _bucket(n_buckets).cast("int")})

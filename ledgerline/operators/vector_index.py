@@ -82,15 +82,17 @@ def _pack(t: pa.Table) -> pa.Table:
 def build(vectors: DataFrame, root: str, key: str | None = None) -> dict:
     """Index vectors (vec_id, embedding) as the current version of root; its manifest."""
     spark, folder = vectors.sparkSession, f"{root}/data-{uuid.uuid4().hex}"
-    fit = _usable(vectors, "vec_id")
-    sample = fit.orderBy(F.xxhash64("vec_id"), "vec_id").where(F.size("embedding") <= 65_536).limit(SAMPLE).collect()
-    if not sample:
+    # Vectors may be dear to make: they are made once.
+    stored = V.held(vectors.select("vec_id", "embedding"), "vectors")
+    fit = _usable(stored, "vec_id")
+    sample = fit.where(F.size("embedding").between(1, 65_536)).orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toArrow()["embedding"].combine_chunks()
+    if not len(sample):
         raise ValueError("an index needs vectors")
-    lengths = [len(r.embedding) for r in sample]
-    dims = max(set(lengths), key=lengths.count)
-    x = normalised(np.array([r.embedding for r in sample if len(r.embedding) == dims]))
+    lengths = sample.value_lengths().to_numpy()
+    dims = int(np.bincount(lengths).argmax())
+    x = normalised(_matrix(sample.filter(pa.array(lengths == dims)), dims))
     x = x[x.any(1)]
-    n_all, n_fit = vectors.count(), fit.where(F.size("embedding") == dims).count()
+    n_all, n_fit = stored.count(), fit.where(F.size("embedding") == dims).count()
     n_cells = min(CELLS, max(1, n_fit // PER_CELL))
     centres = fitted_centres(x, n_cells) if len(x) else np.zeros((1, dims))
     found = fit.where(F.size("embedding") == dims).mapInArrow(_cells(centres), "cell int, angle double, vec_id long, unit binary")

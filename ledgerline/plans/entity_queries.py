@@ -97,8 +97,8 @@ def snippet_sequential(t):
 
 #: Pages with stated names and roles, beside the pages that the query makes of documents.
 _PAGES = (
-    ("/our-team", "# Team\n\n**Ada Stone**, Managing Partner — leads the firm.\n\n**Ben Hill**\n\nChief Investment Officer\n\n## Our Team\n\n### Cara Lane\n\nPrincipal\n\n**Ada Stone**, Partner\n",
-     (("Ada Stone", "Managing Partner — leads the firm", "bold"), ("Ben Hill", "Chief Investment Officer", "bold"), ("Cara Lane", "Principal", "heading"))),
+    ("/our-team", "# Team\n\n**Ada Stone**, Managing Partner — sees to all.\n\n**Ben Hill**\n\nChief Investment Officer\n\n## Our Team\n\n### Cara Lane\n\nPrincipal\n\n**Ada Stone**, Partner\n",
+     (("Ada Stone", "Managing Partner — sees to all", "bold"), ("Ben Hill", "Chief Investment Officer", "bold"), ("Cara Lane", "Principal", "heading"))),
     ("/people", "**Ada Stone**, Partner and **Ben Hill**, Director\nDora W. Finch\n\n\n- *Head of Research*\nEmil Frost\nx\ny\nTrustee\n### **Finn Grove**\n[Chief of Staff](https://x.example/a)\n",
      (("Ada Stone", "Partner and **Ben Hill**, Director", "bold"), ("Ben Hill", "Director", "bold"), ("Dora W. Finch", "Head of Research*", "plain"))),
     ("/news", "Dora Finch\nPartner\n", ()),

@@ -9,26 +9,26 @@ from ledgerline.operators import record_chunks as C
 from ledgerline.operators import records as Q
 from ledgerline.operators import survivorship as P
 
-SJS = {"at": 1, "website": "https://www.sjsinvest.test/", "url": "https://maps.test/sjs", "phone": "(419) 885-2626", "phone_unformatted": "+14198852626", "reviews_count": "4.0", "total_score": "5.0", "category_name": "Investment service", "permanently_closed": "False", "temporarily_closed": None}
+FIRM = {"at": 1, "website": "https://www.larch.test/", "url": "https://maps.test/larch", "phone": "(307) 555-0142", "phone_unformatted": "+13075550142", "reviews_count": "4.0", "total_score": "5.0", "category_name": "Bookkeeping", "permanently_closed": "False", "temporarily_closed": None}
 
 
 def listing(**change):
-    return tuple((SJS | change).values())
+    return tuple((FIRM | change).values())
 
 
 def test_places(spark):
-    sites = ("sjsinvest.test", "other.test", "shut.test", "bare.test", "sjsinvest.test/about", "")
-    records = [(i, f"https://{s}" if s else "", "(419) 885-2626" if i == 0 else "+1 419 555 0000" if i == 4 else "", "Kept" if i == 4 else None) for i, s in enumerate(sites)]
+    sites = ("larch.test", "other.test", "shut.test", "bare.test", "larch.test/about", "")
+    records = [(i, f"https://{s}" if s else "", "(307) 555-0142" if i == 0 else "+1 307 555 0199" if i == 4 else "", "Kept" if i == 4 else None) for i, s in enumerate(sites)]
     listings = [
         listing(), listing(at=2, url="https://maps.test/later", phone="1"), listing(at=0, permanently_closed="True"), listing(website="http://elsewhere.test"), listing(website="shut.test", temporarily_closed="TRUE"), listing(website="bare.test", url=" "),
         listing(website=None), listing(website=" "),
     ]
-    schema = ", ".join(f"{c} {'int' if c == 'at' else 'string'}" for c in SJS)
+    schema = ", ".join(f"{c} {'int' if c == 'at' else 'string'}" for c in FIRM)
     out = P.fold(spark.createDataFrame(records, "id int, website_url string, primary_phone string, google_places_category string"), U.domain(F.col("website_url"), "any"), [(P.places(), spark.createDataFrame(listings, schema))])
     out = out.withColumns({"wrote": P.wrote("google_places"), "agrees": P.phone_agrees(F.col("primary_phone"), F.col("google_places_phone"))})
     got = {r.id: r for r in out.collect()}
-    assert (got[0].google_places_phone, got[0].google_places_reviews_count, got[0].google_places_rating, got[0].google_places_category) == ("(419) 885-2626", "4", "5.0", "Investment service")
-    assert (got[0].google_places_evidence_url, got[0].google_places_confidence, got[0].agrees) == ("https://maps.test/sjs", "google_places_domain_match", "True")
+    assert (got[0].google_places_phone, got[0].google_places_reviews_count, got[0].google_places_rating, got[0].google_places_category) == ("(307) 555-0142", "4", "5.0", "Bookkeeping")
+    assert (got[0].google_places_evidence_url, got[0].google_places_confidence, got[0].agrees) == ("https://maps.test/larch", "google_places_domain_match", "True")
     assert got[4].google_places_category == "Kept" and got[4].cells["google_places_category"].source == "record" and got[4].cells["google_places_category"].other == 1 and got[4].agrees == "False"
     assert not any(got[i].wrote or got[i].google_places_evidence_url for i in (1, 2, 3, 5)) and got[5].cells == {}
 
@@ -84,7 +84,7 @@ def test_claims_and_chunks(spark):
 
 
 def test_screening(spark):
-    rows = [("single_family_office", " Family ", "", "Cat Trail Family Office", "https://www.cattrail.test"), ("multi_family_office", "x", "A Wealth Management Firm", "The Group", "https://z.test"), ("single_family_office", "Ada", "wealth manager", "Stone", "https://pebble.test"), (None, None, None, None, None)]
+    rows = [("single_family_office", " Family ", "", "Oak Gate Family Office", "https://www.oakgate.test"), ("multi_family_office", "x", "A Wealth Management Firm", "The Group", "https://z.test"), ("single_family_office", "Ada", "wealth manager", "Stone", "https://pebble.test"), (None, None, None, None, None)]
     df = spark.createDataFrame(rows, "family_office_type string, principal_name string, uncertainty_notes string, family_office_name string, website_url string")
     assert [r.x for r in df.select(Q.prescreen(df).alias("x")).collect()] == ["H1_sfo_no_specific_principal", "H8_service_provider_mfo", "H5_domain_name_mismatch", ""]
 

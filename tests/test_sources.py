@@ -145,8 +145,8 @@ def test_numbered_csv(spark, tmp_path):
 
 
 GOOD = {
-    "record_id": "fo_1", "family_office_name": "Stone Office", "family_office_type": "single_family_office", "description": "A real description.", "website_url": "https://www.stone.test", "country": "Here",
-    "source_urls": "https://www.stone.test/a; https://www.stone.test/b", "source_notes": "Notes.", "evidence_quality": "primary", "primary_email": "", "corporate_linkedin_url": "",
+    "record_id": "fo_1", "family_office_name": "Stone Office", "family_office_type": "single_family_office", "description": "What the office does.", "website_url": "https://www.stone.test", "country": "Here",
+    "source_urls": "https://www.stone.test/a; https://www.stone.test/b", "source_notes": "Where it is from.", "evidence_quality": "primary", "primary_email": "", "corporate_linkedin_url": "",
 }
 
 

@@ -180,3 +180,9 @@ def brochure_url(identifier: Column) -> Column:
 
 def summary_url(identifier: Column) -> Column:
     return F.concat(F.lit("https://adviserinfo.sec.gov/firm/summary/"), identifier)
+
+
+def is_loopback(url: Column) -> Column:
+    """Whether a URL is plain http at this machine's own name or IPv4 address."""
+    host = F.lower(F.regexp_extract(existing(url), r"^(?i:http)://(?:[^/?#@]*@)?([^:/?#]*)", 1))
+    return host.isin("localhost", "127.0.0.1")

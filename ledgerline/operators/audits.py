@@ -60,6 +60,25 @@ def column_states(filled: DataFrame, want: dict[str, list[str]], defined: Column
     return rows.select("table_name", "column_name", F.explode(states).alias("state"), "n_filled")
 
 
+def dataset_checks(df: DataFrame, n_rows: int, columns: list[str], full: list[str], rules: dict[str, Column]) -> DataFrame:
+    """Checks of a whole table in one pass: its number of rows, wanted columns, columns that every row must fill, and rules that every row must meet (observed: what fails)."""
+    missing = [c for c in columns if c not in df.columns]
+    blanks = {f"{c}_filled": F.count_if(is_blank(F.col(c))) for c in full if c in df.columns}
+    failed = {name: F.count_if(~F.coalesce(test, F.lit(False))) for name, test in rules.items()}
+    observed = df.agg(F.count(F.lit(1)).alias("row_count"), *[c.alias(name) for name, c in (blanks | failed).items()])
+    entry = lambda name, value, ok: F.struct(F.lit(name).alias("check_id"), F.lit("issue").alias("severity"), ok.alias("ok"), value.cast("bigint").alias("observed"))
+    rows = [entry("row_count", F.col("row_count"), F.col("row_count") == n_rows), entry("missing_columns", F.lit(len(missing)), F.lit(not missing))]
+    rows += [entry(name, F.col(name), F.col(name) == 0) for name in blanks | failed]
+    return observed.select(F.explode(F.array(*rows)).alias("c")).select("c.*")
+
+
+def quota(df: DataFrame, key: str, wanted: DataFrame, test: Column, least: int) -> DataFrame:
+    """check_id, severity, ok, observed: for each wanted key, whether it has at least `least` rows that pass."""
+    n = df.where(test).groupBy(key).agg(F.count("*").alias("n"))
+    rows = wanted.join(n, key, "left").withColumn("observed", F.coalesce("n", F.lit(0)).cast("bigint"))
+    return rows.select(F.concat_ws("_", F.lit("quota"), F.col(key).cast("string")).alias("check_id"), F.lit("issue").alias("severity"), (F.col("observed") >= least).alias("ok"), "observed")
+
+
 def column_difference(spark, have: dict[str, list[str]], want: dict[str, list[str]]) -> DataFrame:
     """(table, column, state): columns that are missing and columns that nobody asked for."""
     rows = [(t, c, "missing") for t in want for c in want[t] if c not in have.get(t, [])]

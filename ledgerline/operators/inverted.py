@@ -14,7 +14,7 @@ Null texts are empty documents; a repeated chunk_id is a document of its own; a
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,17 +36,34 @@ def _bucket(n: int):
     return F.pmod(F.xxhash64("term"), F.lit(n))
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(at, chunk_id, dl, tokens) -> (term, range, at, chunk_id, dl, tf): each document's different terms, counted by a sort of a batch's codes."""
-    for b in batches:
-        lists = b.column("tokens")
-        flat = lists.flatten().dictionary_encode()
-        n_terms = max(1, len(flat.dictionary))
-        row = np.repeat(np.arange(b.num_rows), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-        pair, tf = np.unique(row * n_terms + flat.indices.to_numpy(zero_copy_only=False), return_counts=True) if len(row) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        of, term = pa.array(pair // n_terms), pa.array(pair % n_terms)
-        at = b.column("at").take(of)
-        yield pa.RecordBatch.from_arrays([flat.dictionary.take(term), pa.array(at.to_numpy() // RANGE), at, b.column("chunk_id").take(of), b.column("dl").take(of), pa.array(tf.astype(np.int64))], ["term", "range", "at", "chunk_id", "dl", "tf"])
+def _posted(avgdl: float) -> Callable:
+    """(at, chunk_id, dl, tokens) -> (term, range, holders, most, n), by one sort of a batch's codes.
+
+    Documents of a range follow each other, so a term's holders in it meet without a shuffle; a range that two batches share has a row of each.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists, at = b.column("tokens"), b.column("at").to_numpy()
+            flat = lists.flatten().dictionary_encode()
+            if not len(flat):
+                continue
+            n_terms, n_rows = len(flat.dictionary), b.num_rows
+            row = np.repeat(np.arange(n_rows), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            ranges, local = np.unique(at // RANGE, return_inverse=True)
+            pair, tf = np.unique((local[row] * n_terms + flat.indices.to_numpy(zero_copy_only=False)) * n_rows + row, return_counts=True)
+            block, of = pair // n_rows, pair % n_rows
+            starts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+            dl = b.column("dl").to_numpy()[of]
+            share = tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl / avgdl))
+            holder = pa.StructArray.from_arrays([pa.array(at[of]), b.column("chunk_id").take(pa.array(of)), pa.array(share)], ["at", "chunk_id", "share"])
+            ends = np.append(starts, len(pair)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [flat.dictionary.take(pa.array(block[starts] % n_terms)), pa.array(ranges[block[starts] // n_terms]), pa.ListArray.from_arrays(pa.array(ends), holder), pa.array(np.maximum.reduceat(share, starts)), pa.array(np.diff(ends).astype(np.int64))],
+                ["term", "range", "holders", "most", "n"],
+            )
+
+    return run
 
 
 def build(docs: DataFrame, root: str, key: str | None = None) -> dict:
@@ -62,10 +79,9 @@ def build(docs: DataFrame, root: str, key: str | None = None) -> dict:
     if not whole.n:
         raise ValueError("an index needs documents")
     avgdl, n_buckets = whole.tokens / whole.n, min(4096, max(16, whole.tokens // BUCKET_TOKENS))
-    counts = stored.select("at", "chunk_id", "dl", "tokens").mapInArrow(_counted, f"term string, range long, at long, chunk_id {stored.schema['chunk_id'].dataType.simpleString()}, dl int, tf long")
-    share = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / max(avgdl, 1e-300)))
-    rows = counts.groupBy("term", "range").agg(F.collect_list(F.struct("at", "chunk_id", share.alias("share"))).alias("holders"), F.max(share).alias("most"))
-    rows = rows.withColumns({"n": F.size("holders"), "bucket": _bucket(n_buckets).cast("int")})
+    kind = stored.schema["chunk_id"].dataType.simpleString()
+    rows = stored.select("at", "chunk_id", "dl", "tokens").mapInArrow(_posted(max(avgdl, 1e-300)), f"term string, range long, holders array<struct<at:bigint,chunk_id:{kind},share:double>>, most double, n long")
+    rows = rows.withColumn("bucket", _bucket(n_buckets).cast("int"))
     # A range is some 500 documents, so a bucket of a frequent term is many rows and is dealt by range.
     rows.repartition("bucket", F.floor(F.col("range") / 64)).sortWithinPartitions("bucket", "term", "range").write.partitionBy("bucket").parquet(f"{folder}/postings")
     postings = spark.read.schema(rows.schema).parquet(f"{folder}/postings")

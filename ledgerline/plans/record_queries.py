@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions import urls as L
+from ..operators import audits as A
 from ..operators import evidence as E
 from ..operators import record_chunks as C
 from ..operators import records as Q
@@ -292,3 +293,18 @@ def crawl_evidence(t):
     registry = t("pages").select(F.col("page_id").alias("source_id"), F.when(k == 0, u).when(k == 1, F.concat(u, F.lit("/"))).when(k == 2, F.concat(u, F.lit("#part"))).when(k == 3, F.concat(u, F.lit(".pdf"))).otherwise(F.concat(u, F.lit("-gone"))).alias("source_url"))
     crawl = t("pages").where("page_id % 4 > 0").select(F.col("page_id").alias("at"), "url", F.when(F.col("page_id") % 2 == 0, F.col("html")).alias("markdown"), F.col("html").alias("text"))
     return E.crawl_evidence(registry, crawl, "office").drop("snippet")
+
+
+@query("audit_dataset", f"""
+WITH {_CELLS}, r AS (SELECT k, max(v) FILTER (WHERE f = 'primary_email') AS mail, max(v) FILTER (WHERE f = 'primary_email_confidence') AS code, max(v) FILTER (WHERE f = 'city') AS city FROM cells GROUP BY k),
+o AS (SELECT o_custkey, count(*) FILTER (WHERE o_orderstatus = 'F') AS n FROM orders GROUP BY o_custkey)
+SELECT 'row_count' AS check_id, 'issue' AS severity, count(*) = 1500 AS ok, count(*)::BIGINT AS observed FROM r UNION ALL SELECT 'missing_columns', 'issue', false, 1 UNION ALL SELECT 'website_url_filled', 'issue', true, 0 UNION ALL SELECT 'city_filled', 'issue', count(*) FILTER (WHERE city = '') = 0, count(*) FILTER (WHERE city = '') FROM r
+UNION ALL SELECT 'email_has_code', 'issue', count(*) FILTER (WHERE mail <> '' AND code = '') = 0, count(*) FILTER (WHERE mail <> '' AND code = '') FROM r
+UNION ALL SELECT 'quota_' || n_nationkey, 'issue', coalesce(n, 0) >= 3, coalesce(n, 0) FROM nation LEFT JOIN o ON o_custkey = n_nationkey""")
+def audit_dataset(t):
+    """Rows, columns, filled columns and a pairing of all records in one pass; and whether the customers of 25 numbers have three finished orders."""
+    rows = _records(t)
+    has = lambda c: F.col(c) != ""
+    whole = A.dataset_checks(rows, 1500, ["record_id", "city", "nowhere"], ["website_url", "city"], {"email_has_code": ~has("primary_email") | has("primary_email_confidence")})
+    wanted = t("nation").select(F.col("n_nationkey").alias("o_custkey"))
+    return whole.unionByName(A.quota(t("orders"), "o_custkey", wanted, F.col("o_orderstatus") == "F", 3))

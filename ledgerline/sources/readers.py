@@ -78,6 +78,20 @@ def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return lines.select(F.from_json("value", schema, {"mode": "PERMISSIVE"}).alias("r")).select("r.*")
 
 
+#: The fields of a golden question; lists that are missing are empty.
+GOLDEN = "id string, category string, question string, gold_record_ids array<string>, expected_behavior string, must_include array<string>, must_exclude array<string>, expected_intent string, failure_mode string, notes string"
+
+
+def read_golden(spark: SparkSession, path: str, default: list[dict]) -> DataFrame:
+    """Questions with their gold records, as JSON lines; where there is no file, the default questions are written first."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        spark.createDataFrame([tuple(q.get(f.name) for f in T._parse_datatype_string(GOLDEN)) for q in default], GOLDEN).coalesce(1).write.json(path)
+    none = F.array().cast("array<string>")
+    rows = read_json_lines(spark, path, GOLDEN)
+    return rows.withColumns({c: F.coalesce(c, none) for c in ("gold_record_ids", "must_include", "must_exclude")} | {c: F.coalesce(c, F.lit("")) for c in ("expected_intent", "failure_mode", "notes")})
+
+
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     """key, value from markdown lines '- key: number'."""
     form = r"^- ([A-Za-z0-9_@ ]+): *(-?[0-9.]+) *$"

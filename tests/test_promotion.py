@@ -100,3 +100,9 @@ def test_url_cells(spark):
     parsed = {"a|b": ["a", "b"], "http://a, 'http://b'": ["http://a", "http://b"], "['x', ' ']": ["x"], "[broken": ["[broken"], "[bro'ken]": [], "": []}
     df = spark.createDataFrame([(c,) for c in parsed], "c string")
     assert {r.c: r.u for r in df.select("c", L.parsed_urls(F.col("c")).alias("u")).collect()} == parsed
+
+
+def test_loopback(spark):
+    urls = {"http://localhost:11434/api": True, "https://127.0.0.1": False, "http://127.0.0.1/x": True, "http://[::1]:80/x": False, "http://localhost.evil.test": False, "ftp://localhost": False, "http://user@localhost/": True, "http://localhost@evil.test/": False, "": False}
+    df = spark.createDataFrame([(u,) for u in urls], "u string")
+    assert {r.u: r.ok for r in df.select("u", U.is_loopback(F.col("u")).alias("ok")).collect()} == urls

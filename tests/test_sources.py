@@ -219,3 +219,11 @@ def test_upsert(spark, tmp_path, monkeypatch):
     for rows, message in ((second.union(second), "stand twice"), (second.drop("kind"), "the table has")):
         with pytest.raises(ValueError, match=message):
             U.upsert(rows, root, "bad")
+
+
+def test_golden_questions(spark, tmp_path):
+    default = [{"id": "q1", "question": "Who?", "gold_record_ids": ["r1"], "must_include": ["x"], "expected_behavior": "answer"}, {"id": "q2", "question": "What?", "expected_behavior": "abstain"}]
+    for _ in range(2):
+        got = {r.id: r for r in R.read_golden(spark, f"{tmp_path}/golden", default).collect()}
+        assert got["q1"].gold_record_ids == ["r1"] and got["q1"].must_exclude == [] and got["q2"].gold_record_ids == [] and got["q2"].notes == "" and len(got) == 2
+        default = []

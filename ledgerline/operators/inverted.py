@@ -127,7 +127,13 @@ def opened(docs: DataFrame, root: str) -> Index:
     spark, key = docs.sparkSession, V.fingerprint(docs)
     now = V.current(spark, root)
     if now is None or now.get("key") != key or now.get("schema_version") != SCHEMA_VERSION:
-        build(docs, root, key)
+        try:
+            build(docs, root, key)
+        except RuntimeError:
+            # Another session may have committed the same index meanwhile; then its one will do.
+            now = V.current(spark, root)
+            if now is None or now.get("key") != key:
+                raise
     return Index(spark, root)
 
 

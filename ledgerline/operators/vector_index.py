@@ -133,7 +133,13 @@ def opened(vectors: DataFrame, root: str) -> VectorIndex:
     spark, key = vectors.sparkSession, V.fingerprint(vectors)
     now = V.current(spark, root)
     if now is None or now.get("key") != key or now.get("schema_version") != SCHEMA_VERSION:
-        build(vectors, root, key)
+        try:
+            build(vectors, root, key)
+        except RuntimeError:
+            # Another session may have committed the same index meanwhile; then its one will do.
+            now = V.current(spark, root)
+            if now is None or now.get("key") != key:
+                raise
     return VectorIndex(spark, root)
 
 

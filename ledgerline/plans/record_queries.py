@@ -184,8 +184,9 @@ def page_export(t):
     spark = pages.sparkSession
     path = f"{V.shared_folder(spark)}/export-{uuid.uuid4().hex}"
     item = F.to_json(F.struct(F.coalesce("html", F.lit("")).alias("markdown"), F.struct(F.col("url").alias("sourceURL")).alias("metadata")))
-    # Lists of some 200 pages, in order; a file holds one list in one line.
-    listed = pages.withColumn("part", F.floor(F.col("page_id") / 200)).groupBy("part").agg(F.array_sort(F.collect_list(F.struct("page_id", item.alias("j")))).alias("js"))
+    # Lists of some 200 pages, in order; a file holds one list in one line. Names of equal length, so that files come in order of their pages.
+    part = F.coalesce(F.when(F.col("page_id").isNotNull(), F.format_string("%018d", F.floor(F.col("page_id") / 200) + F.lit(5 * 10**16))), F.lit("0" * 18))
+    listed = pages.withColumn("part", part).groupBy("part").agg(F.array_sort(F.collect_list(F.struct("page_id", item.alias("j")))).alias("js"))
     text = F.concat(F.lit('{"status": "ok", "data": ['), F.array_join(F.transform("js", lambda j: j["j"]), ","), F.lit("]}"))
     listed.select("part", text.alias("value")).repartition("part").write.partitionBy("part").option("lineSep", "\n").text(path)
     found = read_page_export(spark, path)

@@ -42,11 +42,12 @@ _PAGE = "struct<markdown:string,url:string,metadata:struct<sourceURL:string,url:
 
 
 def read_page_export(spark: SparkSession, path: str) -> DataFrame:
-    """url, markdown from a JSON list or {"data": [...]} of any size: the longest text of a URL, the first of equals."""
+    """url, markdown from JSON lists or {"data": [...]} of any size: the longest text of a URL, the first of equals, in order of file name and place."""
     pages = read_json_list(spark, path).select("file", "pos", F.from_json("text", _PAGE).alias("p"))
     url = F.coalesce(*(F.nullif(existing(c), F.lit("")) for c in (F.col("p.metadata.sourceURL"), F.col("p.metadata.url"), F.col("p.url"))))
-    best = F.max(F.struct(F.length(F.coalesce("p.markdown", F.lit(""))).alias("n"), (-F.col("pos")).alias("minus"), F.coalesce("p.markdown", F.lit("")).alias("markdown"))).alias("m")
-    return pages.select(url.alias("url"), "pos", "p").where("url is not null").groupBy("url").agg(best).select("url", "m.markdown")
+    text = F.coalesce("p.markdown", F.lit(""))
+    best = F.min(F.struct((-F.length(text)).alias("minus"), "file", "pos", text.alias("markdown"))).alias("m")
+    return pages.select(url.alias("url"), "file", "pos", "p").where("url is not null").groupBy("url").agg(best).select("url", "m.markdown")
 
 
 def read_json_directory(spark: SparkSession, path: str, schema: str, key: str = "record_id") -> DataFrame:

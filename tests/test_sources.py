@@ -1,5 +1,6 @@
 """Round trips of sources and sinks, and the event stream."""
 
+import hashlib
 import json
 import random
 import zipfile
@@ -35,6 +36,26 @@ def test_page_export(spark, tmp_path):
         assert [tuple(r) for r in R.read_page_export(spark, str(tmp_path / name)).collect()] == [("u", "abcd")]
 
 
+def test_page_export_of_several_files(spark, tmp_path):
+    """Of equal texts the first file's stays, wherever it stands there."""
+    page = lambda text, url: {"markdown": text, "metadata": {"sourceURL": url}}
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1").write_text(json.dumps([page("x", "v"), page("aaaa", "u")]))
+    (tmp_path / "in" / "2").write_text(json.dumps([page("zzzz", "u"), page("yy", "v")]))
+    assert sorted(map(tuple, R.read_page_export(spark, str(tmp_path / "in")).collect())) == [("u", "aaaa"), ("v", "yy")]
+
+
+def test_page_export_query_keeps_the_first_of_equals(spark, tmp_path):
+    """Pages of one URL and length in several lists; neither their places there nor the numbers as text give their order."""
+    from ledgerline.plans.catalog import QUERIES
+
+    rows = [(198, "w"), (199, "a"), (400, "a"), (1998, "x"), (1999, "b"), (2000, "b"), (-2, "y"), (-1, "c"), (1, "c"), (None, "d"), (0, "d")]
+    pages = spark.createDataFrame([(i, u, f"{u}{'none' if i is None else f'{i:4d}'}") for i, u in rows], "page_id long, url string, html string")
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r.url: r.digest for r in QUERIES["page_export"](spark, str(tmp_path)).collect()}
+    assert {u: got[u] for u in "abcd"} == {u: hashlib.md5(h.encode()).hexdigest() for u, h in (("a", "a 199"), ("b", "b1999"), ("c", "c  -1"), ("d", "dnone"))}
+
+
 def test_json_directory(spark, tmp_path):
     for name, text in (("1.json", '{"record_id": "a", "match_score": 0.5}'), ("2.json", '{"record_id": "a",\n "match_score": "manual"}'), ("3.json", "{broken"), ("4.json", '{"record_id": " "}')):
         (tmp_path / name).write_text(text)

@@ -6,8 +6,8 @@
    sets pick the same values of those they share. Sets whose estimate by the MinHash values reaches threshold - 0.2 (four standard
    deviations) join one candidate cluster. Two first runs compare within blocks of the first level's buckets only, which joins most of
    any large group. In the runs that count a bucket whose sets are of one cluster needs no look, pairs within a cluster aren't
-   compared, and a bucket returns fewer edges than it holds clusters. Buckets of at most `bucket` clusters are brute-forced; larger
-   ones split on, and what the deepest level leaves too large is brute-forced in pairs of blocks.
+   compared, and a bucket returns fewer edges than it holds clusters. A level is one shuffle: buckets of at most `bucket` sets are brute-forced as
+   they pass, larger ones go out with their sizes; those of at most `bucket` clusters are brute-forced in blocks, the others split on, and what the deepest level leaves too large is brute-forced in pairs of blocks.
 3. Every set of a candidate cluster is shipped once for each block of its cluster, and all pairs within the cluster are verified
    exactly by sparse products, block against block. A set's links are counted there and summed: pairs are compared, since a
    link that is counted has to be verified, but never emitted. Verified links give the classes.
@@ -109,34 +109,33 @@ def runs_for(target_recall: float, depth: int, threshold: float, most: int = 200
     raise ValueError(f"{most} runs of depth {depth} don't reach a recall of {target_recall}")
 
 
-_PATHS = "path long, sid long, comp long"
+_PATHS = "path long, sid long, comp long, short binary"
 
 
-def _path_batch(paths: np.ndarray, rows: np.ndarray, sid: np.ndarray, comp: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(paths.astype(np.int64)), pa.array(sid[rows]), pa.array(comp[rows])], ["path", "sid", "comp"])
+def _path_batch(paths: np.ndarray, rows: np.ndarray, sid: pa.Array, comp: pa.Array, short: pa.Array) -> pa.RecordBatch:
+    at = pa.array(rows)
+    return pa.RecordBatch.from_arrays([pa.array(paths.astype(np.int64)), sid.take(at), comp.take(at), short.take(at)], ["path", "sid", "comp", "short"])
 
 
 def _root_paths(runs: range, threshold: float):
-    """(sid, comp, sketch) -> the paths of the first level."""
+    """(sid, comp, sketch, short) -> the paths of the first level."""
     seeds = mix64(np.arange(runs.start + 1, runs.stop + 1, dtype=np.uint64) * np.uint64(7919))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sid, comp = b.column(0).to_numpy(), b.column(1).to_numpy()
-            rows, paths = next_paths(path_tokens(b.column(2).to_pylist()), np.repeat(np.arange(len(sid)), len(runs)), np.tile(seeds, len(sid)), threshold)
-            yield _path_batch(paths, rows, sid, comp)
+            rows, paths = next_paths(path_tokens(b.column(2).to_pylist()), np.repeat(np.arange(b.num_rows), len(runs)), np.tile(seeds, b.num_rows), threshold)
+            yield _path_batch(paths, rows, b.column(0), b.column(1), b.column(3))
 
     return run
 
 
 def _deeper_paths(threshold: float):
-    """(path, sid, comp, sketch) -> the paths of the next level."""
+    """(path, sid, comp, sketch, short) -> the paths of the next level."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sid, comp = b.column(1).to_numpy(), b.column(2).to_numpy()
-            rows, paths = next_paths(path_tokens(b.column(3).to_pylist()), np.arange(len(sid)), b.column(0).to_numpy().astype(np.uint64), threshold)
-            yield _path_batch(paths, rows, sid, comp)
+            rows, paths = next_paths(path_tokens(b.column(3).to_pylist()), np.arange(b.num_rows), b.column(0).to_numpy().astype(np.uint64), threshold)
+            yield _path_batch(paths, rows, b.column(1), b.column(2), b.column(4))
 
     return run
 
@@ -211,15 +210,116 @@ def _bucket_edges(least: int):
     return run
 
 
-def _block_rows(df: DataFrame, block: int, crowded: Column) -> DataFrame:
-    """Each row for every pair of blocks (i, j) that its block `own` is in.
+_FOUND = pa.schema([(n, pa.int64()) for n in ("u", "v", "path", "sid", "comp", "part")] + [("short", pa.binary())] + [(n, pa.int64()) for n in ("c", "k", "most", "main")])
 
-    A crowded bucket is dealt into blocks. Blocks of its main cluster (`most` of its `c` sets, if that is more than a block) meet
+
+def _found_batch(**columns) -> pa.RecordBatch:
+    n = len(next(iter(columns.values())))
+    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in _FOUND], schema=_FOUND)
+
+
+class _LargeBucket:
+    """A bucket whose rows, in order of cluster, only pass by: rows c, clusters k, and the largest one, `main` with `most` rows."""
+
+    def __init__(self, path: int, limit: int):
+        self.path, self.limit, self.c, self.k, self.most, self.main, self.last, self.run = path, limit, 0, 0, 0, 0, None, 0
+
+    def rows(self, sid: np.ndarray, comp: np.ndarray, short: np.ndarray) -> pa.RecordBatch:
+        starts = np.flatnonzero(np.concatenate([[True], comp[1:] != comp[:-1]]))
+        for cluster, n in zip(comp[starts].tolist(), np.diff(np.append(starts, len(comp))).tolist(), strict=True):
+            if cluster != self.last:
+                self.k, self.last, self.run = self.k + 1, cluster, 0
+            self.run += n
+            if self.run > self.most:
+                self.most, self.main = self.run, cluster
+        part = (self.c + np.arange(len(sid))) // self.limit
+        self.c += len(sid)
+        return _found_batch(path=np.full(len(sid), self.path), sid=sid, comp=comp, part=part, short=[r.tobytes() for r in short])
+
+    def sizes(self) -> pa.RecordBatch:
+        return _found_batch(path=[self.path], c=[self.c], k=[self.k], most=[self.most], main=[self.main])
+
+
+def _small_buckets(path: np.ndarray, sid: np.ndarray, comp: np.ndarray, short: np.ndarray, limit: int, least: int) -> Iterator[pa.RecordBatch]:
+    """What whole buckets, in order of path, comp and sid, give: new_edges, or the rows and sizes of one of more than `limit` rows."""
+    if not len(path):
+        return
+    starts = np.flatnonzero(np.concatenate([[True], path[1:] != path[:-1]]))
+    ends = np.append(starts[1:], len(path))
+    mixed = comp[starts] != comp[ends - 1]
+    edges: list[tuple[int, int]] = []
+    for at, end in zip(starts[mixed].tolist(), ends[mixed].tolist(), strict=True):
+        if end - at > limit:
+            bucket = _LargeBucket(int(path[at]), limit)
+            yield bucket.rows(sid[at:end], comp[at:end], short[at:end])
+            yield bucket.sizes()
+            continue
+        rows = at + np.flatnonzero(np.concatenate([[True], sid[at + 1 : end] != sid[at : end - 1]]))  # two paths of a set can meet in one hash
+        edges += new_edges(comp[rows], comp[rows], np.zeros(len(rows), np.int64), short[rows], least)
+    if edges:
+        u, v = zip(*edges, strict=True)
+        yield _found_batch(u=u, v=v)
+
+
+def _bucket_pass(limit: int, least: int):
+    """(path, sid, comp, short) in order of path, comp and sid -> edges (u, v) between clusters of buckets of at most `limit` rows; of larger ones their
+    rows (path, sid, comp, short; part numbers runs of `limit` rows) and one row of sizes. At most `limit` rows and a batch are held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = (*(np.zeros(0, np.int64) for _ in range(3)), np.zeros((0, N_VALUES), np.uint8))
+        large = None
+        for b in batches:
+            new = (*(b.column(k).to_numpy() for k in range(3)), np.frombuffer(b"".join(b.column(3).to_pylist()), np.uint8).reshape(-1, N_VALUES))
+            if not len(new[0]):
+                continue
+            rows = tuple(np.concatenate(x) for x in zip(held, new, strict=True)) if len(held[0]) else new
+            path = rows[0]
+            if large is not None:
+                n = int(np.searchsorted(path, large.path, side="right"))
+                if n:
+                    yield large.rows(*(x[:n] for x in rows[1:]))
+                if n == len(path):
+                    continue
+                yield large.sizes()
+                large, rows = None, tuple(x[n:] for x in rows)
+                path = rows[0]
+            last = int(np.searchsorted(path, path[-1]))  # the last bucket may go on
+            yield from _small_buckets(*(x[:last] for x in rows), limit, least)
+            held = tuple(x[last:] for x in rows)
+            if len(held[0]) > limit:
+                large = _LargeBucket(int(path[-1]), limit)
+                yield large.rows(*held[1:])
+                held = tuple(x[:0] for x in held)
+        if large is not None:
+            yield large.sizes()
+        yield from _small_buckets(*held, limit, least)
+
+    return run
+
+
+def _in_buckets(paths: DataFrame, threshold: float, limit: int) -> DataFrame:
+    """_bucket_pass over the buckets of paths: one shuffle, whatever a bucket holds."""
+    kinds = "u long, v long, path long, sid long, comp long, part long, short binary, c long, k long, most long, main long"
+    return written(paths.repartition("path").sortWithinPartitions("path", "comp", "sid").mapInArrow(_bucket_pass(limit, _least_values(threshold)), kinds), "found")
+
+
+def _edges(found: DataFrame) -> DataFrame:
+    return found.where("u is not null").select("u", "v")
+
+
+def _rows(found: DataFrame) -> DataFrame:
+    return found.where("sid is not null").select("path", "part", "sid", "comp", "short")
+
+
+def _block_rows(df: DataFrame, block: int) -> DataFrame:
+    """Each row of crowded buckets for every pair of blocks (i, j) that its block `own` is in.
+
+    Blocks of a bucket's main cluster (`most` of its `c` sets, if that is more than a block) meet
     those of the other sets only, so that a very large cluster with few sets beside it goes out once.
     """
-    inside = F.when(crowded & (F.col("most") > block), F.col("most")).otherwise(F.lit(0))
+    inside = F.when(F.col("most") > block, F.col("most")).otherwise(F.lit(0))
     is_main = (inside > 0) & (F.col("comp") == F.col("main"))
-    n_rest = F.when(crowded, F.ceil((F.col("c") - inside) / block)).otherwise(F.lit(1)).cast("int")
+    n_rest = F.ceil((F.col("c") - inside) / block).cast("int")
     n_main = F.ceil(inside / block).cast("int")
     dealt = F.xxhash64("sid", "path")
     own = F.when(is_main, n_rest + F.pmod(dealt, F.greatest(n_main, F.lit(1)))).otherwise(F.pmod(dealt, n_rest)).cast("int")
@@ -233,52 +333,36 @@ def _compared(keyed: DataFrame, threshold: float) -> DataFrame:
     return written(found, "found")
 
 
-def _mixed_buckets(sets: DataFrame, paths: DataFrame) -> DataFrame:
-    """path, sid, comp, short and the size c of the buckets that hold sets of several clusters."""
-    mixed = paths.groupBy("path").agg(F.count("*").alias("c"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("path", "c")
-    return written(merged(merged(paths, mixed, "path"), sets.select("sid", "short"), "sid").select("path", "sid", "comp", "short", "c"), "buckets")
-
-
 def _first_edges(sets: DataFrame, threshold: float, runs: range, block: int) -> DataFrame:
     """Edges (u, v) within buckets of the first level, and within blocks of larger ones: enough to join most of a large group."""
-    paths = written(sets.select("sid", "comp", "sketch").mapInArrow(_root_paths(runs, threshold), _PATHS), "paths")
-    held = _mixed_buckets(sets, paths)
-    own = F.pmod(F.xxhash64("sid", "path"), F.ceil(F.col("c") / block)).cast("int")
-    return _compared(held.withColumn("own", own).select("path", F.col("own").alias("i"), F.col("own").alias("j"), "own", "sid", "comp", "short"), threshold)
-
-
-def _crowded(held: DataFrame, bucket: int) -> DataFrame | None:
-    """path, number of clusters k, and the main cluster and its size, for buckets of more than `bucket` sets; None if there are none."""
-    large = held.where(F.col("c") > bucket)
+    found = _in_buckets(sets.select("sid", "comp", "sketch", "short").mapInArrow(_root_paths(runs, threshold), _PATHS), threshold, block)
+    large = _rows(found)
     if large.isEmpty():
-        return None
-    clusters = large.groupBy("path", "comp").agg(F.count("*").alias("n"))
-    return written(clusters.groupBy("path").agg(F.count("*").alias("k"), F.max("n").alias("most"), F.max_by("comp", "n").alias("main")), "crowded")
+        return _edges(found)
+    part = F.col("part").cast("int")
+    return _edges(found).unionByName(_compared(large.select("path", part.alias("i"), part.alias("j"), part.alias("own"), "sid", "comp", "short"), threshold))
 
 
 def _edges_of_runs(sets: DataFrame, threshold: float, runs: range, bucket: int, block: int, depth: int) -> tuple[DataFrame, int, DataFrame | None]:
     """New edges (u, v) that these runs find among sets (sid, comp, sketch, short), the deepest level used, and the sets (sid) of split buckets."""
-    paths = sets.select("sid", "comp", "sketch").mapInArrow(_root_paths(runs, threshold), _PATHS)
+    paths = sets.select("sid", "comp", "sketch", "short").mapInArrow(_root_paths(runs, threshold), _PATHS)
     edges = split = None
     for level in range(1, depth + 1):
-        held = _mixed_buckets(sets, written(paths, "paths"))
-        crowded = _crowded(held, bucket)
-        if crowded is None:
-            marked = held.withColumns({"k": F.lit(0), "most": F.lit(0), "main": F.lit(0)})
-        elif crowded.count() <= 20_000:
-            marked = held.join(F.broadcast(crowded), "path", "left")
-        else:
-            marked = merged(held, crowded, "path", "left")
-        marked = marked.withColumn("k", F.coalesce("k", F.lit(0)))
-        last = crowded is None or level == depth or crowded.where(F.col("k") > bucket).isEmpty()
+        found = _in_buckets(paths, threshold, bucket)
+        edges = _edges(found) if edges is None else edges.unionByName(_edges(found))
+        crowded = found.where("k > 1").select("path", "c", "k", "most", "main")
+        seen = crowded.agg(F.count("*").alias("n"), F.max("k").alias("k")).first()
+        if not seen.n:
+            break
+        marked = _rows(found).join(F.broadcast(crowded), "path") if seen.n <= 20_000 else merged(_rows(found), crowded, "path")
+        last = level == depth or seen.k <= bucket
         small = marked if last else marked.where(F.col("k") <= bucket)
-        found = _compared(_block_rows(small, block, F.col("k") > 0), threshold)
-        edges = found if edges is None else edges.unionByName(found)
+        edges = edges.unionByName(_compared(_block_rows(small, block), threshold))
         if last:
             break
-        large = written(marked.where(F.col("k") > bucket).select("path", "sid", "comp"), "split")
+        large = marked.where(F.col("k") > bucket).select("path", "sid", "comp")
         split = large.select("sid") if split is None else split.unionByName(large.select("sid"))
-        paths = merged(large, sets.select("sid", "sketch"), "sid").select("path", "sid", "comp", "sketch").mapInArrow(_deeper_paths(threshold), _PATHS)
+        paths = merged(large, sets.select("sid", "sketch", "short"), "sid").select("path", "sid", "comp", "sketch", "short").mapInArrow(_deeper_paths(threshold), _PATHS)
     return edges, level, split
 
 

@@ -8,10 +8,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat_tree, components, cotraining, decontaminate, jaccard_join, line_dedup, packing, pii, quality_rules, toxicity, warc
+from ledgerline.llm import chat_tree, common, components, cotraining, decontaminate, jaccard_join, line_dedup, packing, pii, quality_rules, toxicity, warc
 from ledgerline.llm.queries import tokenizer_path
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, row string, row_key string, __doc string, q int"
@@ -268,6 +269,36 @@ def near_copies(n=120, size=150):
     return out
 
 
+def test_bucket_pass_holds_no_large_bucket():
+    """Edges of small buckets, rows and sizes of large ones, however the rows are cut into batches."""
+    rng = np.random.default_rng(5)
+    kinds = rng.integers(0, 256, (3, jaccard_join.N_VALUES), np.uint8)
+    rows = [(1, 5, 5, 0), (1, 6, 6, 1), (1, 6, 6, 1), (1, 7, 7, 0), (2, 8, 8, 0)]  # 5 and 7 are near; a set may come twice
+    rows += [(3, 20 + k, 9, 0) for k in range(4)] + [(3, 30 + k, 11, 1) for k in range(6)] + [(3, 40, 40, 2)] + [(4, 50 + k, 50, 0) for k in range(9)] + [(5, 3, 3, 1), (5, 4, 4, 1)]
+    seen = set()
+    for size in (1, 2, 3, 7, 100):
+        cut = [rows[at : at + size] for at in range(0, len(rows), size)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in list(zip(*b, strict=True))[:3]] + [pa.array([kinds[r[3]].tobytes() for r in b], pa.binary())], ["path", "sid", "comp", "short"]) for b in cut]
+        found = [r for b in jaccard_join._bucket_pass(4, 39)(iter(batches)) for r in b.to_pylist()]
+        assert sorted((r["u"], r["v"]) for r in found if r["u"] is not None) == [(3, 4), (5, 7)]
+        assert [(r["path"], r["c"], r["k"], r["most"], r["main"]) for r in found if (r["k"] or 0) > 1] == [(3, 11, 3, 6, 11)]
+        large = [(r["sid"], r["comp"], r["part"], r["short"]) for r in found if r["path"] == 3 and r["sid"] is not None]
+        assert large == [(s, c, n // 4, kinds[k].tobytes()) for n, (p, s, c, k) in enumerate(r for r in rows if r[0] == 3)]
+        seen.add(tuple(large))
+    assert len(seen) == 1
+
+
+def test_components_of_few_edges_take_one_table(spark, monkeypatch):
+    """A chain of 400 nodes, a star and a pair: one task contracts them, in place of a round of shuffles for each doubling; in parts the result is the same."""
+    edges = [(k, k + 1) for k in range(399)] + [(1000, 1000 + k) for k in range(60)] + [(5000, 4000)]
+    table = spark.createDataFrame(edges, "u long, v long").repartition(7)
+    want = {k: 0 for k in range(400)} | {1000 + k: 1000 for k in range(60)} | {5000: 4000, 4000: 4000}
+    before = len(common.made)
+    assert {r.node: r.root for r in components.connected_components(table).collect()} == want and len(common.made) == before + 1
+    monkeypatch.setattr(components, "PART", 150)
+    assert {r.node: r.root for r in components.connected_components(table).collect()} == want
+
+
 def test_jaccard_join(spark, rows, empty):
     every = [*rows, *near_copies()]
     table = spark.createDataFrame(every, DOCS).repartition(5)

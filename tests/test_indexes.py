@@ -140,3 +140,14 @@ def test_hashed_vectors(spark):
     rows = [(1, "a b a"), (2, None), (3, " "), (4, "A  B\na")]
     got = {r.doc_id: r.embedding for r in R.hashed_vectors(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[1] == got[4] and not any(got[2]) and not any(got[3]) and abs(sum(v * v for v in got[1]) - 1) < 1e-9 and len(got[1]) == 384
+
+
+def test_eval_passes_search_the_indexes_once(spark, monkeypatch):
+    from ledgerline.operators import retrieval
+    from ledgerline.plans.catalog import QUERIES
+
+    calls = []
+    for module in (IX, VX):
+        monkeypatch.setattr(module, "search", lambda *a, f=module.search, name=module.__name__, **options: (calls.append(name), f(*a, **options))[1])
+    assert retrieval.inverted is IX and QUERIES["eval_passes"](spark, "/root/testdata/sf0.001").count() == 6
+    assert sorted(calls) == sorted(m.__name__ for m in (IX, VX))

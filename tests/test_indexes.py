@@ -151,3 +151,11 @@ def test_eval_passes_search_the_indexes_once(spark, monkeypatch):
         monkeypatch.setattr(module, "search", lambda *a, f=module.search, name=module.__name__, **options: (calls.append(name), f(*a, **options))[1])
     assert retrieval.inverted is IX and QUERIES["eval_passes"](spark, "/root/testdata/sf0.001").count() == 6
     assert sorted(calls) == sorted(m.__name__ for m in (IX, VX))
+
+
+def test_a_bucket_of_few_documents_is_one_file(spark, tmp_path):
+    """However many tasks have read the documents: at 6 GB a file for each task and bucket would be some hundred thousand files."""
+    docs = spark.range(4000, numPartitions=8).select(F.col("id").alias("chunk_id"), F.concat_ws(" ", *[F.concat(F.lit(f"w{k}x"), F.col("id") % (7 + k)) for k in range(12)]).alias("text"))
+    IX.build(docs, f"{tmp_path}/i")
+    folders = list(tmp_path.glob("i/data-*/postings/bucket=*"))
+    assert len(folders) > 8 and {len(list(f.glob("*.parquet"))) for f in folders} == {1}

@@ -54,6 +54,15 @@ def test_suspicious_covers_every_document(spark, duck):
     assert (got.count(), got.where("suspicious").count()) == duck.sql(want).fetchall()[0]
 
 
+def test_eval_passes_ask_every_item(spark, duck):
+    """No item of the benchmark is left out by its id."""
+    from ledgerline.plans.retrieval_queries import ASKED
+
+    n_items = duck.sql("SELECT count(*) FROM benchmark").fetchall()[0][0]
+    got = {(r["pass"], r.category): r.n for r in catalog.QUERIES["eval_passes"](spark, FOLDER).collect()}
+    assert got == {(p, c): n for p in ("all", "hybrid", "bm25") for c, n in (("asked", len(ASKED)), ("benchmark", n_items))}
+
+
 def test_placeholder_reads_the_whole_text(spark, tmp_path):
     texts = ["TBD" + " " * 20 + "a long text", " " * 15 + "\u00a0ToDo\n", "https://www.example.org/a", "http://example.net", "https://notexample.org/", "hidden", None]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
